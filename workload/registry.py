@@ -16,8 +16,8 @@ from gridtide.streaming import ingest
 
 from . import adapters
 
-EVENTS_CUT = "2024-01-15 00:00:00"
-SALES_CUT = "1999-01-01 00:00:00"
+EVENTS_CUT = "2024-01-15 10:30:00"
+SALES_CUT = "1999-01-03 00:00:00"
 
 
 class Models:
