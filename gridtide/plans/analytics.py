@@ -465,13 +465,15 @@ def grid_state_increment(
     bridge: DataFrame,
     latest: object,
     days: int = 1,
+    thresholds: DataFrame | None = None,
 ) -> DataFrame:
     """State changes not captured yet: the demand since ``days`` before the latest change, without known ids.
 
-    Thresholds come from all demand, so captured changes may have used others; they are never revised.
+    Thresholds come from all demand unless given, so captured changes may have used others; they are never revised.
     """
-    renamed = demand.select(F.col("location_id").alias("balancing_authority_id"), "demand_mwh")
-    thresholds = state_thresholds(renamed, ["balancing_authority_id"], "demand_mwh")
+    if thresholds is None:
+        renamed = demand.select(F.col("location_id").alias("balancing_authority_id"), "demand_mwh")
+        thresholds = state_thresholds(renamed, ["balancing_authority_id"], "demand_mwh")
     recent = overlap_window(demand, "timestamp", latest, days)
     changes = grid_state_changes(recent, weather, dates, bridge, thresholds)
     return drop_existing(changes, target, ["state_change_id"])

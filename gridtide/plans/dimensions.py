@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import calendar as cal, classify, fixed_values as fixed
 from ..functions.keys import surrogate_key
@@ -68,51 +68,44 @@ def dim_energy_source(generation: DataFrame) -> DataFrame:
     )
 
 
-def dim_location(
-    generation: DataFrame,
-    stations: DataFrame,
-    demand: DataFrame,
-    population: DataFrame,
-    valid_from: str | None = None,
-    valid_to: str | None = None,
-    state: str = fixed.STATE_NAME,
-) -> DataFrame:
-    """States, weather stations and balancing authorities in one dimension with validity dates (NULL is open).
-
-    ``demand`` needs only its authority column, so undeduplicated records serve as well. A filter on
-    ``location_type`` removes the other inputs from the plan.
-    """
+def _place(code, state, kind: str, county=None, city=None, latitude=None, longitude=None) -> list[Column]:
     text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
-    states = generation.select(
-        "location_code",
-        "state_name",
-        F.lit(fixed.STATE_TYPE).alias("location_type"),
-        text.alias("county"),
-        text.alias("city"),
-        number.alias("latitude"),
-        number.alias("longitude"),
-    )
-    weather = stations.select(
-        F.col("station_id").alias("location_code"),
-        F.col("state").alias("state_name"),
-        F.lit(fixed.STATION_TYPE).alias("location_type"),
-        "county",
-        F.col("station_name").alias("city"),
-        "latitude",
-        "longitude",
-    )
-    authority = F.col("balancing_authority")
-    authorities = demand.select(
-        authority.alias("location_code"),
-        F.lit(state).alias("state_name"),
-        F.lit(fixed.AUTHORITY_TYPE).alias("location_type"),
-        text.alias("county"),
-        classify.label_by_code(authority, fixed.AUTHORITY_NAMES, authority).alias("city"),
-        number.alias("latitude"),
-        number.alias("longitude"),
-    )
-    every = states.distinct().unionByName(weather.distinct()).unionByName(authorities.distinct())
-    return lookup(every, population, ["location_code"]).select(
+    return [
+        F.col(code).alias("location_code"),
+        state.alias("state_name"),
+        F.lit(kind).alias("location_type"),
+        (text if county is None else county).alias("county"),
+        (text if city is None else city).alias("city"),
+        (number if latitude is None else latitude).alias("latitude"),
+        (number if longitude is None else longitude).alias("longitude"),
+    ]
+
+
+def state_places(generation: DataFrame) -> DataFrame:
+    """States that report generation."""
+    return generation.select(_place("location_code", F.col("state_name"), fixed.STATE_TYPE)).distinct()
+
+
+def station_places(stations: DataFrame) -> DataFrame:
+    """Weather stations."""
+    details = [F.col(c) for c in ("county", "station_name", "latitude", "longitude")]
+    return stations.select(_place("station_id", F.col("state"), fixed.STATION_TYPE, *details)).distinct()
+
+
+def authority_places(demand: DataFrame, state: str = fixed.STATE_NAME) -> DataFrame:
+    """Balancing authorities that report demand; undeduplicated records serve as well."""
+    code = F.col("balancing_authority")
+    name = classify.label_by_code(code, fixed.AUTHORITY_NAMES, code)
+    return demand.select(
+        _place("balancing_authority", F.lit(state), fixed.AUTHORITY_TYPE, city=name)
+    ).distinct()
+
+
+def describe_places(
+    places: DataFrame, population: DataFrame, valid_from: str | None = None, valid_to: str | None = None
+) -> DataFrame:
+    """Places with key, population, geography level and validity dates (NULL is open)."""
+    return lookup(places, population, ["location_code"]).select(
         surrogate_key("location_code", "location_type").alias("location_id"),
         "location_code",
         "state_name",
@@ -131,5 +124,22 @@ def dim_location(
     )
 
 
+def dim_location(
+    generation: DataFrame,
+    stations: DataFrame,
+    demand: DataFrame,
+    population: DataFrame,
+    valid_from: str | None = None,
+    valid_to: str | None = None,
+    state: str = fixed.STATE_NAME,
+) -> DataFrame:
+    """States, weather stations and balancing authorities in one dimension.
+
+    The types keep the three inputs apart, so each is made distinct by itself and their union stays distinct.
+    """
+    every = state_places(generation).unionByName(station_places(stations)).unionByName(authority_places(demand, state))
+    return describe_places(every, population, valid_from, valid_to)
+
+
 def location_bridge(locations: DataFrame, pairs: DataFrame) -> DataFrame:
     return build_bridge(locations, pairs)

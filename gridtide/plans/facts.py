@@ -7,15 +7,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import calendar as cal, fixed_values as fixed
 from ..functions.numeric import safe_div, wind_chill
 from ..operators.dedup import latest_by
-from ..operators.joins import drop_existing, validity_join
+from ..operators.joins import drop_existing, null_safe_join, validity_join
 from ..operators.series import delta, pct_change, share_of_total, sliced
 from ..operators.upsert import rewrite_forward, upsert
 from ..sources.watermark import newer_than
 
-DEMAND_KEYS = ["date_id", "hour_of_day", "location_id"]
+# The business code stands beside the location key: places missing from the dimension have no key, and would
+# otherwise be taken for one place.
+DEMAND_KEYS = ["date_id", "hour_of_day", "location_id", "balancing_authority"]
 WEATHER_KEYS = ["date_id", "hour_of_day", "station_id"]
-GENERATION_KEYS = ["date_id", "location_id", "energy_source_id", "sector_id"]
-SALES_KEYS = ["date_id", "location_id", "sector_id"]
+GENERATION_KEYS = ["date_id", "location_id", "location_code", "energy_source_id", "sector_id"]
+SALES_KEYS = ["date_id", "location_id", "state_id", "sector_id"]
+
+DEMAND_SERIES = ["location_id", "balancing_authority"]
+GENERATION_SERIES = ["location_id", "location_code", "energy_source_id", "sector_id"]
+SALES_SERIES = ["sector_id", "location_id", "state_id"]
 
 
 def month_cut(date: str = "date") -> Column:
@@ -40,6 +46,7 @@ def demand_base(staged: DataFrame, locations: DataFrame) -> DataFrame:
         cal.date_id("date").alias("date_id"),
         "hour_of_day",
         "location_id",
+        "balancing_authority",
         "timestamp",
         "date",
         "day_part",
@@ -53,7 +60,7 @@ def demand_base(staged: DataFrame, locations: DataFrame) -> DataFrame:
 def demand_changes(base: DataFrame) -> DataFrame:
     return sliced(
         base,
-        ["location_id"],
+        DEMAND_SERIES,
         "timestamp",
         month_cut(),
         1,
@@ -69,7 +76,7 @@ def fact_demand(staged: DataFrame, locations: DataFrame) -> DataFrame:
 def fact_demand_increment(target: DataFrame, staged: DataFrame, locations: DataFrame) -> DataFrame:
     """Rows to merge into the demand fact: uploads beyond its watermark, and every later row they change."""
     updates = demand_base(newer_than(staged, "source_uploaded_at", target), locations)
-    return rewrite_forward(target, updates, DEMAND_KEYS, ["location_id"], "timestamp", 1, demand_changes)
+    return rewrite_forward(target, updates, DEMAND_KEYS, DEMAND_SERIES, "timestamp", 1, demand_changes)
 
 
 def weather_base(staged: DataFrame, locations: DataFrame, hourly: bool = False) -> DataFrame:
@@ -145,6 +152,7 @@ def generation_base(staged: DataFrame, sources: DataFrame, locations: DataFrame)
         .select(
             cal.date_id(F.trunc("generation_date", "month")).alias("date_id"),
             "location_id",
+            "location_code",
             "energy_source_id",
             "sector_id",
             "period",
@@ -167,8 +175,8 @@ def generation_shares(base: DataFrame, exclude_from_total: tuple[str, ...] = ())
     A month of a location has one row per fuel and sector, and a series one row per month, so no window group
     grows with the data. Energy sources in ``exclude_from_total`` take no part in the total.
     """
-    month = Window.partitionBy("date_id", "location_id")
-    series = Window.partitionBy("location_id", "energy_source_id", "sector_id").orderBy("generation_date")
+    month = Window.partitionBy("date_id", "location_id", "location_code")
+    series = Window.partitionBy(*GENERATION_SERIES).orderBy("generation_date")
     columns = {"monthly_generation_change_mwh": delta("generation_mwh", series)}
     if exclude_from_total:
         counted = F.when(~F.col("energy_source_id").isin(list(exclude_from_total)), F.col("generation_mwh"))
@@ -191,14 +199,14 @@ def fact_generation_increment(
     The share of a month depends on all its rows, so a location is derived anew from its first changed month.
     """
     fresh = generation_base(newer_than_upload(staged, target), sources, locations)
-    updates = drop_existing(fresh, target, GENERATION_KEYS)
-    series = ["location_id", "energy_source_id", "sector_id"]
+    updates = drop_existing(fresh, target, GENERATION_KEYS, null_safe=True)
     base = updates.columns
-    first = updates.groupBy("location_id").agg(F.min("generation_date").alias("_since"))
-    held = target.select(*base).join(first, "location_id")
+    place = ["location_id", "location_code"]
+    first = updates.groupBy(*place).agg(F.min("generation_date").alias("_since"))
+    held = null_safe_join(target.select(*base), first, place)
     later = held.filter(F.col("generation_date") >= F.col("_since")).select(*base)
     before = latest_by(
-        held.filter(F.col("generation_date") < F.col("_since")).select(*base), series, ["generation_date"]
+        held.filter(F.col("generation_date") < F.col("_since")).select(*base), GENERATION_SERIES, ["generation_date"]
     )
     merged = upsert(later, updates, GENERATION_KEYS).withColumn("_context", F.lit(False))
     derived = generation_shares(merged.unionByName(before.withColumn("_context", F.lit(True))))
@@ -222,6 +230,7 @@ def sales_base(staged: DataFrame, locations: DataFrame) -> DataFrame:
     return keyed.select(
         cal.date_id(F.trunc("sales_date", "month")).alias("date_id"),
         "location_id",
+        "state_id",
         "sector_id",
         "period",
         "sales_date",
@@ -238,7 +247,7 @@ def sales_base(staged: DataFrame, locations: DataFrame) -> DataFrame:
 
 def sales_changes(base: DataFrame) -> DataFrame:
     """Usage and revenue ratios, and the changes to 1 and 12 rows (months) before."""
-    series = Window.partitionBy("sector_id", "location_id").orderBy("sales_date")
+    series = Window.partitionBy(*SALES_SERIES).orderBy("sales_date")
     return base.withColumns(
         {
             "avg_usage_per_customer_mwh": safe_div("sales_mwh", "customer_count"),
@@ -257,7 +266,5 @@ def fact_sales(staged: DataFrame, locations: DataFrame) -> DataFrame:
 def fact_sales_increment(target: DataFrame, staged: DataFrame, locations: DataFrame) -> DataFrame:
     """Rows to merge into the sales fact: new keys only, and the later months they change."""
     fresh = sales_base(newer_than_upload(staged, target), locations)
-    updates = drop_existing(fresh, target, SALES_KEYS)
-    return rewrite_forward(
-        target, updates, SALES_KEYS, ["sector_id", "location_id"], "sales_date", 12, sales_changes
-    )
+    updates = drop_existing(fresh, target, SALES_KEYS, null_safe=True)
+    return rewrite_forward(target, updates, SALES_KEYS, SALES_SERIES, "sales_date", 12, sales_changes)

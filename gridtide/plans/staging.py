@@ -148,8 +148,12 @@ def stage_sales(raw: DataFrame, states: Sequence[str] | None = (fixed.STATE_CODE
     )
 
 
-def stage_weather(raw: DataFrame) -> DataFrame:
-    """Hourly weather, one row per station and time: the newest upload wins."""
+def stage_weather(raw: DataFrame, per_hour: bool = False) -> DataFrame:
+    """Weather readings, one row per station and time: the newest upload wins.
+
+    ``per_hour`` keeps one row per station and hour instead, the one the weather fact would keep (newest upload,
+    then latest reading), so that fact needs no second shuffle.
+    """
     parsed = landed.parse_payload(raw, landed.WEATHER_PAYLOAD)
     item = landed.explode_payload(parsed, "raw_data", with_index=True)
     reading = {
@@ -167,11 +171,12 @@ def stage_weather(raw: DataFrame) -> DataFrame:
         F.col("uploaded_at").alias("source_uploaded_at"),
         "item_index",
     ).filter(F.col("timestamp").isNotNull())
-    newest = latest_by(
-        records,
-        ["station_id", "timestamp"],
-        ["source_uploaded_at", "source_id", "item_index", *reading, "file_name"],
-    )
+    ties = ["item_index", *reading, "file_name"]
+    if per_hour:
+        hours = records.withColumn("_hour", cal.start_of_hour("timestamp"))
+        newest = latest_by(hours, ["station_id", "_hour"], ["source_uploaded_at", "source_id", "timestamp", *ties])
+    else:
+        newest = latest_by(records, ["station_id", "timestamp"], ["source_uploaded_at", "source_id", *ties])
     t = F.col("temperature_c")
     heating, cooling = degree_days(t)
     return newest.select(

@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import fixed_values as fixed
 
 
 def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Constant rows as a local relation: its size is known to the planner, which broadcasts it when small."""
-    return spark.createDataFrame(list(rows), schema)
+    """Constant rows as a local relation: its size is known to the planner, and no Python worker is started.
+
+    (Rows passed as a plain list would become a Python-made RDD of unknown size.)
+    """
+    names = [field.strip().split(" ")[0] for field in schema.split(",")]
+    columns = zip(*rows) if rows else [[] for _ in names]
+    table = pa.table({name: list(values) for name, values in zip(names, columns)})
+    return spark.createDataFrame(table, schema)
 
 
 def station_lookup(spark: SparkSession, rows: Sequence[tuple] = fixed.KNOWN_STATIONS) -> DataFrame:

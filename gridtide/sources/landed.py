@@ -64,17 +64,24 @@ def parse_payload(df: DataFrame, payload: str | None, column: str = "raw_data")
 
 
 def explode_payload(df: DataFrame, path: str, item: str = "item", with_index: bool = False) -> DataFrame:
-    """One row per element of the array at ``path``; documents without elements give no row."""
+    """One row per element of the array at ``path``; documents without elements give no row.
+
+    A plain ``explode`` makes the optimizer add a filter on the array's size, which parses every document once
+    more. The outer form followed by a filter gives the same rows from one parse.
+    """
     carried = [F.col(c) for c in df.columns if c != path.split(".")[0]]
     if with_index:
-        return df.select(*carried, F.posexplode(path).alias(f"{item}_index", item))
-    return df.select(*carried, F.explode(path).alias(item))
+        exploded = df.select(*carried, F.posexplode_outer(path).alias(f"{item}_index", item))
+    else:
+        exploded = df.select(*carried, F.explode_outer(path).alias(item))
+    return exploded.filter(F.col(item).isNotNull())
 
 
 def explode_variant(df: DataFrame, path: str, column: str = "raw_data", item: str = "item") -> DataFrame:
     """As :func:`explode_payload` for a VARIANT column; ``path`` is like ``$.response.data``."""
     array = F.variant_get(column, path, "array<variant>")
-    return df.select(*[F.col(c) for c in df.columns if c != column], F.explode(array).alias(item))
+    exploded = df.select(*[F.col(c) for c in df.columns if c != column], F.explode_outer(array).alias(item))
+    return exploded.filter(F.col(item).isNotNull())
 
 
 def variant_field(item: str, key: str, type_name: str = "string") -> Column:

@@ -8,6 +8,9 @@ and ``lineitem``; generation from ``lineitem`` with ``part`` and ``supplier``; s
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
+
+from gridtide.sources.inline import inline_table
 
 # Fixture tables. Stations: id, latitude, longitude, elevation, name; the stations AO, NF and error stay unknown.
 STATIONS = [
@@ -43,8 +46,25 @@ FUELS = [
 CALENDAR_START, CALENDAR_DAYS = "1995-01-01", 10958
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its footer is read for the schema only once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+def _spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows become documents. A table of few files is read by few tasks, so its rows are first
+    spread over all cores by their key; a table of many files is left as it is."""
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    if len(rows.inputFiles()) >= cores:
+        return rows
+    return rows.repartition(cores, rows.columns[0])
 
 
 def _at_hour(date: Column, hour: Column) -> Column:
@@ -71,27 +91,24 @@ def _document(**fields: Column) -> Column:
 
 def raw_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, file_name, uploaded_at, data_date, balancing_authority, raw_data`` (JSON text)."""
-    k = _event_k()
-    events = table(spark, sf_dir, "events").select(
+    k, cents = _event_k(), F.floor(F.col("value") * 100.0)
+    events = _spread(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"),
         F.concat(F.lit("events-"), "event_type", F.lit(".json")).alias("file_name"),
         F.col("ts").alias("uploaded_at"),
         F.to_date("ts").alias("data_date"),
         F.col("event_type").alias("balancing_authority"),
         F.when(k == 99, "n/a").otherwise(_hour_text(F.col("ts"), F.hour("ts"))).alias("period"),
-        F.when(k < 3, F.lit(None))
-        .when(F.col("event_type") == "error", -F.col("value"))
-        .otherwise(F.col("value"))
-        .alias("value"),
+        F.when(k < 3, F.lit(None)).when(F.col("event_type") == "error", -cents).otherwise(cents).alias("value"),
     )
-    orders = table(spark, sf_dir, "orders").select(
+    orders = _spread(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"),
         F.concat(F.lit("orders-"), "o_orderstatus", F.lit(".json")).alias("file_name"),
         _days_later(F.col("o_orderdate"), 1).alias("uploaded_at"),
         F.to_date("o_orderdate").alias("data_date"),
         F.col("o_orderpriority").alias("balancing_authority"),
         _hour_text(F.col("o_orderdate"), F.col("o_custkey") % 24).alias("period"),
-        F.col("o_totalprice").alias("value"),
+        F.floor("o_totalprice").alias("value"),
     )
     document = _document(
         period=F.col("period"), value=F.col("value").cast("string"), value__units=F.lit("megawatthours")
@@ -103,7 +120,7 @@ def weather_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat weather readings before they become documents."""
     k = _event_k()
     cycle = F.floor((F.col("value") % 50.0) * 10.0) / 10.0 - 10.0
-    events = table(spark, sf_dir, "events").select(
+    events = _spread(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"),
         F.concat(F.lit("weather-"), "event_type", F.lit(".json")).alias("file_name"),
         F.col("ts").alias("uploaded_at"),
@@ -114,7 +131,7 @@ def weather_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 11 != 0, k % 60 + 980.5).alias("pressure"),
         ((k % 20) / 2.0).alias("wind"),
     )
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = _spread(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.concat(F.lit("weather-"), "l_returnflag", F.lit(".json")).alias("file_name"),
         _days_later(F.col("l_shipdate"), 1).alias("uploaded_at"),
@@ -155,7 +172,7 @@ def _version(flag: str, order: tuple[str, ...]) -> Column:
 
 def raw_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, file_name, uploaded_at, data_date, raw_data``; a month is revised up to twice."""
-    fuels = spark.createDataFrame(FUELS, "p_type string, fuel string")
+    fuels = inline_table(spark, FUELS, "p_type string, fuel string")
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type").join(fuels, "p_type")
     places = (
         table(spark, sf_dir, "supplier")

@@ -42,10 +42,18 @@ class Models:
     def stage_demand(self) -> DataFrame:
         return staging.stage_demand(self.raw_demand)
 
+    @cached_property
+    def stage_demand_table(self) -> DataFrame:
+        return settle(self.stage_demand, "stage_demand")
+
     @cached_property
     def stage_weather(self) -> DataFrame:
         return staging.stage_weather(self.raw_weather)
 
+    @cached_property
+    def hourly_weather(self) -> DataFrame:
+        return staging.stage_weather(self.raw_weather, per_hour=True)
+
     @cached_property
     def stage_generation(self) -> DataFrame:
         return staging.stage_generation(adapters.raw_generation(self.spark, self.sf_dir))
@@ -73,29 +81,33 @@ class Models:
     def energy_sources(self) -> DataFrame:
         return dimensions.dim_energy_source(self.stage_generation_table)
 
+    @cached_property
+    def sources_table(self) -> DataFrame:
+        return settle(self.energy_sources, "sources")
+
+    @cached_property
+    def population(self) -> DataFrame:
+        return inline.population(self.spark, adapters.POPULATION)
+
     @cached_property
     def locations(self) -> DataFrame:
-        return dimensions.dim_location(
-            self.stage_generation,
-            self.station_metadata,
-            staging.demand_records(self.raw_demand),
-            inline.population(self.spark, adapters.POPULATION),
-        )
+        records = staging.demand_records(self.raw_demand)
+        return dimensions.dim_location(self.stage_generation, self.station_metadata, records, self.population)
 
-    def _locations_of(self, *types: str) -> DataFrame:
-        return settle(self.locations.filter(F.col("location_type").isin(*types)), "locations")
+    def _places(self, places: DataFrame) -> DataFrame:
+        return settle(dimensions.describe_places(places, self.population), "locations")
 
     @cached_property
     def authorities_table(self) -> DataFrame:
-        return self._locations_of(fixed.AUTHORITY_TYPE)
+        return self._places(dimensions.authority_places(self.stage_demand_table))
 
     @cached_property
     def stations_table(self) -> DataFrame:
-        return self._locations_of(fixed.STATION_TYPE)
+        return self._places(dimensions.station_places(self.station_metadata))
 
     @cached_property
     def states_table(self) -> DataFrame:
-        return self._locations_of(fixed.STATE_TYPE)
+        return self._places(dimensions.state_places(self.stage_generation_table))
 
     @cached_property
     def bridge_table(self) -> DataFrame:
@@ -103,33 +115,31 @@ class Models:
         pairs = inline.bridge_pairs(self.spark, adapters.PAIRS)
         return settle(dimensions.location_bridge(places, pairs), "bridge")
 
+    @cached_property
+    def demand_hours(self) -> DataFrame:
+        """The demand fact without its derived column, for models that do not use it."""
+        return facts.demand_base(self.stage_demand_table, self.authorities_table)
+
     @cached_property
     def fact_demand(self) -> DataFrame:
-        return facts.fact_demand(self.stage_demand, self.authorities_table)
+        return facts.demand_changes(self.demand_hours)
 
     @cached_property
-    def fact_demand_table(self) -> DataFrame:
-        return settle(self.fact_demand, "demand")
+    def weather_hours(self) -> DataFrame:
+        """The weather fact without its derived columns."""
+        return facts.weather_base(self.hourly_weather, self.stations_table, hourly=True)
 
     @cached_property
-    def fact_weather(self) -> DataFrame:
-        return facts.fact_weather(self.stage_weather, self.stations_table)
+    def weather_hours_table(self) -> DataFrame:
+        return settle(self.weather_hours, "weather")
 
     @cached_property
-    def fact_weather_table(self) -> DataFrame:
-        return settle(self.fact_weather, "weather")
+    def fact_weather(self) -> DataFrame:
+        return facts.weather_changes(self.weather_hours)
 
     @cached_property
     def fact_generation(self) -> DataFrame:
-        places = self.stage_generation_table.select("location_code", "state_name").distinct()
-        states = places.select(
-            "location_code",
-            F.lit(fixed.STATE_TYPE).alias("location_type"),
-        )
-        keyed = states.withColumn(
-            "location_id", dimensions.surrogate_key("location_code", "location_type")
-        )
-        return facts.fact_generation(self.stage_generation_table, self.energy_sources, keyed)
+        return facts.fact_generation(self.stage_generation_table, self.sources_table, self.states_table)
 
     @cached_property
     def fact_sales(self) -> DataFrame:
@@ -138,14 +148,12 @@ class Models:
     @cached_property
     def monthly_generation(self) -> DataFrame:
         return settle(
-            analytics.monthly_generation(self.fact_generation, self.dates, self.energy_sources), "monthly"
+            analytics.monthly_generation(self.fact_generation, self.dates, self.sources_table), "monthly"
         )
 
     @cached_property
     def correlation(self) -> DataFrame:
-        daily = analytics.daily_demand_weather(
-            self.fact_demand, self.fact_weather, self.dates, self.bridge_table
-        )
+        daily = analytics.daily_demand_weather(self.demand_hours, self.weather_hours, self.dates, self.bridge_table)
         return analytics.weather_demand_correlation(
             settle(daily, "daily"), self.authorities_table, exact_thresholds=True
         )
@@ -153,20 +161,18 @@ class Models:
     @cached_property
     def peak_drivers(self) -> DataFrame:
         hours = analytics.demand_with_weather(
-            self.fact_demand, self.fact_weather_table, self.dates, self.authorities_table, self.bridge_table
+            self.demand_hours, self.weather_hours_table, self.dates, self.authorities_table, self.bridge_table
         )
-        marked = analytics.mark_peaks(settle(hours, "hours"), self.fact_weather_table)
+        marked = analytics.mark_peaks(settle(hours, "hours"), self.weather_hours_table)
         return analytics.peak_drivers(settle(marked, "marked"))
 
     @cached_property
     def cumulative(self) -> DataFrame:
-        return analytics.cumulative_patterns(self.fact_demand, self.dates)
+        return analytics.cumulative_patterns(self.demand_hours, self.dates)
 
     @cached_property
     def state_changes(self) -> DataFrame:
-        return analytics.grid_state_changes(
-            self.fact_demand_table, self.fact_weather, self.dates, self.bridge_table
-        )
+        return analytics.grid_state_changes(self.demand_hours, self.weather_hours, self.dates, self.bridge_table)
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -285,7 +291,7 @@ def _demand_increment(m: Models) -> DataFrame:
     """The demand fact loaded in two runs, split by upload time: equal to the full refresh."""
     early, _ = _split(m)
     target = settle(facts.fact_demand(early, m.authorities_table), "target")
-    changes = settle(facts.fact_demand_increment(target, m.stage_demand, m.authorities_table), "changes")
+    changes = settle(facts.fact_demand_increment(target, m.stage_demand_table, m.authorities_table), "changes")
     return upsert.upsert(target, changes, facts.DEMAND_KEYS)
 
 
@@ -313,9 +319,9 @@ def _generation_increment(m: Models) -> DataFrame:
     cut = F.lit(SALES_CUT).cast("timestamp_ntz")
     raw = adapters.raw_generation(m.spark, m.sf_dir)
     early = staging.stage_generation(raw.filter(F.col("uploaded_at") < cut))
-    target = settle(facts.fact_generation(early, m.energy_sources, m.states_table), "target")
+    target = settle(facts.fact_generation(early, m.sources_table, m.states_table), "target")
     changes = settle(
-        facts.fact_generation_increment(target, m.stage_generation_table, m.energy_sources, m.states_table), "changes"
+        facts.fact_generation_increment(target, m.stage_generation_table, m.sources_table, m.states_table), "changes"
     )
     return upsert.upsert(target, changes, facts.GENERATION_KEYS)
 
@@ -325,7 +331,7 @@ def _cumulative_increment(m: Models) -> DataFrame:
     early, _ = _split(m)
     before = settle(facts.demand_base(early, m.authorities_table), "before")
     target = settle(analytics.cumulative_patterns(before, m.dates), "target")
-    demand = settle(facts.demand_base(m.stage_demand, m.authorities_table), "after")
+    demand = settle(facts.demand_base(m.stage_demand_table, m.authorities_table), "after")
     changed = demand.join(
         before.select("location_id", "timestamp", "source_uploaded_at", "source_id"),
         ["location_id", "timestamp", "source_uploaded_at", "source_id"],
@@ -337,18 +343,15 @@ def _cumulative_increment(m: Models) -> DataFrame:
 
 def _state_increment(m: Models) -> DataFrame:
     """Grid states in two runs: the changes up to the cut, then the rest with a day of overlap."""
-    thresholds = analytics.state_thresholds(
-        m.fact_demand_table.select(F.col("location_id").alias("balancing_authority_id"), "demand_mwh"),
-        ["balancing_authority_id"],
-        "demand_mwh",
-    )
-    early = m.fact_demand_table.filter(F.col("timestamp") < F.lit(EVENTS_CUT).cast("timestamp_ntz"))
-    target = settle(
-        analytics.grid_state_changes(early, m.fact_weather_table, m.dates, m.bridge_table, thresholds), "target"
-    )
+    demand, weather = m.demand_hours, m.weather_hours_table
+    by = ["balancing_authority_id"]
+    named = demand.select(F.col("location_id").alias(by[0]), "demand_mwh")
+    thresholds = settle(analytics.state_thresholds(named, by, "demand_mwh"), "thresholds")
+    early = demand.filter(F.col("timestamp") < F.lit(EVENTS_CUT).cast("timestamp_ntz"))
+    target = settle(analytics.grid_state_changes(early, weather, m.dates, m.bridge_table, thresholds), "target")
     latest = watermark.watermark(target, "state_change_timestamp")
     fresh = analytics.grid_state_increment(
-        target, m.fact_demand_table, m.fact_weather_table, m.dates, m.bridge_table, latest
+        target, demand, weather, m.dates, m.bridge_table, latest, thresholds=thresholds
     )
     return upsert.upsert(target, fresh, ["state_change_id"]).drop("from_state_total_minutes")
 
@@ -356,10 +359,13 @@ def _state_increment(m: Models) -> DataFrame:
 def _stream_demand(m: Models) -> DataFrame:
     """Documents landed as files and ingested by a file stream into a table partitioned by month."""
     base = new_folder(m.spark, "stream")
-    m.raw_demand.select(F.to_json(F.struct(*m.raw_demand.columns)).alias("value")).write.text(f"{base}/landing")
-    schema = m.raw_demand.schema.simpleString()
+    # JSON keeps milliseconds only, so the upload time travels as text.
+    sent = m.raw_demand.withColumn("uploaded_at", F.col("uploaded_at").cast("string"))
+    sent.select(F.to_json(F.struct(*sent.columns)).alias("value")).write.text(f"{base}/landing")
+    schema = sent.schema.simpleString()
     stream = ingest.stream_landed_json(m.spark, f"{base}/landing", whole_file=False, files_per_batch=4)
     documents = stream.select(F.from_json("raw_data", schema).alias("doc")).select("doc.*")
+    documents = documents.withColumn("uploaded_at", cal.to_ntz("uploaded_at"))
 
     def stage(batch: DataFrame) -> DataFrame:
         return staging.stage_demand(batch).withColumn("month", F.trunc("date", "month"))
@@ -399,7 +405,7 @@ def _validity(m: Models) -> DataFrame:
         {"version": F.lit("new"), "valid_from_date": cut, "valid_to_date": F.lit(None).cast("date")}
     )
     joined = joins.validity_join(
-        m.stage_demand,
+        m.stage_demand_table,
         old.unionByName(new),
         ("balancing_authority", "location_code"),
         "date",
@@ -481,16 +487,16 @@ def _relationships(m: Models) -> DataFrame:
 def _quality_suite(m: Models) -> DataFrame:
     """Violation counts of every declared check of the source-near models and facts."""
     frames = {
-        "stage_demand": m.stage_demand,
+        "stage_demand": m.stage_demand_table,
         "stage_sales": settle(m.stage_sales, "sales"),
-        "stage_weather": m.stage_weather,
+        "stage_weather": settle(m.stage_weather, "weather"),
         "station_metadata": m.station_metadata,
         "stage_generation": m.stage_generation_table,
         "dim_location": m.authorities_table.unionByName(m.stations_table).unionByName(m.states_table),
-        "dim_energy_source": settle(m.energy_sources, "sources"),
+        "dim_energy_source": m.sources_table,
         "dim_date": m.dates,
-        "fact_demand": m.fact_demand_table,
-        "fact_weather": m.fact_weather_table,
+        "fact_demand": settle(m.fact_demand, "demand"),
+        "fact_weather": m.weather_hours_table,
         "fact_generation": settle(m.fact_generation, "generation"),
         "fact_sales": settle(m.fact_sales, "sales"),
         "location_bridge": m.bridge_table,
