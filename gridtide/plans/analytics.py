@@ -16,6 +16,7 @@ from ..operators.upsert import initial_bound, overlap_window, rewrite_forward
 from .facts import month_cut
 
 CUMULATIVE_KEYS = ["balancing_authority_id", "date_id"]
+PROFILE_KEYS = ["location_id", "season", "hour_of_day"]
 CUMULATIVE_REACH = fixed.INITIAL_LOAD_DAYS - 1
 
 
@@ -268,16 +269,14 @@ def mark_peaks(hours: DataFrame, weather: DataFrame) -> DataFrame:
     )
 
 
-def peak_drivers(hours: DataFrame) -> DataFrame:
-    """Marked demand hours with their seasonal baseline and the parts that weather, weekend and time of day explain.
+def demand_profile(hours: DataFrame) -> DataFrame:
+    """One row per authority, season and hour of day: temperature sensitivity and every baseline of demand.
 
-    One aggregation per authority, season and hour of day holds all baselines; the season-wide means are rolled up
-    from its (at most 24) rows per season.
+    One aggregation holds all of them; the season-wide means are rolled up from its (at most 24) rows per season.
     """
     d, t = F.col("demand_mwh"), F.col("temperature_c")
     weekend = F.col("is_weekend")
-    keys = ["location_id", "season", "hour_of_day"]
-    profile = hours.groupBy(*keys).agg(
+    profile = hours.groupBy(*PROFILE_KEYS).agg(
         *stats.sensitivity(t, d),
         F.avg(F.when(weekend, d)).alias("_weekend_mean"),
         F.avg(F.when(~weekend, d)).alias("_weekday_mean"),
@@ -287,17 +286,27 @@ def peak_drivers(hours: DataFrame) -> DataFrame:
         F.count(t).alias("_n_t"),
     )
     season = Window.partitionBy("location_id", "season")
-    profile = profile.withColumns(
+    return profile.withColumns(
         {
             "_season_mean": safe_div(F.sum("_sum").over(season), F.sum("_n").over(season)),
             "_season_mean_t": safe_div(F.sum("_sum_t").over(season), F.sum("_n_t").over(season)),
         }
     )
+
+
+def peak_drivers(hours: DataFrame, profile: DataFrame | None = None) -> DataFrame:
+    """Marked demand hours with their seasonal baseline and the parts that weather, weekend and time of day explain.
+
+    Pass the settled ``demand_profile`` on large data: its size is then known before the join is planned, and the
+    hours need not be shuffled to meet it.
+    """
+    profile = demand_profile(hours) if profile is None else profile
+    d, t, weekend = F.col("demand_mwh"), F.col("temperature_c"), F.col("is_weekend")
     parts = stats.decompose(
         d, t, "_season_mean_t", "temp_sensitivity_mwh_per_degree", weekend, "_weekday_mean", "_season_mean"
     )
     return (
-        hours.join(profile, keys)
+        hours.join(profile, PROFILE_KEYS)
         .withColumns(parts)
         .select(
             surrogate_key("date_id", "hour_of_day", "location_id").alias("peak_driver_id"),
@@ -400,7 +409,8 @@ def grid_state_changes(
 ) -> DataFrame:
     """Changes of the demand state of each authority, with trigger, gap to the row before and weather.
 
-    States come from each authority's own percentiles. Weather and calendar are joined to the changes only, which
+    States come from each authority's own percentiles (pass them settled on large data, as for
+    :func:`peak_drivers`). Weather and calendar are joined to the changes only, which
     are far fewer than the demand rows.
     """
     facts = demand.select(

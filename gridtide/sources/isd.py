@@ -76,10 +76,8 @@ def parse_isd(lines: DataFrame, line: str = "value") -> DataFrame:
 
 def isd_documents(records: DataFrame) -> DataFrame:
     """Parsed records as the weather payload the staging step reads (one record per document)."""
-    stamp = F.concat(
-        F.to_date("timestamp").cast("string"),
-        F.format_string("T%02d:%02d:00Z", F.hour("timestamp"), F.minute("timestamp")),
-    )
+    clock = [F.lpad(part("timestamp").cast("string"), 2, "0") for part in (F.hour, F.minute)]
+    stamp = F.concat(F.to_date("timestamp").cast("string"), F.lit("T"), clock[0], F.lit(":"), clock[1], F.lit(":00Z"))
     reading = F.struct(
         stamp.alias("timestamp"),
         F.col("temperature_c").alias("air_temp_celsius"),

@@ -71,8 +71,12 @@ def _at_hour(date: Column, hour: Column) -> Column:
     return F.to_date(date).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour.cast("int"))
 
 
+def _digits(number: Column, width: int) -> Column:
+    return F.lpad(number.cast("string"), width, "0")
+
+
 def _hour_text(date: Column, hour: Column) -> Column:
-    return F.concat(F.to_date(date).cast("string"), F.format_string("T%02d", hour.cast("int")))
+    return F.concat(F.to_date(date).cast("string"), F.lit("T"), _digits(hour, 2))
 
 
 def _days_later(timestamp: Column, days: Column | int) -> Column:
@@ -260,11 +264,15 @@ def isd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The weather readings as fixed-width lines (tenths, sentinels for missing values); wind in its second place
     for odd hours, so that the parser has to look for it."""
 
-    def field(column: str, pattern: str, missing: str) -> Column:
+    def field(column: str, missing: str) -> Column:
         tenths = F.round(F.col(column) * 10.0).cast("int")
-        return F.when(F.col(column).isNull(), missing).otherwise(F.format_string(pattern, tenths))
+        if missing.startswith("+"):
+            text = F.concat(F.when(tenths < 0, "-").otherwise("+"), _digits(F.abs(tenths), 4))
+        else:
+            text = _digits(tenths, 5)
+        return F.coalesce(text, F.lit(missing))
 
-    wind = F.format_string("%05d", F.round(F.col("wind") * 10.0).cast("int"))
+    wind = _digits(F.round(F.col("wind") * 10.0).cast("int"), 5)
     odd = F.hour("timestamp") % 2 == 1
     readings = weather_readings(spark, sf_dir).withColumn("wind", wind)
     line = F.concat(
@@ -272,15 +280,16 @@ def isd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.rpad("station_id", 6, " "),
         F.lit("ABCDE"),
         F.date_format(F.to_date("timestamp"), "yyyyMMdd"),
-        F.format_string("%02d00", F.hour("timestamp")),
+        _digits(F.hour("timestamp"), 2),
+        F.lit("00"),
         F.repeat(F.lit("x"), F.lit(34)),
         F.when(odd, F.concat("wind", F.lit("xxxx"))).otherwise(F.concat(F.lit("xxxx"), "wind")),
         F.repeat(F.lit("x"), F.lit(17)),
-        field("temperature", "%+05d", "+9999"),
+        field("temperature", "+9999"),
         F.lit("1"),
-        field("dew_point", "%+05d", "+9999"),
+        field("dew_point", "+9999"),
         F.lit("1"),
-        field("pressure", "%05d", "99999"),
+        field("pressure", "99999"),
         F.lit("1ADD"),
     )
     return readings.select(line.alias("value"))

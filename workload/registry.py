@@ -164,7 +164,8 @@ class Models:
             self.demand_hours, self.weather_hours_table, self.dates, self.authorities_table, self.bridge_table
         )
         marked = analytics.mark_peaks(settle(hours, "hours"), self.weather_hours_table)
-        return analytics.peak_drivers(settle(marked, "marked"))
+        marked = settle(marked, "marked")
+        return analytics.peak_drivers(marked, settle(analytics.demand_profile(marked), "profile"))
 
     @cached_property
     def cumulative(self) -> DataFrame:
@@ -172,7 +173,15 @@ class Models:
 
     @cached_property
     def state_changes(self) -> DataFrame:
-        return analytics.grid_state_changes(self.demand_hours, self.weather_hours, self.dates, self.bridge_table)
+        return analytics.grid_state_changes(
+            self.demand_hours, self.weather_hours, self.dates, self.bridge_table, self.thresholds_table
+        )
+
+    @cached_property
+    def thresholds_table(self) -> DataFrame:
+        by = "balancing_authority_id"
+        named = self.demand_hours.select(F.col("location_id").alias(by), "demand_mwh")
+        return settle(analytics.state_thresholds(named, [by], "demand_mwh"), "thresholds")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -343,10 +352,7 @@ def _cumulative_increment(m: Models) -> DataFrame:
 
 def _state_increment(m: Models) -> DataFrame:
     """Grid states in two runs: the changes up to the cut, then the rest with a day of overlap."""
-    demand, weather = m.demand_hours, m.weather_hours_table
-    by = ["balancing_authority_id"]
-    named = demand.select(F.col("location_id").alias(by[0]), "demand_mwh")
-    thresholds = settle(analytics.state_thresholds(named, by, "demand_mwh"), "thresholds")
+    demand, weather, thresholds = m.demand_hours, m.weather_hours_table, m.thresholds_table
     early = demand.filter(F.col("timestamp") < F.lit(EVENTS_CUT).cast("timestamp_ntz"))
     target = settle(analytics.grid_state_changes(early, weather, m.dates, m.bridge_table, thresholds), "target")
     latest = watermark.watermark(target, "state_change_timestamp")
