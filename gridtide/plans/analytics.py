@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import calendar as cal, classify, fixed_values as fixed
 from ..functions.keys import surrogate_key
@@ -405,7 +405,12 @@ def cumulative_increment(target: DataFrame, demand: DataFrame, dates: DataFrame,
 
 
 def grid_state_changes(
-    demand: DataFrame, weather: DataFrame, dates: DataFrame, bridge: DataFrame, thresholds: DataFrame | None = None
+    demand: DataFrame,
+    weather: DataFrame,
+    dates: DataFrame,
+    bridge: DataFrame,
+    thresholds: DataFrame | None = None,
+    cut: Column | None = None,
 ) -> DataFrame:
     """Changes of the demand state of each authority, with trigger, gap to the row before and weather.
 
@@ -426,7 +431,7 @@ def grid_state_changes(
         thresholds = state_thresholds(facts, by, "demand_mwh")
     dated = facts.join(dates.select("date_id"), "date_id", "left_semi")
     states = classify_by_thresholds(dated, thresholds, by, "demand_mwh", "demand_state")
-    changes = state_changes(states, by, "timestamp", "demand_state", month_cut())
+    changes = state_changes(states, by, "timestamp", "demand_state", month_cut() if cut is None else cut)
     readings = weather.select(
         "date_id",
         "hour_of_day",

@@ -18,11 +18,21 @@ def dim_date(
     as_of: str | None = None,
     holiday_offsets: tuple[int, int] = fixed.FLOATING_HOLIDAY_OFFSETS,
 ) -> DataFrame:
-    """One row per day. ``as_of`` marks the current date; without it no day is current. Unordered; sort to show."""
+    """One row per day of a generated calendar, see :func:`describe_dates`."""
+    return describe_dates(date_spine(spark, start, n), as_of, holiday_offsets)
+
+
+def describe_dates(
+    spine: DataFrame, as_of: str | None = None, holiday_offsets: tuple[int, int] = fixed.FLOATING_HOLIDAY_OFFSETS
+) -> DataFrame:
+    """Calendar attributes of dates. ``as_of`` marks the current date; without it no day is current.
+
+    Unordered; sort by date to show.
+    """
     d = F.col("date")
     quarter = F.quarter(d).cast("string")
     current = F.lit(False) if as_of is None else d == F.lit(as_of).cast("date")
-    return date_spine(spark, start, n).select(
+    return spine.select(
         "date",
         cal.date_id(d).alias("date_id"),
         F.dayofmonth(d).alias("day_of_month"),

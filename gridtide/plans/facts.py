@@ -25,7 +25,7 @@ SALES_SERIES = ["sector_id", "location_id", "state_id"]
 
 
 def month_cut(date: str = "date") -> Column:
-    """Slice of an hourly series: at most 744 rows."""
+    """Slice of an hourly series: at most 744 rows. Pass a finer ``cut`` for readings much denser than hourly."""
     return F.trunc(date, "month")
 
 
@@ -57,20 +57,20 @@ def demand_base(staged: DataFrame, locations: DataFrame) -> DataFrame:
     )
 
 
-def demand_changes(base: DataFrame) -> DataFrame:
+def demand_changes(base: DataFrame, cut: Column | None = None) -> DataFrame:
     return sliced(
         base,
         DEMAND_SERIES,
         "timestamp",
-        month_cut(),
+        month_cut() if cut is None else cut,
         1,
         lambda w: {"hourly_demand_change_mwh": delta("demand_mwh", w)},
     )
 
 
-def fact_demand(staged: DataFrame, locations: DataFrame) -> DataFrame:
+def fact_demand(staged: DataFrame, locations: DataFrame, cut: Column | None = None) -> DataFrame:
     """Hourly demand per authority with the change to the hour before."""
-    return demand_changes(demand_base(staged, locations))
+    return demand_changes(demand_base(staged, locations), cut)
 
 
 def fact_demand_increment(target: DataFrame, staged: DataFrame, locations: DataFrame) -> DataFrame:
@@ -112,21 +112,23 @@ def weather_base(staged: DataFrame, locations: DataFrame, hourly: bool = False)
     )
 
 
-def weather_changes(base: DataFrame) -> DataFrame:
+def weather_changes(base: DataFrame, cut: Column | None = None) -> DataFrame:
     changed = sliced(
         base,
         ["station_id"],
         "timestamp",
-        month_cut(),
+        month_cut() if cut is None else cut,
         1,
         lambda w: {"hourly_temp_change_c": delta("temperature_c", w)},
     )
     return changed.withColumn("feels_like_temp_c", wind_chill("temperature_c", "wind_speed_ms"))
 
 
-def fact_weather(staged: DataFrame, locations: DataFrame, hourly: bool = False) -> DataFrame:
+def fact_weather(
+    staged: DataFrame, locations: DataFrame, hourly: bool = False, cut: Column | None = None
+) -> DataFrame:
     """Hourly weather per station with the change to the hour before and the felt temperature."""
-    return weather_changes(weather_base(staged, locations, hourly))
+    return weather_changes(weather_base(staged, locations, hourly), cut)
 
 
 def fact_weather_increment(target: DataFrame, staged: DataFrame, locations: DataFrame) -> DataFrame:

@@ -40,3 +40,9 @@ def bridge_pairs(spark: SparkSession, rows: Sequence[tuple] = fixed.BRIDGE_PAIRS
 def date_spine(spark: SparkSession, start: str = fixed.CALENDAR_START, n: int = fixed.CALENDAR_DAYS) -> DataFrame:
     """``n`` consecutive dates. Generated in parallel, no global numbering."""
     return spark.range(n).select(F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("date"))
+
+
+def spanning_spine(df: DataFrame, date: str) -> DataFrame:
+    """Every day from the first to the last date of ``df``, gaps included."""
+    span = df.agg(F.min(date).cast("date").alias("_first"), F.max(date).cast("date").alias("_last"))
+    return span.select(F.explode(F.sequence("_first", "_last")).alias("date"))

@@ -15,8 +15,10 @@ from pyspark.sql.types import StructType
 
 from ..operators.dedup import latest_by
 from ..operators.upsert import fit_schema
+from ..plans import analytics
 from ..sources.landed import stamp_landed
 from ..sources.tables import refresh_partitions, settle
+from ..sources.watermark import watermark
 
 
 def stream_landed_json(
@@ -67,11 +69,17 @@ def ingest(
     keys: Sequence[str],
     newest_first: Sequence[str],
     partition: Sequence[str],
+    after: Callable[[], None] | None = None,
 ) -> StreamingQuery:
-    """Processes everything that has arrived and stops; start it again for the next batch of files."""
+    """Processes everything that has arrived and stops; start it again for the next batch of files.
+
+    ``after`` runs once each batch is merged, for tables that follow this one (see :func:`capture_states`).
+    """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         merge_into(stage(batch), path, keys, newest_first, partition)
+        if after:
+            after()
 
     return (
         stream.writeStream.foreachBatch(merge)
@@ -79,3 +87,25 @@ def ingest(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def capture_states(
+    spark: SparkSession,
+    demand: DataFrame,
+    changes_path: str,
+    weather: DataFrame,
+    dates: DataFrame,
+    bridge: DataFrame,
+    days: int = 1,
+) -> None:
+    """Appends the grid-state changes not captured yet, looking ``days`` back from the latest captured one.
+
+    Running it again adds nothing: captured ids are left out.
+    """
+    captured = stored_table(spark, changes_path)
+    if captured is None:
+        changes = analytics.grid_state_changes(demand, weather, dates, bridge)
+    else:
+        latest = watermark(captured, "state_change_timestamp")
+        changes = analytics.grid_state_increment(captured, demand, weather, dates, bridge, latest, days)
+    settle(changes, "states").write.mode("append").parquet(changes_path)

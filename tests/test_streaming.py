@@ -2,7 +2,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from gridtide.plans import staging
+from gridtide.plans import analytics, dimensions, staging
+from gridtide.sources import tables
 from gridtide.streaming import ingest
 
 from .helpers import rows
@@ -52,3 +53,37 @@ def test_a_batch_delivered_twice_changes_nothing(spark, tmp_path):
     for _ in range(2):
         ingest.merge_into(df, path, ["k"], ["v"], ["part"])
     assert rows(ingest.stored_table(spark, path)) == [("a", 1, "p"), ("b", 2, "q")]
+
+
+def test_states_are_captured_once_as_demand_arrives(spark, tmp_path):
+    dates = dimensions.dim_date(spark, "2024-01-01", 40)
+    weather = spark.createDataFrame(
+        [],
+        "date_id string, hour_of_day int, location_id string, station_id string, timestamp timestamp_ntz, "
+        "temperature_c double, pressure_hpa double, wind_speed_ms double",
+    )
+    bridge = spark.createDataFrame([], "balancing_authority_id string, weather_station_id string")
+
+    def demand(hours):
+        start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+        at = start + F.make_dt_interval(F.lit(0), F.col("id").cast("int"))
+        return spark.range(hours).select(
+            F.lit("A").alias("location_id"), at.alias("timestamp"), F.to_date(at).alias("date"),
+            F.date_format(F.to_date(at), "yyyyMMdd").alias("date_id"), F.hour(at).alias("hour_of_day"),
+            (F.col("id") % 24).cast("double").alias("demand_mwh"),
+        )
+
+    path = str(tmp_path / "states")
+    counts = []
+    for hours in (48, 48, 96):
+        ingest.capture_states(spark, demand(hours), path, weather, dates, bridge)
+        stored = ingest.stored_table(spark, path)
+        assert stored.count() == stored.select("state_change_id").distinct().count()
+        counts.append(stored.count())
+    whole = analytics.grid_state_changes(demand(96), weather, dates, bridge)
+    assert counts[0] == counts[1] < counts[2] == whole.count()
+
+
+def test_view_can_be_queried(spark):
+    tables.publish_view(spark.range(3).toDF("x"), "three_rows")
+    assert spark.sql("SELECT sum(x) FROM three_rows").first()[0] == 3

@@ -207,6 +207,11 @@ def _trailing_avg(m: Models) -> DataFrame:
     )
 
 
+def _observed_calendar(m: Models) -> DataFrame:
+    """Calendar attributes of every day from the first to the last landed demand document."""
+    return dimensions.describe_dates(inline.spanning_spine(m.raw_demand, "data_date"), as_of="2024-01-15")
+
+
 def _isd(m: Models) -> DataFrame:
     """Fixed-width records written as gzipped files, read back and parsed."""
     path = new_folder(m.spark, "isd")
@@ -526,7 +531,7 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "q_open_payload": _open_payload,
     "q_watermark": _watermark,
     "q_newer_than": _newer_than,
-    "q_dim_date": lambda m: m.dates,
+    "q_dim_date": _observed_calendar,
     "q_dim_energy_source": lambda m: m.energy_sources,
     "q_dim_location": lambda m: m.locations,
     "q_bridge": lambda m: m.bridge_table,
