@@ -70,7 +70,7 @@ def test_states_are_captured_once_as_demand_arrives(spark, tmp_path):
         return spark.range(hours).select(
             F.lit("A").alias("location_id"), at.alias("timestamp"), F.to_date(at).alias("date"),
             F.date_format(F.to_date(at), "yyyyMMdd").alias("date_id"), F.hour(at).alias("hour_of_day"),
-            (F.col("id") % 24).cast("double").alias("demand_mwh"),
+            F.when(F.hour(at).between(17, 21), 100.0).otherwise(10.0).alias("demand_mwh"),
         )
 
     path = str(tmp_path / "states")
@@ -81,7 +81,8 @@ def test_states_are_captured_once_as_demand_arrives(spark, tmp_path):
         assert stored.count() == stored.select("state_change_id").distinct().count()
         counts.append(stored.count())
     whole = analytics.grid_state_changes(demand(96), weather, dates, bridge)
-    assert counts[0] == counts[1] < counts[2] == whole.count()
+    assert counts == [4, 4, 8]
+    assert rows(stored.select(*whole.columns).drop("from_state_total_minutes")) == rows(whole.drop("from_state_total_minutes"))
 
 
 def test_view_can_be_queried(spark):
