@@ -4,7 +4,7 @@ OP9 = r"""
 WITH split AS (
   SELECT doc_id, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
 ), grams AS (
   SELECT doc_id, i, w[i:i + 2] AS gram
@@ -17,7 +17,7 @@ WITH split AS (
   WHERE n > 1 GROUP BY doc_id
 ), measured AS (
   SELECT doc_id, text, w, lines, CAST(len(w) AS BIGINT) AS n_words,
-         CAST(coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
          CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
@@ -29,11 +29,11 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT (base_failed
          OR n_symbols * 10 > n_words
          OR word_chars < 2 * n_words OR word_chars > 12 * n_words
-         OR len(list_filter(w, x -> NOT regexp_matches(x, '\p{L}'))) * 5 > n_words
-         OR len(list_filter(w, x -> length(x) > 40)) * 20 > n_words
+         OR len(list_filter(w, lambda x: NOT regexp_matches(x, '\p{L}'))) * 5 > n_words
+         OR len(list_filter(w, lambda x: length(x) > 40)) * 20 > n_words
          OR (n_dup_lines > 3 AND n_dup_lines * 2 > len(lines))
          OR len(list_distinct(w)) * 10 < sqrt(n_words) * 20
-         OR len(list_filter(lines, x -> regexp_matches(x, '^\s*[-*•]'))) * 10 > len(lines) * 9) AS kept
+         OR len(list_filter(lines, lambda x: regexp_matches(x, '^\s*[-*•]'))) * 10 > len(lines) * 9) AS kept
 FROM based
 """
 

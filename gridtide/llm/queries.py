@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality_rules
+from . import decontaminate, quality_rules, token_output
 from .common import table
 
 
@@ -17,6 +17,23 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def word_bpe() -> str:
+    """The place of the tokenizer file; the package that holds it is installed with the public vocabularies."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.encoded(table(spark, sf_dir, "documents"), word_bpe())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_token_output": op6_token_output,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op9_quality_rules": op9_quality_rules,
 }
