@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, quality_rules, token_output
+from . import chat, decontaminate, mixing, quality_rules, sharding, token_output
 from .common import table
 
 
@@ -32,8 +32,37 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.encoded(table(spark, sf_dir, "documents"), word_bpe())
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    shared = chat.with_turns(turns, chat.opening_pairs(turns))
+    return chat.format_pairs(shared.unionByName(chat.swapped_endings(turns)))
+
+
+MIX_SEED = 7
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.measured(table(spark, sf_dir, "documents"))
+    plan = mixing.leaf_plan(rows, fraction=0.9, max_epochs=2, seed=MIX_SEED)
+    return mixing.chosen(rows, plan, MIX_SEED, "id_").select(
+        F.col("id_").alias("doc_id"),
+        F.col("leaf_domain").alias("domain"),
+        F.col("leaf_lang").alias("lang"),
+        F.col("leaf_source").alias("source"),
+        "epoch",
+        "n_tokens",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_sharding": op5_sharding,
     "op6_token_output": op6_token_output,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_chat_formatting": op8_chat_formatting,
     "op9_quality_rules": op9_quality_rules,
+    "op10_mixing": op10_mixing,
 }
