@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, mixing, quality_rules, sharding, token_output
+from . import chat, decontaminate, html_text, mixing, quality_rules, sharding, token_output
 from .common import table
 
 
@@ -32,6 +32,10 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.encoded(table(spark, sf_dir, "documents"), word_bpe())
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_html_extraction": op4_html_extraction,
     "op5_sharding": op5_sharding,
     "op6_token_output": op6_token_output,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
