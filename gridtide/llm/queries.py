@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, html_text, mixing, quality_rules, sharding, token_output
+from . import chat, decontaminate, html_text, mixing, quality_rules, sharding, token_output, toxicity
 from .common import table
 
 
@@ -32,6 +32,10 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.encoded(table(spark, sf_dir, "documents"), word_bpe())
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))
 
@@ -63,6 +67,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op4_html_extraction": op4_html_extraction,
     "op5_sharding": op5_sharding,
     "op6_token_output": op6_token_output,
