@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, html_text, mixing, quality_crf, quality_rules, sharding, token_output, toxicity
+from . import chat, decontaminate, html_text, jaccard_join, mixing, quality_crf, quality_rules, sharding, token_output, toxicity
 from .common import table
 
 
@@ -40,6 +40,10 @@ def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.joined(table(spark, sf_dir, "documents"))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))
 
@@ -73,6 +77,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_crf": op2_quality_crf,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_html_extraction": op4_html_extraction,
     "op5_sharding": op5_sharding,
     "op6_token_output": op6_token_output,
