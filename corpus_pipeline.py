@@ -1,11 +1,55 @@
-"""Corpus pipeline; its stages are added as their operators are."""
+"""Corpus pipeline: toxic documents go, one of each group of near copies stays, benchmark leaks go, the rest is mixed
+to target weights and written as token shards.
 
-STAGES = []
+A stage is a function of (spark, docs, sf_dir). Its result is written as Parquet and read again as the next one's docs.
+All stages but the last return the columns of ``documents``; the last returns the index of the token shards. Rows with
+one id share the fate of that id in the filtering stages; rows without an id stay. An empty table passes through.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from gridtide.llm import decontaminate, jaccard_join, mixing, queries, token_output, toxicity
+from gridtide.llm.common import table, written
+
+MIX_FRACTION = 0.9
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.one_of_each(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs, fraction=MIX_FRACTION, max_epochs=1, seed=queries.MIX_SEED).drop("epoch")
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return token_output.encoded(docs, queries.word_bpe())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("jaccard_join", keep_one_of_each),
+    ("decontamination", drop_leaks),
+    ("mixing", mix_sources),
+    ("token_output", write_tokens),
+]
+
+#: SQL can express neither the classifier nor the tokenizer; the stages are tested against brute force instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name)
     return docs
