@@ -42,8 +42,11 @@ from .hashing import WordHasher, chunks, grams, mix
 WORDS = 4
 #: Links need 100 * intersection >= SHARE * union.
 SHARE = 85
+#: Points outside the largest component that a region may have to be compared pair by pair. Each recursion, which leaves
+#: far fewer points, allows four times as many.
 SMALL_REGION = 32
-PIVOT_ROUNDS = 3
+#: Pivots of a region before its shingle is moved to the end of the order; one more than that in the first regions.
+PIVOT_ROUNDS = 1
 #: Most ids, or common shingles, that are sent to every executor. More ids are joined by shuffle; of more common
 #: shingles the largest regions' ones are moved, which changes the order only.
 BROADCAST_ROWS = 1_000_000
@@ -256,32 +259,34 @@ class Joiner:
         pairs = met.where(space.near_sizes("na", "nb")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         self.link(space.compared(pairs.distinct()).where("linked").select("a", "b"))
 
-    def join(self, points: DataFrame, common: np.ndarray) -> None:
+    def join(self, points: DataFrame, common: np.ndarray, depth: int = 0) -> None:
         """Links all points within EPS of each other; ``common`` shingles are last in the order of the anchors."""
         space = Space(self.docs, points, self.k, self.share)
-        rows, turn = written(regions_of(points), "regions"), 0
+        rows, turn, few = written(regions_of(points), "regions"), 2 * depth, SMALL_REGION << 2 * depth
+        last = turn + PIVOT_ROUNDS + (depth == 0)
         while True:
             rows = self.contested(self.pivot_round(space, rows, turn))
             turn += 1
-            small = rows.where(F.col("outside") <= SMALL_REGION)
+            small = rows.where(F.col("outside") <= few)
             if small.limit(1).count():
                 self.pair_by_pair(space, small)
-            rows = rows.where(F.col("outside") > SMALL_REGION)
+            rows = rows.where(F.col("outside") > few)
             if not rows.limit(1).count():
                 return
             rows = self.contested(rows)
-            if turn < PIVOT_ROUNDS:
+            if turn < last:
                 continue
             sizes = rows.groupBy("region").agg(F.count("*").alias("size")).where(F.col("region") < LATE)
             new = [r["region"] for r in sizes.orderBy(F.desc("size"), "region").limit(BROADCAST_ROWS).select("region").collect()]
-            if not new:  # every region left is of a common shingle already: go on pivot by pivot
+            if not new:  # every region left is of a common shingle already
+                few *= 4
                 continue
             common = np.union1d(common, np.array(new, dtype=np.int64))
             again = written(rows.where(F.col("region") < LATE).select(F.col("rep").alias("id")).distinct(), "again")
             held = written(described(named(self.docs, again), self.k, self.share, common), "described")
             known = points.select("rep", "f1")
             anew = held.select(F.col("doc_id").alias("rep"), "n", "f1", "anchors").join(known, ["rep", "f1"], "left_semi")
-            self.join(written(anew.dropDuplicates(["rep", "f1"]), "points"), common)
+            self.join(written(anew.dropDuplicates(["rep", "f1"]), "points"), common, depth + 1)
             rows = self.contested(rows.where(F.col("region") >= LATE))
             if not rows.limit(1).count():
                 return
