@@ -31,11 +31,22 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str = "step") -> DataFrame:
-    """``df`` written once to the shared folder and read back: cuts lineage and survives lost executors."""
+    """``df`` written once to the shared folder and read back: cuts lineage and survives lost executors.
+
+    Once it is written its shuffle files serve nobody; Spark is told to remove them then, not at some later time.
+    """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -104,10 +104,10 @@ def described(docs: DataFrame, k: int, share: int, common: np.ndarray | None = N
     return docs.mapInPandas(describe, "doc_id long, n int, f1 long, f2 long, anchors array<long>")
 
 
-def named(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents with these ids. The ids go to the executors if they are few, else both sides are shuffled."""
+def named(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows with these ids. The ids go to the executors if they are few, else both sides are shuffled."""
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    return docs.join(wanted, F.col("doc_id") == F.col("id"), "left_semi")
+    return rows.join(wanted, F.col(key) == F.col("id"), "left_semi")
 
 
 def whole_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -138,7 +138,10 @@ class Space:
 
     def compared(self, pairs: DataFrame) -> DataFrame:
         """(a, b, dist, linked) of distinct pairs: the distance where they may link, else a lower bound of it."""
-        side = lambda c: self.points.select(
+        pairs = written(pairs, "pairs")
+        ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
+        points = named(self.points, ids, "rep")
+        side = lambda c: points.select(
             F.col("rep").alias(c), F.col("n").alias(f"n{c}"), F.col("f1").alias(f"f{c}"), F.col("anchors").alias(f"h{c}")
         )
         met = pairs.join(side("a"), "a").join(side("b"), "b")
