@@ -15,15 +15,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach, as the session names it in ``spark.checkpoint.dir``.
 
-    A session that runs in one process (a test) may leave the setting out; the warehouse folder then serves, and
-    the setting is filled in. On a cluster the setting is required.
+    A session that runs in one process (a test) may leave the setting out; a folder in the warehouse then serves. On a
+    cluster the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/steps"
-        spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 

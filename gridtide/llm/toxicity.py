@@ -63,7 +63,8 @@ def find_cues(sample: DataFrame) -> list[tuple[str, bool]]:
             held = Counter()
             for text in batch["text"]:
                 held.update({f for w in counted(text) for f in features_of(w)})
-            yield pd.DataFrame({"feature": list(held), "n": list(held.values())})
+            if held:
+                yield pd.DataFrame({"feature": list(held), "n": list(held.values())})
 
     positive = sample.where("y = 1")
     candidates = (
@@ -82,7 +83,8 @@ def find_cues(sample: DataFrame) -> list[tuple[str, bool]]:
             held = Counter()
             for text in batch["text"]:
                 held.update(names.intersection(f for w in counted(text) for f in features_of(w)))
-            yield pd.DataFrame({"feature": list(held), "n": list(held.values())})
+            if held:
+                yield pd.DataFrame({"feature": list(held), "n": list(held.values())})
 
     negative = {
         r["feature"]: r["n"]
