@@ -11,9 +11,13 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
-        "local[4]", app="tests", spark__sql__shuffle__partitions="4", spark__ui__enabled="false"
+        "local[4]",
+        app="tests",
+        spark__sql__shuffle__partitions="4",
+        spark__ui__enabled="false",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
