@@ -14,7 +14,7 @@ of the hash, the cell where the budget ends is refined by further bits, and only
 The plan has one row per leaf; documents meet it by one join and no text is shuffled for it.
 
 Defined results: a null level is a node of its own ("\\u2400"); null and blank texts have no tokens and stand where
-their hash puts them; rows with one id stand at one place and are taken together; equal weights are the default; a weight
+their hash puts them; a leaf without any token costs nothing and is taken once; rows with one id stand at one place and are taken together; equal weights are the default; a weight
 of 0 or a missing one in a given table takes only what nobody else can; an empty table gives an empty result; columns
 named like the added ones are replaced.
 """
