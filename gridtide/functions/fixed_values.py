@@ -137,10 +137,6 @@ BRIDGE_PAIRS = [
 VALID_FROM_OPEN = "1900-01-01"
 VALID_TO_OPEN = "9999-12-31"
 
-# Calendar of the date dimension.
-CALENDAR_START = "2022-01-01"
-CALENDAR_DAYS = 1386
-
 # Demand states: label, percentile a reading must exceed, from the highest down.
 DEMAND_STATES = [
     ("CRITICAL", 0.95),

@@ -13,12 +13,13 @@ from ..sources.inline import date_spine, inline_table
 
 def dim_date(
     spark: SparkSession,
-    start: str = fixed.CALENDAR_START,
-    n: int = fixed.CALENDAR_DAYS,
+    start: str,
+    n: int,
     as_of: str | None = None,
     holiday_offsets: tuple[int, int] = fixed.FLOATING_HOLIDAY_OFFSETS,
 ) -> DataFrame:
-    """One row per day of a generated calendar, see :func:`describe_dates`."""
+    """One row per day of a generated calendar, see :func:`describe_dates`. It has to span all facts that meet it:
+    ``describe_dates`` over ``spanning_spine`` of their dates takes the span from them."""
     return describe_dates(date_spine(spark, start, n), as_of, holiday_offsets)
 
 

@@ -37,7 +37,7 @@ def bridge_pairs(spark: SparkSession, rows: Sequence[tuple] = fixed.BRIDGE_PAIRS
     return inline_table(spark, rows, "ba_code string, weather_station_name string")
 
 
-def date_spine(spark: SparkSession, start: str = fixed.CALENDAR_START, n: int = fixed.CALENDAR_DAYS) -> DataFrame:
+def date_spine(spark: SparkSession, start: str, n: int) -> DataFrame:
     """``n`` consecutive dates. Generated in parallel, no global numbering."""
     return spark.range(n).select(F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("date"))
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -44,18 +42,16 @@ def publish_view(df: DataFrame, name: str) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it; only a local session may do without."""
+    """The folder every executor can reach, as the cluster names it.
+
+    A session in one process (``local[...]``) may leave it out; a folder in the warehouse serves then.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder()
-
-
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="gridtide-")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/steps"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

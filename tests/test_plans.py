@@ -80,7 +80,7 @@ def test_places_missing_from_the_dimension_stay_apart(spark):
 
 
 def test_date_dimension(spark):
-    d = dimensions.dim_date(spark, as_of="2024-02-29").filter("date = DATE'2024-02-29'").first()
+    d = dimensions.dim_date(spark, "2024-01-01", 366, as_of="2024-02-29").filter("date = DATE'2024-02-29'").first()
     assert (d.date_id, d.day_of_week, d.day_name, d.month_name, d.quarter_year, d.season) == (
         "20240229", 4, "Thursday", "February", "Q1-2024", "Winter",
     )

@@ -127,7 +127,7 @@ def test_gzip_text_is_read(spark, tmp_path):
 
 
 def test_date_spine_and_inline_tables(spark):
-    spine = inline.date_spine(spark)
+    spine = inline.date_spine(spark, "2022-01-01", 1386)
     assert spine.agg(F.min("date").cast("string"), F.max("date").cast("string"), F.count("date")).first()[:] == (
         "2022-01-01", "2025-10-17", 1386,
     )

@@ -43,7 +43,6 @@ FUELS = [
     ("PROMO", "WND"),
     ("LARGE", "BIO"),
 ]
-CALENDAR_START, CALENDAR_DAYS = "1995-01-01", 10958
 
 
 _SCHEMAS: dict[str, StructType] = {}
@@ -57,14 +56,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def _spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows become documents. A table of few files is read by few tasks, so its rows are first
-    spread over all cores by their key; a table of many files is left as it is."""
-    rows = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    if len(rows.inputFiles()) >= cores:
-        return rows
-    return rows.repartition(cores, rows.columns[0])
+def feed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First and last day of every feed: hourly ones by day, monthly ones by whole months."""
+    spans = [
+        table(spark, sf_dir, name).agg(F.min(column).alias("first"), F.max(column).alias("last"))
+        for name, column in (("events", "ts"), ("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
+    ]
+    every = spans[0].unionByName(spans[1]).unionByName(spans[2])
+    first, last = F.trunc("first", "month"), F.last_day("last")
+    return every.select(F.explode(F.array(first, last)).alias("date"))
 
 
 def _at_hour(date: Column, hour: Column) -> Column:
@@ -96,7 +96,7 @@ def _document(**fields: Column) -> Column:
 def raw_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, file_name, uploaded_at, data_date, balancing_authority, raw_data`` (JSON text)."""
     k, cents = _event_k(), F.floor(F.col("value") * 100.0)
-    events = _spread(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"),
         F.concat(F.lit("events-"), "event_type", F.lit(".json")).alias("file_name"),
         F.col("ts").alias("uploaded_at"),
@@ -105,7 +105,7 @@ def raw_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k == 99, "n/a").otherwise(_hour_text(F.col("ts"), F.hour("ts"))).alias("period"),
         F.when(k < 3, F.lit(None)).when(F.col("event_type") == "error", -cents).otherwise(cents).alias("value"),
     )
-    orders = _spread(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"),
         F.concat(F.lit("orders-"), "o_orderstatus", F.lit(".json")).alias("file_name"),
         _days_later(F.col("o_orderdate"), 1).alias("uploaded_at"),
@@ -124,7 +124,7 @@ def weather_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat weather readings before they become documents."""
     k = _event_k()
     cycle = F.floor((F.col("value") % 50.0) * 10.0) / 10.0 - 10.0
-    events = _spread(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"),
         F.concat(F.lit("weather-"), "event_type", F.lit(".json")).alias("file_name"),
         F.col("ts").alias("uploaded_at"),
@@ -135,7 +135,7 @@ def weather_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 11 != 0, k % 60 + 980.5).alias("pressure"),
         ((k % 20) / 2.0).alias("wind"),
     )
-    lines = _spread(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.concat(F.lit("weather-"), "l_returnflag", F.lit(".json")).alias("file_name"),
         _days_later(F.col("l_shipdate"), 1).alias("uploaded_at"),

@@ -11,7 +11,14 @@ from gridtide.functions import calendar as cal, fixed_values as fixed
 from gridtide.operators import dedup, joins, quality, ranks, series, stats, upsert
 from gridtide.plans import analytics, checks, dimensions, facts, reports, staging
 from gridtide.sources import inline, isd, landed, watermark
-from gridtide.sources.tables import new_folder, refresh_partitions, settle
+from gridtide.sources.tables import (
+    append_raw,
+    new_folder,
+    publish_view,
+    refresh_partitions,
+    refresh_table,
+    settle,
+)
 from gridtide.streaming import ingest
 
 from . import adapters
@@ -73,9 +80,8 @@ class Models:
 
     @cached_property
     def dates(self) -> DataFrame:
-        return dimensions.dim_date(
-            self.spark, adapters.CALENDAR_START, adapters.CALENDAR_DAYS, as_of="2024-01-15"
-        )
+        spine = inline.spanning_spine(adapters.feed_dates(self.spark, self.sf_dir), "date")
+        return dimensions.describe_dates(spine, as_of="2024-01-15")
 
     @cached_property
     def energy_sources(self) -> DataFrame:
@@ -446,8 +452,57 @@ def _group_percentiles(m: Models) -> DataFrame:
     return ranks.group_percentiles(m.stage_demand, ["balancing_authority"], "demand_mwh", STATE_PS)
 
 
+APPROX_ACCURACY = 10_000
+
+
 def _group_percentiles_approx(m: Models) -> DataFrame:
-    return ranks.group_percentiles(m.stage_demand, ["balancing_authority"], "demand_mwh", STATE_PS, exact=False)
+    """Whether each approximate percentile is a value that occurs, with an exact rank within the sketch's error."""
+    by = ["balancing_authority"]
+    found = ranks.group_percentiles(m.stage_demand_table, by, "demand_mwh", STATE_PS, False, APPROX_ACCURACY)
+    long = found.unpivot(by, [*STATE_PS], "percentile", "value")
+    counts = m.stage_demand_table.join(long, by).filter("demand_mwh IS NOT NULL").groupBy(*by, "percentile").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(F.col("demand_mwh") < F.col("value"), 1)).alias("below"),
+        F.count(F.when(F.col("demand_mwh") <= F.col("value"), 1)).alias("upto"),
+    )
+    wanted = F.create_map(*[F.lit(x) for pair in STATE_PS.items() for x in pair])[F.col("percentile")] * F.col("n")
+    error = F.ceil(F.col("n") / APPROX_ACCURACY) + 1
+    return counts.select(
+        *by,
+        "percentile",
+        (F.col("upto") > F.col("below")).alias("occurs"),
+        ((F.col("below") - error <= wanted) & (wanted <= F.col("upto") + error)).alias("rank_within_error"),
+    )
+
+
+def _table_writers(m: Models) -> DataFrame:
+    """Raw documents appended in two loads, a total table refreshed twice from them, read through a view."""
+    base = new_folder(m.spark, "writers")
+    cut = F.lit(EVENTS_CUT).cast("timestamp_ntz")
+    documents = m.raw_demand.select("id", "balancing_authority", "uploaded_at")
+    append_raw(documents.filter(F.col("uploaded_at") < cut), f"{base}/raw")
+    for late in (False, True):
+        if late:
+            append_raw(documents.filter(F.col("uploaded_at") >= cut), f"{base}/raw")
+        stored = m.spark.read.parquet(f"{base}/raw")
+        totals = stored.groupBy("balancing_authority").agg(
+            F.count(F.lit(1)).alias("documents"), F.max("uploaded_at").alias("last_upload")
+        )
+        refresh_table(totals, f"{base}/totals")
+    publish_view(m.spark.read.parquet(f"{base}/totals"), "demand_document_totals")
+    return m.spark.table("demand_document_totals").drop("loaded_at")
+
+
+def _first_run(m: Models) -> DataFrame:
+    """A load whose target table does not exist yet: everything is new, by authority."""
+    held = watermark.table_or_none(m.spark, "demand_never_loaded")
+    fresh = watermark.newer_than(m.stage_demand, "source_uploaded_at", held)
+    return fresh.groupBy("balancing_authority").agg(F.count(F.lit(1)).alias("hours"), F.sum("demand_mwh").alias("demand_mwh"))
+
+
+def _calendar(m: Models) -> DataFrame:
+    """The calendar in date order, as it is shown."""
+    return m.dates.orderBy("date")
 
 
 def _weather_rollup(m: Models) -> DataFrame:
@@ -532,6 +587,9 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "q_watermark": _watermark,
     "q_newer_than": _newer_than,
     "q_dim_date": _observed_calendar,
+    "q_calendar": _calendar,
+    "q_table_writers": _table_writers,
+    "q_first_run": _first_run,
     "q_dim_energy_source": lambda m: m.energy_sources,
     "q_dim_location": lambda m: m.locations,
     "q_bridge": lambda m: m.bridge_table,
