@@ -37,4 +37,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM based
 """
 
-SQL = {"op9_quality_rules": OP9}
+OP3 = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, w[i:i + 3] AS s FROM split, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS r(i) WHERE len(w) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY ALL
+), near AS (
+  SELECT a, b FROM links JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+), reach AS (
+  SELECT a AS node, a AS seen FROM near
+  UNION
+  SELECT reach.node, near.b FROM reach JOIN near ON near.a = reach.seen
+), least AS (
+  SELECT node, min(seen) AS component_id FROM reach GROUP BY node
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes ON sizes.doc_id = d.doc_id LEFT JOIN least ON least.node = d.doc_id
+"""
+
+SQL = {"op3_jaccard_join": OP3, "op9_quality_rules": OP9}
