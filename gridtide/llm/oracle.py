@@ -64,4 +64,39 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(componen
 FROM documents d LEFT JOIN sizes ON sizes.doc_id = d.doc_id LEFT JOIN least ON least.node = d.doc_id
 """
 
-SQL = {"op3_jaccard_join": OP3, "op9_quality_rules": OP9}
+OP8 = r"""
+WITH turns AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS t FROM conversations GROUP BY conv_id
+), ranked AS (
+  SELECT *, row_number() OVER same AS k, first(conv_id) OVER same AS best_id, first(t) OVER same AS best
+  FROM turns WINDOW same AS (PARTITION BY t[1] ORDER BY len(t) DESC, conv_id)
+), answers AS (
+  SELECT conv_id, t, list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant')[-1] AS last FROM turns
+), pairs AS (
+  SELECT best_id AS chosen_id, best AS c, conv_id AS rejected_id, t AS r FROM ranked WHERE k > 1
+  UNION ALL
+  SELECT a.conv_id, a.t, b.conv_id, list_concat(a.t[1:a.last - 1], [b.t[b.last]])
+  FROM answers a JOIN answers b ON b.conv_id = a.conv_id + 1 WHERE a.last IS NOT NULL AND b.last IS NOT NULL
+), shared AS (
+  SELECT *, coalesce(nullif(list_position(list_transform(range(1, least(len(c), len(r)) + 1),
+                lambda i: c[i] IS DISTINCT FROM r[i]), true), 0) - 1, least(len(c), len(r))) AS n FROM pairs
+), texts AS (
+  SELECT chosen_id, rejected_id, n, c, r,
+         list_transform(c, lambda x: '<|' || coalesce(x.role, '') || '|>' || chr(10) || coalesce(x.text, '') || chr(10)) AS ct,
+         list_transform(r, lambda x: '<|' || coalesce(x.role, '') || '|>' || chr(10) || coalesce(x.text, '') || chr(10)) AS rt
+  FROM shared
+), ends AS (
+  SELECT *, list_transform(range(1, len(ct) + 1), lambda i: list_sum(list_transform(ct[n + 1:i], lambda x: length(x)))) AS ce,
+            list_transform(range(1, len(rt) + 1), lambda i: list_sum(list_transform(rt[n + 1:i], lambda x: length(x)))) AS re
+  FROM texts
+)
+SELECT chosen_id, rejected_id, CAST(n AS INTEGER) AS n_shared,
+       array_to_string(ct[1:n], '') AS prompt, array_to_string(ct[n + 1:], '') AS chosen, array_to_string(rt[n + 1:], '') AS rejected,
+       array_to_string(list_transform(list_filter(range(n + 1, len(c) + 1), lambda i: c[i].role = 'assistant'),
+         lambda i: CAST(ce[i] - length(coalesce(c[i].text, '')) - 1 AS VARCHAR) || '-' || CAST(ce[i] AS VARCHAR)), ',') AS chosen_spans,
+       array_to_string(list_transform(list_filter(range(n + 1, len(r) + 1), lambda i: r[i].role = 'assistant'),
+         lambda i: CAST(re[i] - length(coalesce(r[i].text, '')) - 1 AS VARCHAR) || '-' || CAST(re[i] AS VARCHAR)), ',') AS rejected_spans
+FROM ends
+"""
+
+SQL = {"op3_jaccard_join": OP3, "op8_chat_formatting": OP8, "op9_quality_rules": OP9}

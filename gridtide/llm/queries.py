@@ -55,7 +55,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     shared = chat.with_turns(turns, chat.opening_pairs(turns))
-    return chat.format_pairs(shared.unionByName(chat.swapped_endings(turns)))
+    pairs = chat.format_pairs(shared.unionByName(chat.swapped_endings(turns)))
+    # spans as text, "begin-end,begin-end", which both engines write alike
+    written = lambda c: F.array_join(
+        F.transform(c, lambda s: F.concat(s["begin"].cast("string"), F.lit("-"), s["end"].cast("string"))), ","
+    )
+    return pairs.withColumns({c: written(c) for c in ("chosen_spans", "rejected_spans")})
 
 
 MIX_SEED = 7
