@@ -49,6 +49,11 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def compact(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """A written table in one partition if it is small, so that what follows needs no shuffle for it; else as it is."""
+    return df.coalesce(1) if df.count() <= rows else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

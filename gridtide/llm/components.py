@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import written
+from .common import compact, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -24,10 +24,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of all nodes with a link; the component is its least node. ``links`` has columns a, b."""
-    edges = written(links.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "edges")
+    edges = compact(written(links.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "edges"))
     mark = None
     while True:
-        edges = written(_small_star(_large_star(edges).where("u <> v").distinct()), "edges")
+        edges = compact(written(_small_star(_large_star(edges).where("u <> v").distinct()), "edges"))
         found = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if found == mark:
             break

@@ -35,7 +35,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import written
+from .common import compact, written
 from .components import components
 from .hashing import WordHasher, chunks, grams, mix
 
@@ -138,9 +138,9 @@ class Space:
 
     def compared(self, pairs: DataFrame) -> DataFrame:
         """(a, b, dist, linked) of distinct pairs: the distance where they may link, else a lower bound of it."""
-        pairs = written(pairs, "pairs")
+        pairs = compact(written(pairs, "pairs"))
         ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
-        points = named(self.points, ids, "rep")
+        points = compact(written(named(self.points, ids, "rep"), "asked-points"))
         side = lambda c: points.select(
             F.col("rep").alias(c), F.col("n").alias(f"n{c}"), F.col("f1").alias(f"f{c}"), F.col("anchors").alias(f"h{c}")
         )
@@ -150,9 +150,9 @@ class Space:
         met = met.withColumn("upto", upto).withColumns({"ca": below("ha"), "cb": below("hb")})
         apart = F.size("ca") + F.size("cb") - 2 * F.size(F.array_intersect("ca", "cb"))
         met = met.select("a", "b", "na", "nb", "fa", "fb", apart.alias("apart"))
-        bounded = written(
+        bounded = compact(written(
             met.withColumn("close", self.near_sizes("na", "nb") & (F.col("apart") <= self.most_different())), "bounded"
-        )
+        ))
         by_size = 1 - F.least("na", "nb") / F.greatest("na", "nb")
         far = bounded.where("not close").select(
             "a", "b",
@@ -161,7 +161,7 @@ class Space:
         )
         close = bounded.where("close")
         ids = written(close.select(F.col("a").alias("id")).union(close.select("b")).distinct(), "close-ids")
-        sets = written(whole_sets(self.docs, ids, self.k).dropDuplicates(["id", "f1"]), "whole-sets")
+        sets = compact(written(whole_sets(self.docs, ids, self.k), "whole-sets")).dropDuplicates(["id", "f1"])
         one = lambda c: sets.select(F.col("id").alias(c), F.col("f1").alias(f"f{c}"), F.col("shingles").alias(f"s{c}"))
         both = close.join(one("a"), ["a", "fa"]).join(one("b"), ["b", "fb"])
         both = both.withColumn("shared", F.size(F.array_intersect("sa", "sb")))
@@ -169,7 +169,7 @@ class Space:
         near = both.select(
             "a", "b", (1 - F.col("shared") / union).alias("dist"), (F.col("shared") * 100 >= union * self.share).alias("linked")
         )
-        return written(far.union(near), "distances")
+        return compact(written(far.union(near), "distances"))
 
 
 def regions_of(points: DataFrame) -> DataFrame:
@@ -192,7 +192,7 @@ class Joiner:
             return
         if self.labels is not None:
             found = found.union(self.labels.select("node", "component").where("node <> component"))
-        self.labels = written(components(found), "labels")
+        self.labels = compact(written(components(found), "labels"))
 
     def labelled(self, rows: DataFrame, point: str = "rep", label: str = "label") -> DataFrame:
         """``rows`` with the component of the point; one that links with nothing is its own."""
@@ -210,7 +210,7 @@ class Joiner:
             F.max_by("label", F.struct("members", "label")).alias("major"),
             (F.sum("members") - F.max("members")).alias("outside"),
         )
-        return written(held.join(state.where("outside > 0"), "region"), "contested")
+        return compact(written(held.join(state.where("outside > 0"), "region"), "contested"))
 
     def pivot_round(self, space: Space, rows: DataFrame, turn: int) -> DataFrame:
         """Compares every region with one of its points, links the ball, and returns what has to be joined again.
@@ -235,6 +235,7 @@ class Joiner:
             }
         )
         met = written(met.select("region", "rep", "n", "pivot", "a", "b", "by_size", "asked", "label", "pivot_label"), "met")
+        met = compact(met)
         distances = space.compared(met.where("asked").select("a", "b").distinct())
         self.link(distances.where("linked").select("a", "b"))
         alike = met.where("not asked").select(
@@ -245,7 +246,7 @@ class Joiner:
             "region", "rep", "n", "pivot", F.col("dist").alias("by_size"), F.when(F.col("linked"), "ball").otherwise("far").alias("kind")
         )
         state = known.union(alike).withColumnRenamed("by_size", "dist")
-        state = written(self.labelled(self.labelled(state), "pivot", "pivot_label"), "state")
+        state = compact(written(self.labelled(self.labelled(state), "pivot", "pivot_label"), "state"))
         # bounds of those that may still be strangers to the pivot's component
         window = state.where("label <> pivot_label").groupBy("region").agg(F.min("dist").alias("nearest"))
         left = state.join(window, "region")
@@ -265,7 +266,7 @@ class Joiner:
     def join(self, points: DataFrame, common: np.ndarray, depth: int = 0) -> None:
         """Links all points within EPS of each other; ``common`` shingles are last in the order of the anchors."""
         space = Space(self.docs, points, self.k, self.share)
-        rows, turn, few = written(regions_of(points), "regions"), 2 * depth, SMALL_REGION << 2 * depth
+        rows, turn, few = compact(written(regions_of(points), "regions")), 2 * depth, SMALL_REGION << 2 * depth
         last = turn + PIVOT_ROUNDS + (depth == 0)
         while True:
             rows = self.contested(self.pivot_round(space, rows, turn))
