@@ -56,8 +56,8 @@ def describe_dates(
 
 
 def dim_energy_source(generation: DataFrame) -> DataFrame:
-    """One row per fuel with its category, carbon intensity and flags."""
-    fuels = generation.select("fuel_type_id", "fuel_type_name", "is_renewable", "is_fossil_fuel").distinct()
+    """One row per fuel with its newest name, category, carbon intensity and flags."""
+    fuels = generation.groupBy("fuel_type_id", "is_renewable", "is_fossil_fuel").agg(_newest(generation, "fuel_type_name"))
     attributes = inline_table(
         generation.sparkSession,
         fixed.FUEL_ATTRIBUTES,
@@ -79,6 +79,12 @@ def dim_energy_source(generation: DataFrame) -> DataFrame:
     )
 
 
+def _newest(records: DataFrame, name: str) -> Column:
+    """The name in the newest record of a code, so that a renamed code stays one row; without lineage the largest."""
+    order = [c for c in ("source_timestamp", "source_id") if c in records.columns]
+    return F.max_by(name, F.struct(*order, name)).alias(name)
+
+
 def _place(code, state, kind: str, county=None, city=None, latitude=None, longitude=None) -> list[Column]:
     text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
     return [
@@ -93,8 +99,9 @@ def _place(code, state, kind: str, county=None, city=None, latitude=None, longit
 
 
 def state_places(generation: DataFrame) -> DataFrame:
-    """States that report generation."""
-    return generation.select(_place("location_code", F.col("state_name"), fixed.STATE_TYPE)).distinct()
+    """States that report generation, by their newest name."""
+    states = generation.groupBy("location_code").agg(_newest(generation, "state_name"))
+    return states.select(_place("location_code", F.col("state_name"), fixed.STATE_TYPE))
 
 
 def station_places(stations: DataFrame) -> DataFrame:

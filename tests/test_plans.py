@@ -216,3 +216,13 @@ def test_no_join_is_a_nested_loop(spark, small):
     for name in ("q_bridge", "q_state_changes", "q_weather_demand_correlation", "q_generation_mix", "q_fact_sales"):
         plan = physical_plan(QUERIES[name](Models(spark, small)))
         assert "NestedLoop" not in plan and "Cartesian" not in plan, name
+
+
+def test_renamed_codes_stay_one_row(spark):
+    staged = spark.createDataFrame(
+        [("NG", "gas", False, True, "VA", "Virginia", 1, 1), ("NG", "natural gas", False, True, "VA", "Commonwealth", 2, 2)],
+        "fuel_type_id string, fuel_type_name string, is_renewable boolean, is_fossil_fuel boolean, location_code string, "
+        "state_name string, source_timestamp int, source_id int",
+    )
+    assert [r.fuel_type_name for r in dimensions.dim_energy_source(staged).collect()] == ["natural gas"]
+    assert [r.state_name for r in dimensions.state_places(staged).collect()] == ["Commonwealth"]
