@@ -49,6 +49,18 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(*tables: DataFrame | None) -> None:
+    """Removes written tables that nothing reads any more; other tables are left alone."""
+    for df in tables:
+        if df is None:
+            continue
+        spark = df.sparkSession
+        own = f"/{spark.sparkContext.applicationId}/"
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles() if own in f}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def compact(df: DataFrame, rows: int = 50_000) -> DataFrame:
     """A written table in one partition if it is small, so that what follows needs no shuffle for it; else as it is."""
     return df.coalesce(1) if df.count() <= rows else df

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import compact, written
+from .common import compact, forget, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -27,7 +27,9 @@ def components(links: DataFrame) -> DataFrame:
     edges = compact(written(links.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "edges"))
     mark = None
     while True:
-        edges = compact(written(_small_star(_large_star(edges).where("u <> v").distinct()), "edges"))
+        last = edges
+        edges = compact(written(_small_star(_large_star(last).where("u <> v").distinct()), "edges"))
+        forget(last)
         found = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if found == mark:
             break

@@ -35,7 +35,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import compact, written
+from .common import compact, forget, written
 from .components import components
 from .hashing import WordHasher, chunks, grams, mix
 
@@ -140,7 +140,7 @@ class Space:
         """(a, b, dist, linked) of distinct pairs: the distance where they may link, else a lower bound of it."""
         pairs = compact(written(pairs, "pairs"))
         ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
-        points = compact(written(named(self.points, ids, "rep"), "asked-points"))
+        points, asked_ids = compact(written(named(self.points, ids, "rep"), "asked-points")), ids
         side = lambda c: points.select(
             F.col("rep").alias(c), F.col("n").alias(f"n{c}"), F.col("f1").alias(f"f{c}"), F.col("anchors").alias(f"h{c}")
         )
@@ -169,7 +169,9 @@ class Space:
         near = both.select(
             "a", "b", (1 - F.col("shared") / union).alias("dist"), (F.col("shared") * 100 >= union * self.share).alias("linked")
         )
-        return compact(written(far.union(near), "distances"))
+        result = compact(written(far.union(near), "distances"))
+        forget(pairs, asked_ids, points, bounded, ids, sets)
+        return result
 
 
 def regions_of(points: DataFrame) -> DataFrame:
@@ -192,7 +194,9 @@ class Joiner:
             return
         if self.labels is not None:
             found = found.union(self.labels.select("node", "component").where("node <> component"))
-        self.labels = compact(written(components(found), "labels"))
+        last, nodes = self.labels, components(found)
+        self.labels = compact(written(nodes, "labels"))
+        forget(last, nodes)
 
     def labelled(self, rows: DataFrame, point: str = "rep", label: str = "label") -> DataFrame:
         """``rows`` with the component of the point; one that links with nothing is its own."""
@@ -203,14 +207,16 @@ class Joiner:
 
     def contested(self, rows: DataFrame) -> DataFrame:
         """(region, rep, n, label, major, outside) of regions with several components: the one with most members, and
-        how many members are outside it."""
+        how many members are outside it. The tables that ``rows`` reads are not needed after it."""
         held = self.labelled(rows.select("region", "rep", "n"))
         counts = held.groupBy("region", "label").agg(F.count("*").alias("members"))
         state = counts.groupBy("region").agg(
             F.max_by("label", F.struct("members", "label")).alias("major"),
             (F.sum("members") - F.max("members")).alias("outside"),
         )
-        return compact(written(held.join(state.where("outside > 0"), "region"), "contested"))
+        result = compact(written(held.join(state.where("outside > 0"), "region"), "contested"))
+        forget(rows)
+        return result
 
     def pivot_round(self, space: Space, rows: DataFrame, turn: int) -> DataFrame:
         """Compares every region with one of its points, links the ball, and returns what has to be joined again.
@@ -247,6 +253,7 @@ class Joiner:
         )
         state = known.union(alike).withColumnRenamed("by_size", "dist")
         state = compact(written(self.labelled(self.labelled(state), "pivot", "pivot_label"), "state"))
+        forget(met, distances, rows)
         # bounds of those that may still be strangers to the pivot's component
         window = state.where("label <> pivot_label").groupBy("region").agg(F.min("dist").alias("nearest"))
         left = state.join(window, "region")
@@ -290,7 +297,10 @@ class Joiner:
             held = written(described(named(self.docs, again), self.k, self.share, common), "described")
             known = points.select("rep", "f1")
             anew = held.select(F.col("doc_id").alias("rep"), "n", "f1", "anchors").join(known, ["rep", "f1"], "left_semi")
-            self.join(written(anew.dropDuplicates(["rep", "f1"]), "points"), common, depth + 1)
+            again_points = written(anew.dropDuplicates(["rep", "f1"]), "points")
+            forget(held)
+            self.join(again_points, common, depth + 1)
+            forget(again_points)
             rows = self.contested(rows.where(F.col("region") >= LATE))
             if not rows.limit(1).count():
                 return
