@@ -64,6 +64,22 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(componen
 FROM documents d LEFT JOIN sizes ON sizes.doc_id = d.doc_id LEFT JOIN least ON least.node = d.doc_id
 """
 
+OP5 = r"""
+WITH hashes AS (
+  SELECT doc_id, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS hashed,
+         CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes
+  FROM documents
+), levels AS (
+  SELECT doc_id, n_bytes, CAST(d AS INTEGER) AS depth, hashed >> CAST(60 - d AS INTEGER) AS prefix,
+         sum(n_bytes) OVER (PARTITION BY d, hashed >> CAST(60 - d AS INTEGER)) AS total
+  FROM hashes, range(0, 61) AS r(d)
+), placed AS (
+  SELECT * FROM levels WHERE total <= 4000000 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
+)
+SELECT doc_id, n_bytes, depth, prefix, dense_rank() OVER (ORDER BY prefix << (60 - depth)) - 1 AS shard_id, CAST(0 AS BIGINT) AS page
+FROM placed
+"""
+
 OP8 = r"""
 WITH turns AS (
   SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS t FROM conversations GROUP BY conv_id
@@ -99,4 +115,4 @@ SELECT chosen_id, rejected_id, CAST(n AS INTEGER) AS n_shared,
 FROM ends
 """
 
-SQL = {"op3_jaccard_join": OP3, "op8_chat_formatting": OP8, "op9_quality_rules": OP9}
+SQL = {"op3_jaccard_join": OP3, "op5_sharding": OP5, "op8_chat_formatting": OP8, "op9_quality_rules": OP9}
