@@ -68,6 +68,14 @@ def sets_of(texts: list, k: int, hasher: WordHasher) -> Iterator[np.ndarray]:
             yield shingle_set(words[low:high], k)
 
 
+def parts(batches: Iterable[pd.DataFrame]) -> Iterator[tuple[np.ndarray, list]]:
+    """Ids and texts in pieces of about a million characters, so that a worker's memory does not follow the batch."""
+    for batch in batches:
+        ids, texts = batch["doc_id"].values, batch["text"].tolist()
+        for a, b in chunks(texts):
+            yield ids[a:b], texts[a:b]
+
+
 def fingerprint(found: np.ndarray) -> tuple[int, int]:
     """Two 64-bit sums over the set."""
     raw = found.astype(np.uint64)
@@ -89,16 +97,16 @@ def described(docs: DataFrame, k: int, share: int, common: np.ndarray | None = N
 
     def describe(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHasher()
-        for batch in batches:
+        for ids, texts in parts(batches):
             rows = []
-            for found in sets_of(batch["text"].tolist(), k, hasher):
+            for found in sets_of(texts, k, hasher):
                 n = len(found)
                 prints = fingerprint(found)
                 if common is not None:
                     found = np.sort(np.where(np.isin(found, common), found + LATE, found))
-                rows.append((n, *prints, found[: n_anchors(n, share)] if n else found))
+                rows.append((n, *prints, found[: n_anchors(n, share)].copy() if n else found))
             out = pd.DataFrame(rows, columns=["n", "f1", "f2", "anchors"])
-            out.insert(0, "doc_id", batch["doc_id"].values)
+            out.insert(0, "doc_id", ids)
             yield out
 
     return docs.mapInPandas(describe, "doc_id long, n int, f1 long, f2 long, anchors array<long>")
@@ -115,9 +123,9 @@ def whole_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
 
     def read(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHasher()
-        for batch in batches:
-            found = list(sets_of(batch["text"].tolist(), k, hasher))
-            yield pd.DataFrame({"id": batch["doc_id"], "f1": [fingerprint(s)[0] for s in found], "shingles": found})
+        for ids, texts in parts(batches):
+            found = list(sets_of(texts, k, hasher))
+            yield pd.DataFrame({"id": ids, "f1": [fingerprint(s)[0] for s in found], "shingles": found})
 
     return named(docs, ids).mapInPandas(read, "id long, f1 long, shingles array<long>")
 
