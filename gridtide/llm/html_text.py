@@ -1,8 +1,10 @@
 """Main text of web pages by composite text density.
 
-The page is parsed into a tree with the end tags that HTML leaves out. Parts that are never article text go first:
-scripts, styles, forms, menus, headers, footers, sidebars and, by the words of their class, id or role, notices,
-adverts and reader comments. On the rest, every node gets a composite text density: characters per tag, weighed down
+The page is parsed into a tree with the end tags that HTML leaves out. Parts that are never text go first: scripts,
+styles, buttons, fields. Tags such as nav, footer and form, and names of class, id and role such as "comments" or
+"sidebar", are hints at parts outside the article, which the page has to confirm: a hinted part goes only if it holds no
+<article> or <main> and no large share of the page's text outside links; ambiguous names need many links as well, or a
+small container outside any <article>. On the rest, every node gets a composite text density: characters per tag, weighed down
 by the share of link characters and link tags against the share in the whole body. A node's density sum adds the
 densities of its children. The node with the largest density sum is the centre of the article; the least density on
 its path to the body is the threshold, and the topmost nodes that reach the threshold and lie on or beside that path
@@ -31,14 +33,16 @@ TOKEN = re.compile(
     re.DOTALL,
 )
 CUT_TAG = re.compile(r"<(?:[/!?]?[a-zA-Z!?-][^>]*|/)?\Z")
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)", re.IGNORECASE)
-ATTRIBUTE = re.compile(r"(class|id|role|style)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math".split())
 DROPPED = frozenset(
-    "script style template noscript iframe object embed svg math canvas audio video head title nav footer aside form "
-    "button select option textarea input label fieldset menu dialog noframes noembed".split()
+    "script style template noscript iframe object embed svg math canvas audio video head title "
+    "button select option textarea input noframes noembed".split()
 )
+#: Tags that hint at parts outside the article; those of forms also wrap whole pages.
+OUTSIDE_TAGS = frozenset("nav footer aside menu dialog".split())
+FORM_TAGS = frozenset("form fieldset label".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol p pre section summary table tbody td tfoot "
@@ -57,27 +61,45 @@ CLOSES = {
 }
 P_ENDS = BLOCK - frozenset(("html", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "li", "dd", "dt"))
 P_ENDS |= frozenset(("li", "dd", "dt"))
-#: Words of class, id and role that name parts outside the article; fixed values.
+#: Names in class, id and role that hint at parts outside the article; fixed values. A name counts as a whole, or if all
+#: of its hyphened parts are such names or ``FRAME`` words: "cookie-notice", "comment-list", but not "with-sidebar".
 OUTSIDE = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion "
-    "nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager toc "
-    "masthead topbar footer colophon copyright legal "
-    "sidebar side aside complementary contentinfo related recommended widget widgets "
-    "cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login "
-    "share sharing social comment comments disqus respond reply replies discussion search form skip".split()
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored "
+    "nav navbar navigation menubar breadcrumb breadcrumbs pagination pager masthead topbar footer colophon "
+    "sidebar aside complementary contentinfo cookie cookies gdpr newsletter subscribe "
+    "comment comments disqus respond replies".split()
 )
-#: "header" does not count where these stand beside it: it is then the article's own.
+#: Names that parts of an article have, too.
+AMBIGUOUS = frozenset(
+    "banner promo promotion menu toc copyright legal side related recommended widget widgets consent notice alert popup "
+    "modal overlay subscription signup login share sharing social reply discussion search form skip".split()
+)
+FRAME = frozenset("area bar block box container inner item items list section site wrap wrapper".split())
+#: "header" does not count where these stand beside it: it is then the article's own. Beside them other names are
+#: ambiguous.
 ARTICLE_WORDS = frozenset("article post entry content story body main".split())
 WORDS = re.compile(r"[a-z]+")
+#: Strength of a hint: none, ambiguous name, form tag, clear name or tag.
+NONE, MAYBE, FORM, CLEAR = range(4)
+#: Shares of the page's text outside links above which a hinted part stays.
+LARGE = {MAYBE: 0.1, FORM: 0.1, CLEAR: 0.5}
+#: Share of link characters from which an ambiguous name is confirmed.
+LINKED = 1 / 3
+#: Elements that an ambiguous name alone can take out, if they are small and stand outside any <article>.
+CONTAINERS = frozenset("div section ul ol dl table".split())
+#: Text outside links of an <article> or <main> beside which a clearly named part goes even if it is the larger one; a
+#: part of less text than this goes beside any <article> or <main> with text.
+ARTICLE_CHARS = 250
 
 
 class Node:
     """An element; ``parts`` holds text and child elements in page order."""
 
-    __slots__ = ("tag", "parent", "in_article", "parts", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "in_article", "hint", "parts", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.parts = tag, parent, []
+        self.hint = NONE
         self.in_article = tag == "article" or (parent is not None and parent.in_article)
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -86,26 +108,45 @@ class Node:
         return (p for p in self.parts if type(p) is Node)
 
 
-def names_outside(attributes: str, in_article: bool) -> bool:
-    """Whether class, id or role name a part outside the article, or the element is hidden."""
-    if HIDDEN.search(attributes):
-        return True
-    for name, a, b, c in ATTRIBUTE.findall(attributes):
-        value = (a or b or c).lower()
-        if name.lower() == "style":
-            if "display:none" in value.replace(" ", ""):
-                return True
+def named_outside(name: str) -> int:
+    """The hint of one name of a class, id or role."""
+    if name in OUTSIDE:
+        return CLEAR
+    if name in AMBIGUOUS:
+        return MAYBE
+    words = [w for w in WORDS.findall(name) if w not in FRAME]
+    if not words or not all(w in OUTSIDE or w in AMBIGUOUS for w in words):
+        return NONE
+    return CLEAR if any(w in OUTSIDE for w in words) else MAYBE
+
+
+def hinted(tag: str, attributes: str, in_article: bool) -> int:
+    """How strongly tag, class, id, role or being hidden hint at a part outside the article."""
+    if tag in ("html", "body", "article", "main"):
+        return NONE
+    hint = NONE
+    if tag in OUTSIDE_TAGS or (tag == "header" and not in_article):
+        hint = CLEAR
+    elif tag in FORM_TAGS:
+        hint = FORM
+    for name, a, b, c in ATTRIBUTE.findall(attributes) if attributes else ():
+        name, value = name.lower(), (a or b or c).lower()
+        if name == "hidden" or (name == "style" and "display:none" in "".join(value.split())):
+            return CLEAR
+        if name not in ("class", "id", "role"):
             continue
+        names = value.split()
         words = WORDS.findall(value)
-        if not OUTSIDE.isdisjoint(words):
-            return True
-        if "header" in words and not in_article and ARTICLE_WORDS.isdisjoint(words):
-            return True
-    return False
+        found = max(map(named_outside, names), default=NONE)
+        own = not ARTICLE_WORDS.isdisjoint(words)
+        if "header" in words and not in_article and not own and all(w == "header" or w in FRAME for w in words):
+            found = CLEAR
+        hint = max(hint, min(found, MAYBE) if own else found)
+    return hint
 
 
 def parse(page: str) -> Node:
-    """The tree below a root, without the parts that are never article text."""
+    """The tree below a root, without the parts that are never text; parts that may lie outside the article are hinted."""
     root = node = Node("#root", None)
     outside: Node | None = None  # the dropped element that is open, if any
     opened: Counter[str] = Counter()  # how many elements of each tag are open
@@ -147,14 +188,10 @@ def parse(page: str) -> Node:
         node, outside = _implied_ends(node, tag, opened, outside)
         child = Node(tag, node)
         if outside is None:
-            in_article = node.in_article
-            if (
-                tag in DROPPED
-                or (tag == "header" and not in_article)
-                or (tag not in ("html", "body", "article", "main") and attributes and names_outside(attributes, in_article))
-            ):
+            if tag in DROPPED:
                 outside = child
             else:
+                child.hint = hinted(tag, attributes, node.in_article)
                 node.parts.append(child)
         if not (attributes.endswith("/") and tag in RAW):
             node = child
@@ -198,10 +235,10 @@ def in_order(root: Node) -> list[Node]:
     return order
 
 
-def measure(root: Node) -> list[Node]:
-    """Counts and densities of all nodes; returns them with parents first."""
-    order = in_order(root)
+def count(order: list[Node]) -> None:
+    """Characters, tags and links of all nodes."""
     for node in reversed(order):
+        node.tags = node.link_chars = node.link_tags = 0
         node.chars = sum(len("".join(p.split())) for p in node.parts if type(p) is str)
         for child in node.children():
             node.chars += child.chars
@@ -210,6 +247,47 @@ def measure(root: Node) -> list[Node]:
             node.link_tags += child.link_tags + (child.tag in LINKS)
         if node.tag in LINKS:
             node.link_chars, node.link_tags = node.chars, node.tags
+
+
+def without_outside(root: Node) -> None:
+    """Takes out the hinted parts that the page's texts and links confirm."""
+    order = in_order(root)
+    if all(node.hint == NONE for node in order):
+        return
+    count(order)
+    plain = root.chars - root.link_chars
+    held: dict[int, int] = {}  # text outside links in the outermost <article> and <main> elements of a subtree
+    for node in reversed(order):
+        inside = [held[id(c)] for c in node.children() if id(c) in held]
+        if node.tag in ("article", "main"):
+            held[id(node)] = node.chars - node.link_chars
+        elif inside:
+            held[id(node)] = sum(inside)
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        gone = {id(c) for c in node.children() if c.hint and id(c) not in held and is_outside(c, plain, held.get(id(root), 0))}
+        if gone:
+            node.parts = [p for p in node.parts if id(p) not in gone]
+        stack.extend(node.children())
+
+
+def is_outside(node: Node, page_plain: int, article_plain: int) -> bool:
+    """Whether a hinted part without <article> or <main> lies outside the article."""
+    plain = node.chars - node.link_chars
+    if plain > LARGE[node.hint] * page_plain:
+        least = min(ARTICLE_CHARS, page_plain / 4) if plain > ARTICLE_CHARS else 1
+        if node.hint != CLEAR or node.in_article or article_plain < least:
+            return False
+    if node.hint != MAYBE or node.link_chars >= LINKED * node.chars:
+        return True
+    return node.tag in CONTAINERS and not node.in_article
+
+
+def measure(root: Node) -> list[Node]:
+    """Counts and densities of all nodes; returns them with parents first."""
+    order = in_order(root)
+    count(order)
     body = root
     link_share = body.link_chars / max(1, body.chars)
     for node in order:
@@ -260,6 +338,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    without_outside(root)
     wanted = selected(root)
     blocks: list[str] = []
     line: list[str] = []

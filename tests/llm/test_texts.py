@@ -28,6 +28,28 @@ def test_broken_pages():
         assert main_text(page) == text
 
 
+SAID = "A sentence of the article that says at some length what it has to say. " * 6
+
+
+def test_names_alone_cut_no_article():
+    text = SAID.strip()
+    for page in (
+        f'<div class="content with-sidebar"><article><p>{SAID}</article></div>',
+        f'<div id="page" class="has-menu"><p>{SAID}</div>',
+        f'<div class="post share-enabled"><p>{SAID}</div>',
+        f'<div class="sidebar"><article><p>{SAID}</article></div>',
+        f'<form id="aspnet"><div><p>{SAID}</div></form>',
+        f'<div class="x hidden y" title="not hidden here"><p>{SAID}</div><div hidden>unseen</div>',
+        f'<div data-role="menu"><p>{SAID}</div>',
+        f'<article><p>{SAID}<div class="share">Share <a href=x>here</a></div></article><div id=comments><p>{SAID * 9}</div>',
+        f'<article><p>{SAID}</article><form>Name <input></form><footer>Foot</footer>',
+    ):
+        assert main_text(page) == text, page
+    parts = f'<article><p>{SAID}<section id="discussion"><h2 id="related-work">Related</h2><p>{SAID}</section><p class="notice">Mind this.</article>'
+    assert main_text(parts) == f"{text}\n\nRelated\n\n{text}\n\nMind this."
+    assert main_text("<article><h1>Short</h1></article><footer>A footer that is longer than the article</footer>") == "Short"
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="<>/pdiv abc&;\"'=!-\n", max_size=80))
 def test_never_fails(page):
