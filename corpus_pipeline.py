@@ -14,6 +14,8 @@ from gridtide.llm import decontaminate, jaccard_join, mixing, queries, token_out
 from gridtide.llm.common import table, written
 
 MIX_FRACTION = 0.9
+#: Near copies of the stage share 80 % of their five-word shingles; the values of jaccard_join are those of op3.
+NEAR_WORDS, NEAR_SHARE = 5, 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.one_of_each(docs)
+    return jaccard_join.one_of_each(docs, k=NEAR_WORDS, share=NEAR_SHARE)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -270,6 +270,14 @@ def test_pipeline_stages(spark, small):
     assert sorted(r.doc_id for r in last.collect()) == sorted(ids)
 
 
+def test_pipeline_drops_near_copies_between_the_thresholds(spark, small):
+    words = [f"w{i}" for i in range(50)]
+    other = words[:25] + ["changed"] + words[26:]
+    rows = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other))], "doc_id long, text string")
+    assert jaccard_join.one_of_each(rows).count() == 2  # 43 of 51 shingles of four words
+    assert [r.doc_id for r in corpus_pipeline.keep_one_of_each(spark, rows, small).collect()] == [1]  # 41 of 51 of five
+
+
 def test_pipeline_of_odd_and_no_rows(spark, docs, no_docs, small):
     for rows in (docs.select("doc_id", "text", "lang", "source", "n_chars"), no_docs.select("doc_id", "text", "lang", "source", "n_chars")):
         held = rows
