@@ -44,7 +44,6 @@ END = 2
 FIRST = 49408
 SHARD_TOKENS = 4_000_000
 PART_CHARS = 72_000_000
-ROUNDS = 4
 RULES_A_ROUND = 4000
 MIN_COUNT = 8
 RARE = re.compile("[^\\u0000-\\u2fff]")
@@ -154,11 +153,12 @@ def compress(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     """Re-Pair: (rules, stream, which symbols end a document). ``last`` marks the ids that end a document.
 
     A round counts all pairs inside documents, takes the most frequent ones (ties by pair) as rules, and replaces
-    their places from left to right; where replaced pairs would overlap, the first one is taken.
+    their places from left to right; where replaced pairs would overlap, the first one is taken. Rounds
+    end when no pair occurs ``MIN_COUNT`` times or 16 bits hold no further symbol.
     """
     symbols, rules = ids.astype(np.uint32), []
     n_rules = 0
-    for _ in range(ROUNDS):
+    while True:
         room = min(RULES_A_ROUND, (1 << 16) - FIRST - n_rules)
         if len(symbols) < 2 or room <= 0:
             break

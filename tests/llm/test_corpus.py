@@ -257,6 +257,16 @@ def test_grammar_round_trip_and_random_access():
     assert [len(grammar.expand(np.array([token_output.FIRST + k]))) for k in range(len(lengths))] == lengths.tolist()
 
 
+def test_re_pair_goes_on_while_pairs_are_frequent():
+    ids = np.tile(np.arange(100, 1100, dtype=np.uint32), 200)
+    last = np.zeros(len(ids), dtype=bool)
+    last[999::1000] = True
+    rules, stream, _ = token_output.compress(ids.copy(), last)
+    assert len(stream) == 200  # a symbol for each of the 200 copies
+    grammar = token_output.Grammar(rules, token_output.rule_lengths(rules))
+    assert grammar.expand(stream).tolist() == ids.tolist()
+
+
 def test_pipeline_stages(spark, small):
     docs = table(spark, small, "documents")
     columns, held = docs.columns, docs
