@@ -115,4 +115,37 @@ SELECT chosen_id, rejected_id, CAST(n AS INTEGER) AS n_shared,
 FROM ends
 """
 
-SQL = {"op3_jaccard_join": OP3, "op5_sharding": OP5, "op8_chat_formatting": OP8, "op9_quality_rules": OP9}
+OP13 = r"""
+WITH rules(kind, rank, base, pattern, part, least) AS (VALUES
+  ('assign', 0, true,
+   '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)',
+   2, 12),
+  ('access', 1, true, 'AKIA[A-Z0-9]+', 0, 18),
+  ('hex', 2, true, '[0-9a-f]{16,}', 0, 16),
+  ('private_key', 3, false, '-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----', 0, 1),
+  ('signed_token', 4, false, 'eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}', 0, 1),
+  ('host_token', 5, false, '(ghp|gho|ghu|ghs|ghr|glpat|xoxb|xoxp)[_-][A-Za-z0-9-]{20,}', 0, 1),
+  ('url_login', 6, false, '[a-z]{2,20}://[^/:@\x20\x09-\x0D]{1,100}:[^/@\x20\x09-\x0D]{1,100}@', 0, 1)
+), docs AS (
+  SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents
+), cut AS (
+  SELECT n, kind, rank, base, least, string_split_regex(text, pattern) AS gaps, regexp_extract_all(text, pattern) AS hits,
+         CASE WHEN part = 2 THEN regexp_extract_all(text, pattern, 2) ELSE regexp_extract_all(text, pattern) END AS held
+  FROM docs, rules WHERE regexp_matches(text, pattern)
+), spans AS (
+  SELECT n, kind, rank, base, length(hits[i]) AS size, length(held[i]) >= least AS kept,
+         list_sum(list_transform(gaps[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[:i - 1], lambda x: length(x))), 0) AS begin
+  FROM cut, unnest(range(1, len(hits) + 1)) AS r(i)
+), written AS (
+  SELECT *, kind || ':' || CAST(begin AS BIGINT) || ':' || CAST(begin + size AS BIGINT) AS span FROM spans WHERE kept
+), found AS (
+  SELECT n, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(span, ',' ORDER BY begin, rank) FILTER (base) AS base, string_agg(span, ',' ORDER BY begin, rank) AS spans
+  FROM written GROUP BY n
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN found USING (n)
+"""
+
+SQL = {"op3_jaccard_join": OP3, "op5_sharding": OP5, "op8_chat_formatting": OP8, "op9_quality_rules": OP9, "op13_secret_scans": OP13}

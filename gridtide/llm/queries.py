@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, html_text, jaccard_join, mixing, quality_crf, quality_rules, sharding, token_output, toxicity
+from . import chat, decontaminate, html_text, jaccard_join, mixing, quality_crf, quality_rules, secret_scans, sharding, token_output, toxicity
 from .common import table
 
 
@@ -79,6 +79,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scans.scanned(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_crf": op2_quality_crf,
@@ -90,4 +94,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
+    "op13_secret_scans": op13_secret_scans,
 }
