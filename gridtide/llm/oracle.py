@@ -148,4 +148,79 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM docs LEFT JOIN found USING (n)
 """
 
-SQL = {"op3_jaccard_join": OP3, "op5_sharding": OP5, "op8_chat_formatting": OP8, "op9_quality_rules": OP9, "op13_secret_scans": OP13}
+OP12 = r"""
+WITH kept AS (
+  SELECT row_number() OVER () AS n, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS (
+  SELECT n, vec_id, CAST(p AS INTEGER) AS p, v[p * 4 + 1:p * 4 + 4] AS x FROM kept, range(0, 16) AS r(p)
+), books0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c
+  FROM cut WHERE vec_id IN (SELECT DISTINCT vec_id FROM kept ORDER BY vec_id LIMIT 64)
+), best0 AS (
+  SELECT n, p, min(list_sum(list_transform(range(1, 5), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) * 64 + e) AS b
+  FROM cut JOIN books0 USING (p) GROUP BY n, p
+), books1 AS (
+  SELECT p, e, coalesce(m, c) AS c FROM books0 LEFT JOIN (
+    SELECT p, b % 64 AS e, [CAST(floor(sum(x[1]) / count(*)) AS BIGINT), CAST(floor(sum(x[2]) / count(*)) AS BIGINT),
+           CAST(floor(sum(x[3]) / count(*)) AS BIGINT), CAST(floor(sum(x[4]) / count(*)) AS BIGINT)] AS m
+    FROM cut JOIN best0 USING (n, p) GROUP BY p, b % 64) USING (p, e)
+), best1 AS (
+  SELECT n, p, min(list_sum(list_transform(range(1, 5), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) * 64 + e) AS b
+  FROM cut JOIN books1 USING (p) GROUP BY n, p
+), books2 AS (
+  SELECT p, e, coalesce(m, c) AS c FROM books1 LEFT JOIN (
+    SELECT p, b % 64 AS e, [CAST(floor(sum(x[1]) / count(*)) AS BIGINT), CAST(floor(sum(x[2]) / count(*)) AS BIGINT),
+           CAST(floor(sum(x[3]) / count(*)) AS BIGINT), CAST(floor(sum(x[4]) / count(*)) AS BIGINT)] AS m
+    FROM cut JOIN best1 USING (n, p) GROUP BY p, b % 64) USING (p, e)
+), best2 AS (
+  SELECT n, p, min(list_sum(list_transform(range(1, 5), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) * 64 + e) AS b
+  FROM cut JOIN books2 USING (p) GROUP BY n, p
+), coded AS (
+  SELECT n, string_agg(printf('%02x', CAST(b % 64 AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(b // 64) AS BIGINT) AS error FROM best2 GROUP BY n
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM books2) AS codebooks_sha256
+FROM coded JOIN kept USING (n)
+"""
+
+OP11 = r"""
+WITH turns AS (
+  SELECT conv_id AS c, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), hashed AS (  -- crc32: each byte is put in, then eight shifts
+  SELECT c, t, CAST(xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(range(1, length(CAST(c AS VARCHAR)) + 1),
+           lambda i: [CAST(ascii(substr(CAST(c AS VARCHAR), CAST(i AS INTEGER), 1)) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) % 6 AS INTEGER) AS h
+  FROM turns
+), built AS (
+  SELECT a.c, CASE WHEN b.t IS NULL THEN a.t[a.h + 1:] ELSE list_concat(b.t[1:a.h], a.t[a.h + 1:]) END AS s
+  FROM hashed a LEFT JOIN turns b ON b.c = a.c - a.c % 100
+), heads AS (
+  SELECT c, d, s[1:d] AS head, d = len(s) AS ends FROM built, unnest(range(0, len(s) + 1)) AS r(d)
+), named AS (
+  SELECT c, d, ends, min(c) OVER same AS m, count(*) OVER same AS n, CASE WHEN d = 0 THEN 0 ELSE length(head[d].text) END AS size
+  FROM heads WINDOW same AS (PARTITION BY d, head)
+), nodes AS (
+  SELECT v.d, v.m, max(v.n) AS n, max((v.n - 1) * v.size) AS saved, max(p.m) AS parent, string_agg(CAST(v.c AS VARCHAR), ',' ORDER BY v.c) FILTER (v.ends) AS ids
+  FROM named v LEFT JOIN named p ON p.c = v.c AND p.d = v.d - 1 GROUP BY v.d, v.m
+), children AS (
+  SELECT d - 1 AS d, parent AS m, count(*) AS kids FROM nodes WHERE d > 0 GROUP BY ALL
+), below AS (  -- the nodes that the least member passes on its way are those above
+  SELECT up.d, up.m, sum(v.saved) AS saved, count(*) FILTER (kids IS NULL) AS leaves
+  FROM nodes v LEFT JOIN children k ON k.d = v.d AND k.m = v.m JOIN named up ON up.c = v.m AND up.d <= v.d GROUP BY ALL
+)
+SELECT nodes.m AS conv_id, nodes.d AS depth, parent AS parent_conv_id, n AS n_convs, coalesce(kids, 0) AS n_children, leaves AS n_leaves,
+       CAST(below.saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes JOIN below ON below.d = nodes.d AND below.m = nodes.m LEFT JOIN children k ON k.d = nodes.d AND k.m = nodes.m
+"""
+
+SQL = {
+    "op3_jaccard_join": OP3,
+    "op5_sharding": OP5,
+    "op8_chat_formatting": OP8,
+    "op9_quality_rules": OP9,
+    "op11_prefix_trie": OP11,
+    "op12_vector_codes": OP12,
+    "op13_secret_scans": OP13,
+}

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, html_text, jaccard_join, mixing, quality_crf, quality_rules, secret_scans, sharding, token_output, toxicity
+from . import (
+    chat,
+    decontaminate,
+    html_text,
+    jaccard_join,
+    mixing,
+    prefix_trie,
+    quality_crf,
+    quality_rules,
+    secret_scans,
+    sharding,
+    token_output,
+    toxicity,
+    vector_codes,
+)
 from .common import table
 
 
@@ -79,6 +93,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.coded(table(spark, sf_dir, "embeddings"))
+
+
 def op13_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scans.scanned(table(spark, sf_dir, "documents"))
 
@@ -94,5 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_vector_codes": op12_vector_codes,
     "op13_secret_scans": op13_secret_scans,
 }
