@@ -32,10 +32,14 @@ def validity_join(
     keep: Sequence[str],
     valid_from: str = "valid_from_date",
     valid_to: str = "valid_to_date",
+    bucket_days: int | None = None,
 ) -> DataFrame:
     """Left join to the dimension row that is valid on the fact's date; open bounds always hold.
 
-    ``key`` is (fact column, dimension column). The equality drives a hash join, the date range filters it.
+    ``key`` is (fact column, dimension column). The equality drives a hash join, the date range filters it: fine for a
+    few versions a key. For keys with very many versions pass ``bucket_days``: versions are then repeated in the
+    stretches of so many days that they touch, clipped to the days of the facts, and key and stretch are both matched,
+    so a fact meets the versions of its stretch only. Choose it about as long as a version is valid.
     """
     side = dimension.select(
         F.col(key[1]).alias("_key"),
@@ -44,7 +48,17 @@ def validity_join(
         *keep,
     )
     condition = (F.col(key[0]) == F.col("_key")) & F.col(date).between(F.col("_from"), F.col("_to"))
-    return fact.join(side, condition, "left").drop("_key", "_from", "_to")
+    if bucket_days is None:
+        return fact.join(side, condition, "left").drop("_key", "_from", "_to")
+    stretch = lambda day: F.floor(F.unix_date(F.to_date(day)) / bucket_days).cast("int")
+    first, last = fact.agg(F.to_date(F.min(date)), F.to_date(F.max(date))).first()
+    if first is None:  # no fact has a date
+        return fact.join(side.limit(0), condition, "left").drop("_key", "_from", "_to")
+    begin, end = F.greatest("_from", F.lit(first)), F.least("_to", F.lit(last))
+    touched = side.filter(begin <= end).withColumn("_stretch", F.explode(F.sequence(stretch(begin), stretch(end))))
+    marked = fact.withColumn("_in", stretch(F.col(date)))
+    met = marked.join(touched, condition & (F.col("_in") == F.col("_stretch")), "left")
+    return met.drop("_key", "_from", "_to", "_in", "_stretch")
 
 
 def prior_period_join(
@@ -95,24 +109,32 @@ def build_bridge(locations: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def bridge_join(
+def bridge_first(
     fact: DataFrame,
     bridge: DataFrame,
     other: DataFrame,
     on: Sequence[str],
+    order: Sequence[str],
+    keep: Sequence[str],
     fact_key: str = "location_id",
     other_key: str = "location_id",
+    count: str = "readings",
+    few: bool = False,
 ) -> DataFrame:
-    """Left join of ``other`` through the bridge: fact location, its stations, their rows with the same ``on``.
+    """Each fact row with columns ``keep`` of the first row, by ``order``, that ``other`` has for its stations and ``on``.
 
-    A location with several stations gives several rows; without a station or a reading, one row with NULL.
-    ``other`` may not share column names with ``fact`` beyond ``on`` and its key.
+    ``count`` says how many rows there were, and 1 without any: the rows a plain join through the bridge would give.
+    ``other`` is reduced to one row per fact key before it meets the facts, so no fact row is ever repeated. With
+    ``few`` facts, ``other`` is first cut down to their keys. ``order`` should be total; its NULLs come first.
     """
-    hop = bridge.select(
-        F.col("balancing_authority_id").alias(fact_key), F.col("weather_station_id").alias("_station")
-    )
-    far = other.withColumnRenamed(other_key, "_station")
-    return fact.join(hop, fact_key, "left").join(far, [*on, "_station"], "left").drop("_station")
+    hop = bridge.select(F.col("balancing_authority_id").alias("_fact"), F.col("weather_station_id").alias("_other"))
+    near = other.withColumnRenamed(other_key, "_other").join(hop, "_other").withColumnRenamed("_fact", fact_key)
+    key = [fact_key, *on]
+    if few:
+        near = near.join(fact.select(*key).distinct(), key, "left_semi")
+    first = near.groupBy(*key).agg(F.min(F.struct(*order, *keep)).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    met = fact.join(first, key, "left")
+    return met.select(*fact.columns, *[F.col(f"_first.{c}").alias(c) for c in keep], F.coalesce("_rows", F.lit(1)).alias(count))
 
 
 def drop_existing(df: DataFrame, target: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:

@@ -1,8 +1,9 @@
 """Exact ranks and percentiles of groups of any size.
 
-A group may hold most of all rows, so no group is sorted in one task. Equal values are first counted (combined
-before the shuffle). Each value lies in a cell of a fixed logarithmic grid; a running sum over the cell counts,
-whose number the grid bounds, gives the rows before a cell, and a running sum inside the cell the rest.
+A group may hold most of all rows, so no group is sorted in one task. Equal values are first counted (combined before
+the shuffle). The distinct values are then dealt into ranges whose bounds are drawn from the data, so that ranges hold
+about equally many however close the values lie. A running sum over the ranges of a group, as many as there are tasks,
+gives the rows before a range, and a running sum inside the range the rest.
 """
 
 from __future__ import annotations
@@ -11,68 +12,59 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.keys import as_column
+from ..sources.tables import settle
 from .joins import null_safe_join
 
-CELLS_PER_OCTAVE = 64
-_LAST_CELL = 1_000_000
-_NULL_CELL = 2_000_000
 
+def value_ranges(counted: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """``counted`` with ``_range``: never decreasing in the value within a group, NULL last.
 
-def value_cell(value: Column | str, per_octave: int = CELLS_PER_OCTAVE) -> Column:
-    """Number of the grid cell of a value: never decreasing in the value, NULL in a cell after all others."""
-    value = as_column(value).cast("double")
-    size = F.least(F.log2(F.abs(value) + 1.0) * per_octave, F.lit(float(_LAST_CELL)))
-    cell = F.floor(size)
-    return F.coalesce(F.when(value < 0, -cell).otherwise(cell), F.lit(_NULL_CELL)).cast("int")
+    Spark draws the bounds from a sample of the rows. They are kept by writing the rows once: two readers of a plan
+    could see two samples.
+    """
+    dealt = counted.repartitionByRange(*[F.col(c) for c in by], F.col(value).asc_nulls_last())
+    return settle(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
 
 
-def value_ranks(df: DataFrame, by: Sequence[str], value: str, per_octave: int = CELLS_PER_OCTAVE) -> DataFrame:
+def value_ranks(df: DataFrame, by: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
     """One row per group and distinct value: ``rows_here``, ``rows_before`` (smaller values), ``rows_total``.
 
-    NULL sorts last. Raise ``per_octave`` when values lie within a narrow range far from zero.
+    NULL sorts last. With ``weight`` a row counts as that many rows, as if it had been repeated.
     """
-    counted = (
-        df.groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("rows_here"))
-        .withColumn("_cell", value_cell(value, per_octave))
-    )
-    cells = counted.groupBy(*by, "_cell").agg(F.sum("rows_here").alias("_cell_rows"))
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    ranged = value_ranges(df.groupBy(*by, value).agg(rows.alias("rows_here")), by, value)
+    ranges = ranged.groupBy(*by, "_range").agg(F.sum("rows_here").alias("_range_rows"))
     group = Window.partitionBy(*by)
-    earlier = group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    starts = cells.select(
+    earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.select(
         *by,
-        "_cell",
-        F.coalesce(F.sum("_cell_rows").over(earlier), F.lit(0)).alias("_before_cell"),
-        F.sum("_cell_rows").over(group).alias("rows_total"),
+        "_range",
+        F.coalesce(F.sum("_range_rows").over(earlier), F.lit(0)).alias("_before_range"),
+        F.sum("_range_rows").over(group).alias("rows_total"),
     )
     inside = (
-        Window.partitionBy(*by, "_cell")
+        Window.partitionBy(*by, "_range")
         .orderBy(F.col(value).asc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return null_safe_join(counted, starts, [*by, "_cell"]).select(
+    return null_safe_join(ranged, starts, [*by, "_range"]).select(
         *by,
         value,
         "rows_here",
-        (F.col("_before_cell") + F.coalesce(F.sum("rows_here").over(inside), F.lit(0))).alias("rows_before"),
+        (F.col("_before_range") + F.coalesce(F.sum("rows_here").over(inside), F.lit(0))).alias("rows_before"),
         "rows_total",
     )
 
 
-def percent_ranks(
-    df: DataFrame, by: Sequence[str], value: str, output: str, per_octave: int = CELLS_PER_OCTAVE
-) -> DataFrame:
+def percent_ranks(df: DataFrame, by: Sequence[str], value: str, output: str, weight: str | None = None) -> DataFrame:
     """``percent_rank`` of each distinct value of a group (ascending, NULL last)."""
     rank = F.when(F.col("rows_total") == 1, 0.0).otherwise(F.col("rows_before") / (F.col("rows_total") - 1))
-    return value_ranks(df, by, value, per_octave).select(*by, value, rank.alias(output))
+    return value_ranks(df, by, value, weight).select(*by, value, rank.alias(output))
 
 
-def percent_rank_by(
-    df: DataFrame, by: Sequence[str], value: str, output: str, per_octave: int = CELLS_PER_OCTAVE
-) -> DataFrame:
+def percent_rank_by(df: DataFrame, by: Sequence[str], value: str, output: str) -> DataFrame:
     """Adds the percent rank of a value within its group to every row."""
-    return null_safe_join(df, percent_ranks(df, by, value, output, per_octave), [*by, value], "left")
+    return null_safe_join(df, percent_ranks(df, by, value, output), [*by, value], "left")
 
 
 def group_percentiles(
@@ -82,7 +74,6 @@ def group_percentiles(
     percentiles: Mapping[str, float],
     exact: bool = True,
     accuracy: int = 10_000,
-    per_octave: int = CELLS_PER_OCTAVE,
 ) -> DataFrame:
     """Percentiles of each group as columns named by ``percentiles``; NULL values are left out.
 
@@ -94,7 +85,7 @@ def group_percentiles(
         return present.groupBy(*by).agg(
             *[F.percentile_approx(value, F.lit(p), F.lit(accuracy)).alias(name) for name, p in percentiles.items()]
         )
-    ranks = value_ranks(present.select(*by, value), by, value, per_octave)
+    ranks = value_ranks(present.select(*by, value), by, value)
     place = {name: F.lit(float(p)) * (F.col("rows_total") - 1) for name, p in percentiles.items()}
 
     def covers(rank: Column) -> Column:

@@ -36,27 +36,41 @@ def classify_by_thresholds(
     return joined.withColumn(output, bucket(rules, default)).drop(*[name for name, _ in states])
 
 
-def state_changes(df: DataFrame, by: Sequence[str], order: str, state: str, cut: Column) -> DataFrame:
+def state_changes(
+    df: DataFrame, by: Sequence[str], order: str, state: str, cut: Column, before: DataFrame | None = None
+) -> DataFrame:
     """Rows whose state differs from the row before; the first row of a series is no change.
 
     Adds ``from_state``, ``to_state``, ``previous_state_duration_minutes`` (gap to the row before) and
     ``from_state_total_minutes`` (since the series entered the state it now leaves; NULL at the first change).
+
+    ``before`` holds the last row before ``df`` of series that go on (``by``, ``order``, ``state``) and in
+    ``changed_at`` the time of their last change, NULL if there was none. ``cut`` may use the order column only then.
     """
+    rows = df.withColumn("_before", F.lit(False))
+    if before is not None:
+        last = before.select(*by, order, state, F.lit(True).alias("_before"))
+        rows = rows.unionByName(last, allowMissingColumns=True)
     marked = sliced(
-        df,
+        rows,
         by,
         order,
         cut,
         1,
         lambda w: {"from_state": F.lag(state).over(w), "_previous_time": F.lag(order).over(w)},
     )
-    changes = marked.filter(F.col(state) != F.col("from_state")).select(
+    changes = marked.filter(~F.col("_before") & (F.col(state) != F.col("from_state"))).select(
         *[c for c in df.columns if c != state],
         "from_state",
         F.col(state).alias("to_state"),
         minutes_between("_previous_time", order).alias("previous_state_duration_minutes"),
+        "_before",
     )
-    return sliced(
+    if before is not None:
+        last = before.filter(F.col("changed_at").isNotNull())
+        last = last.select(*by, F.col("changed_at").alias(order), F.lit(True).alias("_before"))
+        changes = changes.unionByName(last, allowMissingColumns=True)
+    timed = sliced(
         changes,
         by,
         order,
@@ -64,6 +78,7 @@ def state_changes(df: DataFrame, by: Sequence[str], order: str, state: str, cut:
         1,
         lambda w: {"from_state_total_minutes": minutes_between(F.lag(order).over(w), order)},
     )
+    return timed.filter(~F.col("_before")).drop("_before")
 
 
 def classify_trigger(hour: str, from_state: str, to_state: str, is_weekend: str, temperature: str) -> Column:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from ..sources.tables import settle
 from .joins import drop_existing, null_safe_join
+from .series import sliced
 
 ON_SCHEMA_CHANGE = ("append", "sync", "ignore", "fail")
 
@@ -51,47 +53,97 @@ def insert_only(
     return target.unionByName(drop_existing(updates, target, keys))
 
 
-def overlap_window(df: DataFrame, timestamp: str, latest: object, days: int = 1) -> DataFrame:
-    """Rows later than ``days`` before the latest processed time; everything before the first run."""
-    if latest is None:
-        return df
-    bound = F.lit(latest).cast("timestamp_ntz") - F.make_dt_interval(F.lit(days))
-    return df.filter(F.col(timestamp) > bound)
-
-
 def initial_bound(df: DataFrame, date: str, as_of: str, days: int) -> DataFrame:
     """Rows of the last ``days`` days before ``as_of``."""
     return df.filter(F.col(date) >= F.date_sub(F.lit(as_of).cast("date"), days))
 
 
-def rewrite_forward(
+def partition_counts(target: DataFrame, by: Sequence[str], partition: str) -> DataFrame:
+    """Rows of every series in every partition; of the target only the key columns are read."""
+    return target.groupBy(*by, partition).agg(F.count(F.lit(1)).alias("rows_held"))
+
+
+def reached_partitions(
+    counts: DataFrame, changed: DataFrame, by: Sequence[str], partition: str, reach: int, mates: Sequence[str] = ()
+) -> DataFrame:
+    """(``by``, ``partition``) of all rows needed to derive again what changes reach, found from row counts alone.
+
+    A changed row reaches the ``reach`` rows after it in its series, and each of those looks ``reach`` rows back.
+    ``counts`` are those of :func:`partition_counts`; ``changed`` names the series and partitions with changes. With
+    ``mates``, columns out of ``by``, a change in a partition changes all series of these columns there.
+
+    A partition is needed if fewer than ``reach`` rows lie between it and a changed one, on either side. Two running
+    extremes over the partitions of a series say so; rows between changes that lie apart are never read.
+    """
+    known = counts.select(*by, partition, "rows_held", F.lit(False).alias("_changed"))
+    new = changed.select(*by, partition).distinct()
+    new = new.select("*", F.lit(0).cast("long").alias("rows_held"), F.lit(True).alias("_changed"))
+    both = known.unionByName(new).groupBy(*by, partition)
+    marked = both.agg(F.sum("rows_held").alias("rows_held"), F.max("_changed").alias("_changed"))
+    if mates:
+        marked = marked.withColumn("_changed", F.max("_changed").over(Window.partitionBy(*mates, partition)))
+    series = Window.partitionBy(*by).orderBy(partition)
+    before = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = series.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    placed = marked.withColumn("_end", F.sum("rows_held").over(before))
+    placed = placed.withColumn("_begin", F.col("_end") - F.col("rows_held"))
+    spans = placed.withColumns(
+        {
+            "_last_end": F.max(F.when(F.col("_changed"), F.col("_end"))).over(before),
+            "_next_begin": F.min(F.when(F.col("_changed"), F.col("_begin"))).over(after),
+        }
+    )
+    needed = (
+        F.col("_changed")
+        | (F.col("_begin") < F.col("_last_end") + reach)
+        | (F.col("_end") > F.col("_next_begin") - reach)
+    )
+    return spans.filter(F.coalesce(needed, F.lit(False))).select(*by, partition)
+
+
+def rewrite_reached(
     target: DataFrame,
     updates: DataFrame,
     keys: Sequence[str],
     by: Sequence[str],
     order: str,
+    partition: str,
     reach: int,
     derive: Callable[[DataFrame], DataFrame],
-    since: Callable[[Column], Column] = lambda earliest: earliest,
+    group: Sequence[str] = (),
+    counts: DataFrame | None = None,
+    mates: Sequence[str] = (),
+    cut: Column | None = None,
 ) -> DataFrame:
-    """All rows whose derived columns can change through ``updates``, derived anew: input for :func:`upsert`.
+    """The rows whose derived columns can change through ``updates``, derived anew: input for :func:`upsert`.
 
-    ``updates`` holds base columns only, and ``derive`` adds the columns that look up to ``reach`` rows back.
-    Per series, rows from the earliest change on (or from ``since`` of it) are taken from the target, merged with
-    the updates, and derived together with the ``reach`` rows before them, which are then left out again.
+    ``updates`` holds base columns only, and ``derive`` adds the columns that look up to ``reach`` rows back in the
+    series ``by`` or at the rows of a ``group``. Rewritten are the updates, the ``reach`` rows after each of them in
+    its series, and the rows of its group; nothing else, however long the series go on. Read are the partitions of
+    :func:`reached_partitions`, by literal values, so that a target partitioned by ``partition`` opens only those.
+
+    A group lies in one partition; for one that crosses series pass ``mates``, the columns out of ``by`` they share.
+    Pass ``cut``, a coarse step of the order, where a series is too long for one task.
     """
     base = updates.columns
-    changed = updates.groupBy(*by).agg(since(F.min(order)).alias("_since"))
-    reached = null_safe_join(target.select(*base), changed, by)
-    later = reached.filter(F.col(order) >= F.col("_since")).drop("_since")
-    back = F.row_number().over(Window.partitionBy(*by).orderBy(F.col(order).desc()))
-    before = (
-        reached.filter(F.col(order) < F.col("_since"))
-        .drop("_since")
-        .withColumn("_back", back)
-        .filter(F.col("_back") <= reach)
-        .drop("_back")
-    )
-    merged = upsert(later, updates, keys).withColumn("_context", F.lit(False))
-    context = before.withColumn("_context", F.lit(True))
-    return derive(merged.unionByName(context)).filter(~F.col("_context")).drop("_context")
+    counts = partition_counts(target, by, partition) if counts is None else counts
+    needed = settle(reached_partitions(counts, updates, by, partition, reach, mates), "needed")
+    # as many values as there are partitions of the table, which the calendar bounds
+    values = [r[0] for r in needed.select(partition).distinct().collect()]
+    opened = target.filter(F.col(partition).isin(values)).select(*base)
+    place = [*(mates or by), partition]
+    held = null_safe_join(opened, needed.select(*place).distinct(), place)
+    merged = drop_existing(held, updates, keys, null_safe=True).withColumn("_changed", F.lit(False))
+    merged = merged.unionByName(updates.withColumn("_changed", F.lit(True)))
+
+    def touched(w: WindowSpec) -> dict[str, Column]:
+        return {"_touched": F.max("_changed").over(w.rowsBetween(-reach, Window.currentRow))}
+
+    if cut is None:
+        marked = merged.withColumns(touched(Window.partitionBy(*by).orderBy(order)))
+    else:
+        marked = sliced(merged, by, order, cut, reach, touched)
+    if group:
+        mate = F.max("_changed").over(Window.partitionBy(*group))
+        marked = marked.withColumn("_touched", F.col("_touched") | mate)
+    return derive(marked.drop("_changed")).filter("_touched").drop("_touched")

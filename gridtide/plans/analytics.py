@@ -1,4 +1,4 @@
-"""Generation mix, weather–demand correlation, peak drivers, cumulative patterns and grid states."""
+"""Generation mix, weather–demand correlation, peak drivers and cumulative patterns."""
 
 from __future__ import annotations
 
@@ -8,14 +8,17 @@ from ..functions import calendar as cal, classify, fixed_values as fixed
 from ..functions.keys import surrogate_key
 from ..functions.numeric import safe_div
 from ..operators import series, stats
-from ..operators.dedup import dominant, first_by
-from ..operators.joins import bridge_join, drop_existing, null_safe_join, prior_period_join
+from ..operators.dedup import dominant
+from ..operators.joins import bridge_first, null_safe_join, prior_period_join
 from ..operators.ranks import group_percentiles, percent_ranks
-from ..operators.states import classify_by_thresholds, classify_trigger, state_changes, state_thresholds
-from ..operators.upsert import initial_bound, overlap_window, rewrite_forward
-from .facts import month_cut
-
-CUMULATIVE_KEYS = ["balancing_authority_id", "date_id"]
+from ..operators.sketches import merged_percentiles, quantile_sketches, sketched_percentile
+from ..operators.upsert import initial_bound, rewrite_reached
+from ..sources.tables import settle
+from .facts import MONTHLY_PARTITION, with_partition
+
+# An authority without a location key is still a series of its own, told by its code.
+CUMULATIVE_SERIES = ["balancing_authority_id", "balancing_authority"]
+CUMULATIVE_KEYS = [*CUMULATIVE_SERIES, "date_id"]
 PROFILE_KEYS = ["location_id", "season", "hour_of_day"]
 CUMULATIVE_REACH = fixed.INITIAL_LOAD_DAYS - 1
 
@@ -46,8 +49,8 @@ def monthly_generation(facts: DataFrame, dates: DataFrame, sources: DataFrame) -
 def generation_mix(monthly: DataFrame, match_sector: bool = True) -> DataFrame:
     """Per month, location, source and sector: renewable share, change to the year before, dominant source, CO2.
 
-    Without ``match_sector`` a month is compared with every sector of the year before, so a source with several
-    sectors gives one row per combination of its sectors.
+    Without ``match_sector`` the source of a row, all its sectors together, is compared with itself a year before; the
+    sums of a month and source meet once, however many sectors there are.
     """
     month = monthly.groupBy("date_id", "location_id").agg(
         stats.share("is_renewable", "generation_mwh").alias("renewable_percentage"),
@@ -62,25 +65,17 @@ def generation_mix(monthly: DataFrame, match_sector: bool = True) -> DataFrame:
         ).values(),
     )
     measures = ["generation_mwh", "percentage_of_total"]
+    source = ["location_id", "energy_source_id", "month"]
     if match_sector:
-        compared = prior_period_join(
-            monthly, ["location_id", "energy_source_id", "sector_id", "month"], "year", measures
-        ).withColumns({"_mwh": F.col("generation_mwh"), "_percentage": F.col("percentage_of_total")})
+        compared = prior_period_join(monthly, [*source, "sector_id"], "year", measures).withColumns(
+            {"_mwh": F.col("generation_mwh"), "_percentage": F.col("percentage_of_total")}
+        )
     else:
-        keys = ["date_id", "location_id", "energy_source_id"]
-        yearly = prior_period_join(
-            monthly.select(*keys, "year", "month", *measures),
-            ["location_id", "energy_source_id", "month"],
-            "year",
-            measures,
-        ).select(
-            *keys,
-            F.col("generation_mwh").alias("_mwh"),
-            F.col("percentage_of_total").alias("_percentage"),
-            "previous_year_generation_mwh",
-            "previous_year_percentage_of_total",
+        sums = monthly.groupBy(*source, "year").agg(*[F.sum(m).alias(m) for m in measures])
+        yearly = prior_period_join(sums, source, "year", measures).withColumnsRenamed(
+            {"generation_mwh": "_mwh", "percentage_of_total": "_percentage"}
         )
-        compared = monthly.join(yearly, keys)
+        compared = monthly.join(yearly, [*source, "year"])
     previous, previous_share = F.col("previous_year_generation_mwh"), F.col("previous_year_percentage_of_total")
     return compared.join(month, ["date_id", "location_id"]).select(
         "date_id",
@@ -147,30 +142,45 @@ def daily_demand_weather(demand: DataFrame, weather: DataFrame, dates: DataFrame
     return days.join(calendar, "date_id").join(regional, ["balancing_authority_id", "date_id"], "left")
 
 
-def weather_demand_correlation(daily: DataFrame, locations: DataFrame, exact_thresholds: bool = False) -> DataFrame:
+SEASON_THRESHOLDS = {"high_temp_threshold": fixed.EXTREME_HOT_RANK, "low_temp_threshold": fixed.EXTREME_COLD_RANK}
+
+
+def season_sketches(daily: DataFrame) -> DataFrame:
+    """Temperature sketches per authority, season and month, to be kept; the month is the part a refresh replaces."""
+    month = F.trunc("date", "month").alias("sketch_month")
+    days = daily.select("balancing_authority_id", "season", month, "regional_avg_temp_c")
+    return quantile_sketches(days, ["balancing_authority_id", "season"], "sketch_month", "regional_avg_temp_c")
+
+
+def season_thresholds(sketches: DataFrame) -> DataFrame:
+    """Thresholds of each authority and season from its kept sketches."""
+    return merged_percentiles(sketches, ["balancing_authority_id", "season"], SEASON_THRESHOLDS)
+
+
+def weather_demand_correlation(
+    daily: DataFrame, locations: DataFrame, exact_thresholds: bool = False, thresholds: DataFrame | None = None
+) -> DataFrame:
     """Daily rows with their season's temperature sensitivity, expected demand, anomaly and weekend ratio.
 
-    All group metrics come from one aggregation per authority and season. A group has one row per day, so an
-    exact percentile of it stays small as well.
+    All group metrics come from one aggregation per authority and season. The thresholds of the temperature zones are
+    approximate unless ``exact_thresholds`` (a group has one row per day, so that stays small as well); pass those of
+    :func:`season_thresholds` to use kept sketches.
     """
     t, d = F.col("regional_avg_temp_c"), F.col("daily_demand_mwh")
-    if exact_thresholds:
-        high = F.percentile(t, F.lit(fixed.EXTREME_HOT_RANK))
-        low = F.percentile(t, F.lit(fixed.EXTREME_COLD_RANK))
-    else:
-        high = F.percentile_approx(t, F.lit(fixed.EXTREME_HOT_RANK))
-        low = F.percentile_approx(t, F.lit(fixed.EXTREME_COLD_RANK))
+    percentile = (lambda v, p: F.percentile(v, F.lit(p))) if exact_thresholds else sketched_percentile
+    own = [] if thresholds is not None else [percentile(t, p).alias(name) for name, p in SEASON_THRESHOLDS.items()]
     weekday = F.when(~F.col("is_weekend"), d)
     seasons = daily.groupBy("balancing_authority_id", "season").agg(
         *stats.sensitivity(t, d),
         *stats.band_means(t, d),
-        high.alias("high_temp_threshold"),
-        low.alias("low_temp_threshold"),
+        *own,
         F.sum(d).alias("_sum"),
         F.count(d).alias("_n"),
         F.sum(weekday).alias("_weekday_sum"),
         F.count(weekday).alias("_weekday_n"),
     )
+    if thresholds is not None:
+        seasons = seasons.join(thresholds, ["balancing_authority_id", "season"], "left")
     authority = Window.partitionBy("balancing_authority_id")
     metrics = seasons.withColumns(
         {
@@ -220,33 +230,23 @@ def weather_demand_correlation(daily: DataFrame, locations: DataFrame, exact_thr
 def demand_with_weather(
     demand: DataFrame, weather: DataFrame, dates: DataFrame, locations: DataFrame, bridge: DataFrame
 ) -> DataFrame:
-    """Hourly demand with calendar, location name and the readings of the authority's stations.
+    """Hourly demand with calendar, location name and the first reading of the authority's stations in that hour.
 
-    One row per demand hour and station reading: an authority with several stations appears several times.
+    ``readings`` counts the rows that joining all readings would give; ranks weigh an hour by it.
     """
     facts = demand.select("date_id", "hour_of_day", "location_id", "timestamp", "demand_mwh")
     calendar = dates.select("date_id", "season", "is_weekend", "is_holiday")
     names = locations.select("location_id", F.col("city").alias("location_name"))
-    readings = weather.select(
-        "date_id",
-        "hour_of_day",
-        "location_id",
-        "station_id",
-        F.col("timestamp").alias("weather_timestamp"),
-        "temperature_c",
-        "dew_point_c",
-        "pressure_hpa",
-        "wind_speed_ms",
-    )
     described = facts.join(calendar, "date_id").join(names, "location_id")
-    return bridge_join(described, bridge, readings, ["date_id", "hour_of_day"])
+    measures = ["temperature_c", "dew_point_c", "pressure_hpa", "wind_speed_ms"]
+    readings = weather.withColumnRenamed("timestamp", "weather_timestamp")
+    return bridge_first(
+        described, bridge, readings, ["date_id", "hour_of_day"], ["weather_timestamp", "station_id"], measures
+    )
 
 
 def mark_peaks(hours: DataFrame, weather: DataFrame) -> DataFrame:
-    """One row per demand hour with its percent rank, peak flag and temperature zone.
-
-    The rank counts the rows before one reading per hour is chosen.
-    """
+    """Demand hours with percent rank, peak flag and temperature zone. The rank counts an hour once per reading."""
     extremes = group_percentiles(
         weather, [], "temperature_c", {"hot": fixed.EXTREME_HOT_RANK, "cold": fixed.EXTREME_COLD_RANK}
     )
@@ -255,10 +255,9 @@ def mark_peaks(hours: DataFrame, weather: DataFrame) -> DataFrame:
     zone = classify.bucket(
         [(t > bounds.getField("hot"), "EXTREME_HOT"), (t < bounds.getField("cold"), "EXTREME_COLD")], "NORMAL"
     )
-    one = first_by(hours, ["date_id", "hour_of_day", "location_id"], ["weather_timestamp", "station_id"])
     group = ["location_id"]
-    ranks = percent_ranks(hours, group, "demand_mwh", "demand_percentile")
-    ranked = null_safe_join(one, ranks, [*group, "demand_mwh"], "left")
+    ranks = percent_ranks(hours, group, "demand_mwh", "demand_percentile", "readings")
+    ranked = null_safe_join(hours, ranks, [*group, "demand_mwh"], "left")
     date = cal.date_from_id("date_id")
     return ranked.select(
         "*",
@@ -337,8 +336,9 @@ def peak_drivers(hours: DataFrame, profile: DataFrame | None = None) -> DataFram
 
 def daily_demand(demand: DataFrame, dates: DataFrame, as_of: str | None = None) -> DataFrame:
     """Daily demand per authority with calendar attributes; with ``as_of`` only the two years before it."""
-    days = stats.daily_rollup(demand, ["location_id", "date_id"], "demand_mwh").select(
+    days = stats.daily_rollup(demand, ["location_id", "balancing_authority", "date_id"], "demand_mwh").select(
         F.col("location_id").alias("balancing_authority_id"),
+        "balancing_authority",
         "date_id",
         F.col("total").alias("daily_demand_mwh"),
         F.col("peak").alias("daily_peak_demand_mwh"),
@@ -355,8 +355,8 @@ def daily_demand(demand: DataFrame, dates: DataFrame, as_of: str | None = None)
 
 def cumulative_columns(daily: DataFrame) -> DataFrame:
     """Trailing means and changes. A series has one row per day, so its window is bounded by the calendar."""
-    w = Window.partitionBy("balancing_authority_id").orderBy("date")
-    week = Window.partitionBy("balancing_authority_id", "year", "week_of_year")
+    w = Window.partitionBy(*CUMULATIVE_SERIES).orderBy("date")
+    week = Window.partitionBy(*CUMULATIVE_SERIES, "year", "week_of_year")
     v = "daily_demand_mwh"
     return daily.withColumns(
         {
@@ -379,116 +379,36 @@ def cumulative_patterns(demand: DataFrame, dates: DataFrame, as_of: str | None =
     return cumulative_columns(daily_demand(demand, dates, as_of)).drop("year", "week_of_year")
 
 
-def cumulative_increment(target: DataFrame, demand: DataFrame, dates: DataFrame, changed_days: DataFrame) -> DataFrame:
-    """Rows to merge into the cumulative table after the demand of some days changed.
-
-    ``changed_days`` holds (location_id, date_id). A week may be split by the turn of the year, so a series is
-    derived anew from the start of the earliest changed year.
-    """
-    touched = demand.join(changed_days.select("location_id", "date_id").distinct(), ["location_id", "date_id"], "left_semi")
-    updates = daily_demand(touched, dates)
-    held = target.join(dates.select("date_id", "year", "week_of_year"), "date_id")
-    derived = rewrite_forward(
-        held,
-        updates,
-        CUMULATIVE_KEYS,
-        ["balancing_authority_id"],
-        "date",
-        CUMULATIVE_REACH,
-        cumulative_columns,
-        since=lambda first: F.trunc(first, "year"),
-    )
-    return derived.drop("year", "week_of_year")
-
-
-# Grid states
+def cumulative_table(demand: DataFrame, dates: DataFrame, as_of: str | None = None) -> DataFrame:
+    """The patterns as they are stored for later increments: with the week of each day, and partitioned by year."""
+    return with_partition(cumulative_columns(daily_demand(demand, dates, as_of)), "date", hourly=False)
 
 
-def grid_state_changes(
+def cumulative_increment(
+    target: DataFrame,
     demand: DataFrame,
-    weather: DataFrame,
     dates: DataFrame,
-    bridge: DataFrame,
-    thresholds: DataFrame | None = None,
-    cut: Column | None = None,
+    changed_days: DataFrame,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Changes of the demand state of each authority, with trigger, gap to the row before and weather.
+    """Rows to merge into the cumulative table after the demand of some days changed.
 
-    States come from each authority's own percentiles (pass them settled on large data, as for
-    :func:`peak_drivers`). Weather and calendar are joined to the changes only, which
-    are far fewer than the demand rows.
+    ``changed_days`` holds (location_id, balancing_authority, date_id). Rewritten are the days that look back to a
+    changed one and those of its calendar week, which the turn of the year may split; it lies in one year's partition.
     """
-    facts = demand.select(
-        F.col("location_id").alias("balancing_authority_id"),
-        "timestamp",
+    key = ["location_id", "balancing_authority", "date_id"]
+    days = settle(changed_days.select(*key).distinct(), "changed-days")
+    updates = daily_demand(null_safe_join(demand, days, key), dates)
+    updates = settle(with_partition(updates, "date", hourly=False), "updates")
+    return rewrite_reached(
+        target,
+        updates,
+        CUMULATIVE_KEYS,
+        CUMULATIVE_SERIES,
         "date",
-        "date_id",
-        "hour_of_day",
-        "demand_mwh",
-    )
-    by = ["balancing_authority_id"]
-    if thresholds is None:
-        thresholds = state_thresholds(facts, by, "demand_mwh")
-    dated = facts.join(dates.select("date_id"), "date_id", "left_semi")
-    states = classify_by_thresholds(dated, thresholds, by, "demand_mwh", "demand_state")
-    changes = state_changes(states, by, "timestamp", "demand_state", month_cut() if cut is None else cut)
-    readings = weather.select(
-        "date_id",
-        "hour_of_day",
-        "location_id",
-        "station_id",
-        F.col("timestamp").alias("weather_timestamp"),
-        "temperature_c",
-        "pressure_hpa",
-        "wind_speed_ms",
-    )
-    hop = bridge.select("balancing_authority_id", "weather_station_id")
-    seen = (
-        changes.join(hop, "balancing_authority_id", "left")
-        .withColumnRenamed("weather_station_id", "_station")
-        .join(readings.withColumnRenamed("location_id", "_station"), ["date_id", "hour_of_day", "_station"], "left")
-    )
-    one = first_by(seen, [*by, "timestamp"], ["weather_timestamp", "station_id"])
-    calendar = dates.select("date_id", "day_name", "is_weekend", "is_holiday")
-    return one.join(calendar, "date_id").select(
-        surrogate_key("balancing_authority_id", "timestamp").alias("state_change_id"),
-        "balancing_authority_id",
-        "from_state",
-        "to_state",
-        F.col("timestamp").alias("state_change_timestamp"),
-        "date_id",
-        "previous_state_duration_minutes",
-        "from_state_total_minutes",
-        classify_trigger("hour_of_day", "from_state", "to_state", "is_weekend", "temperature_c").alias(
-            "change_trigger"
-        ),
-        F.col("demand_mwh").alias("demand_at_change_mwh"),
-        "temperature_c",
-        "pressure_hpa",
-        "wind_speed_ms",
-        "day_name",
-        "is_weekend",
-        "is_holiday",
+        MONTHLY_PARTITION,
+        CUMULATIVE_REACH,
+        cumulative_columns,
+        group=[*CUMULATIVE_SERIES, "year", "week_of_year"],
+        counts=counts,
     )
-
-
-def grid_state_increment(
-    target: DataFrame,
-    demand: DataFrame,
-    weather: DataFrame,
-    dates: DataFrame,
-    bridge: DataFrame,
-    latest: object,
-    days: int = 1,
-    thresholds: DataFrame | None = None,
-) -> DataFrame:
-    """State changes not captured yet: the demand since ``days`` before the latest change, without known ids.
-
-    Thresholds come from all demand unless given, so captured changes may have used others; they are never revised.
-    """
-    if thresholds is None:
-        renamed = demand.select(F.col("location_id").alias("balancing_authority_id"), "demand_mwh")
-        thresholds = state_thresholds(renamed, ["balancing_authority_id"], "demand_mwh")
-    recent = overlap_window(demand, "timestamp", latest, days)
-    changes = grid_state_changes(recent, weather, dates, bridge, thresholds)
-    return drop_existing(changes, target, ["state_change_id"])

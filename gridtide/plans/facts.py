@@ -7,9 +7,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import calendar as cal, fixed_values as fixed
 from ..functions.numeric import safe_div, wind_chill
 from ..operators.dedup import latest_by
-from ..operators.joins import drop_existing, null_safe_join, validity_join
+from ..operators.joins import drop_existing, validity_join
 from ..operators.series import delta, pct_change, share_of_total, sliced
-from ..operators.upsert import rewrite_forward, upsert
+from ..operators.upsert import rewrite_reached
+from ..sources.tables import settle
 from ..sources.watermark import newer_than
 
 # The business code stands beside the location key: places missing from the dimension have no key, and would
@@ -73,10 +74,36 @@ def fact_demand(staged: DataFrame, locations: DataFrame, cut: Column | None = No
     return demand_changes(demand_base(staged, locations), cut)
 
 
-def fact_demand_increment(target: DataFrame, staged: DataFrame, locations: DataFrame) -> DataFrame:
-    """Rows to merge into the demand fact: uploads beyond its watermark, and every later row they change."""
+# Increments read and rewrite a target partitioned by month (hourly facts) or year (monthly facts); ``with_partition``
+# adds that column before the first write.
+
+HOURLY_PARTITION, MONTHLY_PARTITION = "fact_month", "fact_year"
+
+
+def with_partition(df: DataFrame, date: str, hourly: bool = True) -> DataFrame:
+    """Adds the partition column of a fact."""
+    if hourly:
+        return df.withColumn(HOURLY_PARTITION, F.trunc(date, "month"))
+    return df.withColumn(MONTHLY_PARTITION, F.year(date))
+
+
+def fact_demand_increment(
+    target: DataFrame, staged: DataFrame, locations: DataFrame, counts: DataFrame | None = None
+) -> DataFrame:
+    """Rows to merge into the demand fact: uploads beyond its watermark, and the hour after each of them."""
     updates = demand_base(newer_than(staged, "source_uploaded_at", target), locations)
-    return rewrite_forward(target, updates, DEMAND_KEYS, DEMAND_SERIES, "timestamp", 1, demand_changes)
+    return rewrite_reached(
+        target,
+        settle(with_partition(updates, "date"), "updates"),
+        DEMAND_KEYS,
+        DEMAND_SERIES,
+        "timestamp",
+        HOURLY_PARTITION,
+        1,
+        demand_changes,
+        counts=counts,
+        cut=month_cut(),
+    )
 
 
 def weather_base(staged: DataFrame, locations: DataFrame, hourly: bool = False) -> DataFrame:
@@ -131,12 +158,25 @@ def fact_weather(
     return weather_changes(weather_base(staged, locations, hourly), cut)
 
 
-def fact_weather_increment(target: DataFrame, staged: DataFrame, locations: DataFrame) -> DataFrame:
-    """Rows to merge into the weather fact: new hours only (a held hour is never revised), and later rows changed."""
+def fact_weather_increment(
+    target: DataFrame, staged: DataFrame, locations: DataFrame, counts: DataFrame | None = None
+) -> DataFrame:
+    """Rows to merge into the weather fact: new hours only (a held hour is never revised), and the hour after each."""
     fresh = newer_than(staged, "source_uploaded_at", target)
     fresh = drop_existing(fresh.withColumn("date_id", cal.date_id("date")), target, WEATHER_KEYS).drop("date_id")
-    updates = weather_base(fresh, locations)
-    return rewrite_forward(target, updates, WEATHER_KEYS, ["station_id"], "timestamp", 1, weather_changes)
+    updates = settle(with_partition(weather_base(fresh, locations), "date"), "updates")
+    return rewrite_reached(
+        target,
+        updates,
+        WEATHER_KEYS,
+        ["station_id"],
+        "timestamp",
+        HOURLY_PARTITION,
+        1,
+        weather_changes,
+        counts=counts,
+        cut=month_cut(),
+    )
 
 
 def generation_base(staged: DataFrame, sources: DataFrame, locations: DataFrame) -> DataFrame:
@@ -194,25 +234,30 @@ def fact_generation(staged: DataFrame, sources: DataFrame, locations: DataFrame)
 
 
 def fact_generation_increment(
-    target: DataFrame, staged: DataFrame, sources: DataFrame, locations: DataFrame
+    target: DataFrame,
+    staged: DataFrame,
+    sources: DataFrame,
+    locations: DataFrame,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows to merge into the generation fact: new keys only, and every row of a changed location they affect.
-
-    The share of a month depends on all its rows, so a location is derived anew from its first changed month.
-    """
+    """Rows to merge into the generation fact: new keys only, the rows of their place and month (whose shares change),
+    and the next month of each new row's series. Shares of that month need its whole place, so places are read whole."""
     fresh = generation_base(newer_than_upload(staged, target), sources, locations)
     updates = drop_existing(fresh, target, GENERATION_KEYS, null_safe=True)
-    base = updates.columns
     place = ["location_id", "location_code"]
-    first = updates.groupBy(*place).agg(F.min("generation_date").alias("_since"))
-    held = null_safe_join(target.select(*base), first, place)
-    later = held.filter(F.col("generation_date") >= F.col("_since")).select(*base)
-    before = latest_by(
-        held.filter(F.col("generation_date") < F.col("_since")).select(*base), GENERATION_SERIES, ["generation_date"]
+    return rewrite_reached(
+        target,
+        settle(with_partition(updates, "generation_date", hourly=False), "updates"),
+        GENERATION_KEYS,
+        GENERATION_SERIES,
+        "generation_date",
+        MONTHLY_PARTITION,
+        1,
+        generation_shares,
+        group=["date_id", *place],
+        counts=counts,
+        mates=place,
     )
-    merged = upsert(later, updates, GENERATION_KEYS).withColumn("_context", F.lit(False))
-    derived = generation_shares(merged.unionByName(before.withColumn("_context", F.lit(True))))
-    return derived.filter(~F.col("_context")).drop("_context")
 
 
 def newer_than_upload(staged: DataFrame, target: DataFrame | None) -> DataFrame:
@@ -265,8 +310,20 @@ def fact_sales(staged: DataFrame, locations: DataFrame) -> DataFrame:
     return sales_changes(sales_base(staged, locations))
 
 
-def fact_sales_increment(target: DataFrame, staged: DataFrame, locations: DataFrame) -> DataFrame:
-    """Rows to merge into the sales fact: new keys only, and the later months they change."""
+def fact_sales_increment(
+    target: DataFrame, staged: DataFrame, locations: DataFrame, counts: DataFrame | None = None
+) -> DataFrame:
+    """Rows to merge into the sales fact: new keys only, and the twelve rows after each of them."""
     fresh = sales_base(newer_than_upload(staged, target), locations)
     updates = drop_existing(fresh, target, SALES_KEYS, null_safe=True)
-    return rewrite_forward(target, updates, SALES_KEYS, SALES_SERIES, "sales_date", 12, sales_changes)
+    return rewrite_reached(
+        target,
+        settle(with_partition(updates, "sales_date", hourly=False), "updates"),
+        SALES_KEYS,
+        SALES_SERIES,
+        "sales_date",
+        MONTHLY_PARTITION,
+        12,
+        sales_changes,
+        counts=counts,
+    )

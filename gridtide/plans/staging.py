@@ -38,7 +38,7 @@ def stage_demand(raw: DataFrame) -> DataFrame:
     newest = latest_by(
         records,
         ["balancing_authority", "timestamp"],
-        ["source_uploaded_at", "source_id", "demand_mwh", "units", "file_name"],
+        ["source_uploaded_at", "source_id", "file_name", "demand_mwh", "units"],
     )
     return newest.select(
         surrogate_key("balancing_authority", "timestamp").alias("demand_id"),
@@ -76,7 +76,7 @@ def stage_generation(raw: DataFrame) -> DataFrame:
         F.col("file_name").alias("source_file"),
     )
     grain = ["period", "location_code", "fuel_type_id", "sector_id"]
-    newest = latest_by(records, grain, ["source_timestamp", "source_id", "reported", "generation_units", "source_file"])
+    newest = latest_by(records, grain, ["source_timestamp", "source_id", "source_file", "reported", "generation_units"])
     scaled = (F.col("generation_units") == fixed.THOUSAND_MWH_UNIT) & F.col("reported").isNotNull()
     date = cal.month_date("period")
     return newest.select(
@@ -171,7 +171,7 @@ def stage_weather(raw: DataFrame, per_hour: bool = False) -> DataFrame:
         F.col("uploaded_at").alias("source_uploaded_at"),
         "item_index",
     ).filter(F.col("timestamp").isNotNull())
-    ties = ["item_index", *reading, "file_name"]
+    ties = ["file_name", "item_index", *reading]
     if per_hour:
         hours = records.withColumn("_hour", cal.start_of_hour("timestamp"))
         newest = latest_by(hours, ["station_id", "_hour"], ["source_uploaded_at", "source_id", "timestamp", *ties])

@@ -26,14 +26,17 @@ def _tenths(text: Column) -> Column:
     return parse_number(text) / fixed.ISD_SCALE
 
 
-def parse_isd(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Typed weather records from fixed-width lines.
+def judged_isd(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Every line with its fields, ``wind_place`` and ``reject_reason`` (NULL for a record), in one pass.
 
-    Short lines and lines with an unreadable date, temperature, dew point or pressure give no row. A sentinel
-    gives NULL. Wind is the first of its candidate places that holds a number.
+    Reasons, the first that holds: ``short`` line, unreadable ``date``, ``temperature``, ``dew_point``, ``pressure``.
+    A sentinel gives NULL. Wind is the first of its candidate places that holds a number, 0 being the first place;
+    a line without one is a record without wind.
     """
-    text = F.col(line)
-    parts = lines.filter(F.length(text) > fixed.ISD_LONGER_THAN).select(
+    text = F.coalesce(F.col(line), F.lit(""))
+    parts = lines.select(
+        F.col(line).alias("line"),
+        (F.length(text) <= fixed.ISD_LONGER_THAN).alias("_short"),
         *[_slice(text, name).alias(name) for name in fixed.ISD_FIELDS],
         *[
             F.trim(F.substring(text, start + 1, fixed.ISD_WIND_LENGTH)).alias(f"wind_{start}")
@@ -46,32 +49,39 @@ def parse_isd(lines: DataFrame, line: str = "value") -> DataFrame:
         "dew_point": F.col("dew_point") == fixed.ISD_SIGNED_MISSING,
         "pressure": F.col("pressure").isin("", fixed.ISD_MISSING),
     }
-    readable = F.lit(True)
-    for name, absent in missing.items():
-        readable = readable & (absent | parse_number(F.col(name)).isNotNull())
-    wind = F.coalesce(
+    winds = [
+        F.when(F.col(f"wind_{start}") != fixed.ISD_MISSING, _tenths(F.col(f"wind_{start}")))
+        for start in fixed.ISD_WIND_STARTS
+    ]
+    typed = parts.select(
+        "line",
+        "_short",
+        F.concat_ws("-", "usaf", "wban").alias("station_id"),
+        F.call_function("try_make_timestamp_ntz", *clock, F.lit(0)).alias("timestamp"),
         *[
-            F.when(F.col(f"wind_{start}") != fixed.ISD_MISSING, _tenths(F.col(f"wind_{start}")))
-            for start in fixed.ISD_WIND_STARTS
-        ]
-    )
-    return (
-        parts.filter(readable)
-        .select(
-            F.concat_ws("-", "usaf", "wban").alias("station_id"),
-            F.call_function("try_make_timestamp_ntz", *clock, F.lit(0)).alias("timestamp"),
-            *[
-                F.when(~missing[name], _tenths(F.col(name))).alias(output)
-                for name, output in (
-                    ("temperature", "temperature_c"),
-                    ("dew_point", "dew_point_c"),
-                    ("pressure", "pressure_hpa"),
-                )
-            ],
-            wind.alias("wind_speed_ms"),
-        )
-        .filter(F.col("timestamp").isNotNull())
+            F.when(~missing[name], _tenths(F.col(name))).alias(output)
+            for name, output in (
+                ("temperature", "temperature_c"),
+                ("dew_point", "dew_point_c"),
+                ("pressure", "pressure_hpa"),
+            )
+        ],
+        F.coalesce(*winds).alias("wind_speed_ms"),
+        F.coalesce(*[F.when(wind.isNotNull(), i) for i, wind in enumerate(winds)]).alias("wind_place"),
+        *[(~absent & parse_number(F.col(name)).isNull()).alias(f"_bad_{name}") for name, absent in missing.items()],
     )
+    reason = F.when(F.col("_short"), "short").when(F.col("timestamp").isNull(), "date")
+    for name in missing:
+        reason = reason.when(F.col(f"_bad_{name}"), name)
+    return typed.withColumn("reject_reason", reason).drop("_short", *[f"_bad_{name}" for name in missing])
+
+
+RECORD = ["station_id", "timestamp", "temperature_c", "dew_point_c", "pressure_hpa", "wind_speed_ms"]
+
+
+def parse_isd(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Typed weather records from fixed-width lines; see :func:`judged_isd` for those that give no row."""
+    return judged_isd(lines, line).filter(F.col("reject_reason").isNull()).select(*RECORD)
 
 
 def isd_documents(records: DataFrame) -> DataFrame:

@@ -15,10 +15,8 @@ from pyspark.sql.types import StructType
 
 from ..operators.dedup import latest_by
 from ..operators.upsert import fit_schema
-from ..plans import analytics
 from ..sources.landed import stamp_landed
 from ..sources.tables import refresh_partitions, settle
-from ..sources.watermark import watermark
 
 
 def stream_landed_json(
@@ -53,6 +51,7 @@ def merge_into(
     """Merges rows into a partitioned table; per key the newest row stays. Only partitions with updates are read
     and rewritten. The merged rows are first settled, so that a failed write never leaves a half-read table."""
     spark = updates.sparkSession
+    updates = settle(updates, "batch")  # staged once, though it is read twice below
     target = stored_table(spark, path)
     if target is not None:
         touched = target.join(updates.select(*partition).distinct(), list(partition), "left_semi")
@@ -73,7 +72,7 @@ def ingest(
 ) -> StreamingQuery:
     """Processes everything that has arrived and stops; start it again for the next batch of files.
 
-    ``after`` runs once each batch is merged, for tables that follow this one (see :func:`capture_states`).
+    ``after`` runs once each batch is merged, for tables that follow this one (such as the captured states).
     """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
@@ -87,25 +86,3 @@ def ingest(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def capture_states(
-    spark: SparkSession,
-    demand: DataFrame,
-    changes_path: str,
-    weather: DataFrame,
-    dates: DataFrame,
-    bridge: DataFrame,
-    days: int = 1,
-) -> None:
-    """Appends the grid-state changes not captured yet, looking ``days`` back from the latest captured one.
-
-    Running it again adds nothing: captured ids are left out.
-    """
-    captured = stored_table(spark, changes_path)
-    if captured is None:
-        changes = analytics.grid_state_changes(demand, weather, dates, bridge)
-    else:
-        latest = watermark(captured, "state_change_timestamp")
-        changes = analytics.grid_state_increment(captured, demand, weather, dates, bridge, latest, days)
-    settle(changes, "states").write.mode("append").parquet(changes_path)

@@ -1,4 +1,6 @@
 import random
+import re
+from datetime import date
 
 import numpy as np
 import pandas as pd
@@ -6,7 +8,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
-from gridtide.operators import dedup, joins, quality, ranks, series, states, stats, upsert
+from gridtide.operators import dedup, joins, quality, ranks, series, states, stats, upsert, versions
+from gridtide.sources import tables
 
 from .helpers import final_plan, physical_plan, rows, values
 
@@ -53,6 +56,55 @@ def test_validity_join_open_and_closed_bounds(spark):
     assert rows(joins.validity_join(fact, later, ("k", "code"), "d", ["v"]).select("v")) == [(None,)]
 
 
+@PROPERTY
+@given(st.lists(st.tuples(st.sampled_from("aab"), st.integers(0, 400), st.integers(1, 60)), max_size=12), st.sampled_from([1, 7, 500]))
+def test_validity_by_stretches_equals_the_plain_join(spark, spans, days):
+    start = F.lit("2024-01-01").cast("date")
+    facts = spark.range(0, 500, 3).select(F.when(F.col("id") % 5 == 0, "b").otherwise("a").alias("k"), F.date_add(start, F.col("id").cast("int")).alias("d"))
+    facts = facts.unionByName(spark.createDataFrame([("a", None), (None, None)], "k string, d date"))
+    made = spark.createDataFrame([(k, a, n, i) for i, (k, a, n) in enumerate(spans)] + [("b", None, None, 99)], "code string, a int, n int, v int")
+    dimension = made.select(
+        "code", "v", F.date_add(start, F.col("a")).alias("valid_from_date"), F.date_add(F.date_add(start, F.col("a")), F.col("n")).alias("valid_to_date")
+    )
+    plain = joins.validity_join(facts, dimension, ("k", "code"), "d", ["v"])
+    assert rows(joins.validity_join(facts, dimension, ("k", "code"), "d", ["v"], bucket_days=days)) == rows(plain)
+
+
+def test_stretches_make_rows_in_proportion_to_matches(spark):
+    """A key with 3000 one-day versions and 3000 facts meets about as many pairs as there are facts."""
+    start = F.lit("2015-01-01").cast("date")
+    day = F.date_add(start, F.col("id").cast("int"))
+    dimension = spark.range(3000).select(F.lit("hot").alias("code"), F.col("id").alias("v"), day.alias("valid_from_date"), day.alias("valid_to_date"))
+    facts = spark.range(3000).select(F.lit("hot").alias("k"), day.alias("d"))
+    joined = joins.validity_join(facts, dimension, ("k", "code"), "d", ["v"], bucket_days=4)
+    assert joined.filter("v IS NOT NULL").count() == 3000
+    plan = final_plan(joined)
+    assert "_stretch" in plan and "NestedLoop" not in plan
+    pairs = facts.withColumn("s", F.floor(F.unix_date("d") / 4)).join(dimension.withColumn("s", F.floor(F.unix_date("valid_from_date") / 4)), "s")
+    assert pairs.count() <= 4 * 3000
+
+
+def test_versions_open_close_and_split(spark):
+    schema = "k string, name string, valid_from_date date"
+    day = lambda m, d=1: date(2024, m, d)
+    load = lambda data: spark.createDataFrame(data, schema)
+    merge = lambda held, data: versions.merge_versions(held, load(data), ["k"], ["name"])
+    first = merge(None, [("p", "one", None), ("p", "two", day(3)), ("p", "two", day(5)), ("q", "solo", day(1))])
+    assert rows(first) == [("p", "one", None, day(2, 29)), ("p", "two", day(3), None), ("q", "solo", day(1), None)]
+    late = merge(first, [("p", "late", day(2)), ("p", "three", day(6)), ("r", None, None)])
+    assert rows(late, "k", "valid_from_date") == [
+        ("p", "one", None, day(1, 31)), ("p", "late", day(2), day(2, 29)), ("p", "two", day(3), day(5, 31)), ("p", "three", day(6), None),
+        ("q", "solo", day(1), None), ("r", None, None, None),
+    ]
+    # a correction of a start, and a change to what is valid anyway
+    last = merge(late, [("p", "one", day(2)), ("p", "three", day(7)), ("q", "solo", day(9))])
+    assert rows(last, "k", "valid_from_date") == [
+        ("p", "one", None, day(2, 29)), ("p", "two", day(3), day(5, 31)), ("p", "three", day(6), None),
+        ("q", "solo", day(1), None), ("r", None, None, None),
+    ]
+    assert rows(versions.merge_versions(last, load([]), ["k"], ["name"])) == rows(last)
+
+
 def test_prior_period_is_an_equi_join(spark):
     df = spark.createDataFrame([("a", 1, 2023, 5.0), ("a", 1, 2024, 8.0)], "k string, m int, y int, v double")
     joined = joins.prior_period_join(df, ["k", "m"], "y", ["v"], prefix="last_")
@@ -139,11 +191,10 @@ def _ranks(frame):
         min_size=1,
         max_size=60,
     ),
-    st.sampled_from([1, 64]),
 )
-def test_percent_rank_against_brute_force(spark, data, per_octave):
+def test_percent_rank_against_brute_force(spark, data):
     df = spark.createDataFrame(data, "g string, v double")
-    got = ranks.percent_rank_by(df, ["g"], "v", "r", per_octave)
+    got = ranks.percent_rank_by(df, ["g"], "v", "r")
     assert got.count() == len(data)
     assert sorted(round(r.r, 9) for r in got.collect()) == _ranks(pd.DataFrame(data, columns=["g", "v"]))
 
@@ -172,15 +223,37 @@ def test_exact_percentiles_against_numpy(spark, data):
         assert got[g] == pytest.approx(triple, abs=1e-6)
 
 
-def test_ranks_of_one_group_use_many_tasks(spark):
-    """One group with all rows: no window over it is partitioned by the group alone below the cell counts."""
-    df = spark.range(2000).select(F.lit("only").alias("g"), (F.col("id") * 3 % 997).cast("double").alias("v"))
-    plan = physical_plan(ranks.value_ranks(df, ["g"], "v"))
-    windows = [line for line in plan.splitlines() if " Window [" in line]
-    assert any("_cell" in line.rsplit("[", 2)[1] for line in windows)
-    top = df.count()
-    got = ranks.percent_rank_by(df, ["g"], "v", "r").agg(F.max("r"), F.count("r")).first()
-    assert got[1] == top and 0.99 < got[0] <= 1.0
+def test_close_values_of_one_group_spread_over_all_tasks(spark):
+    """One group with all rows, all values within 1 % of each other: every range holds about as many of them."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(20_000).select(F.lit("only").alias("g"), (1000 + (F.col("id") * 7919 % 20_011) / 2001).alias("v"))
+        ranged = ranks.value_ranges(df.groupBy("g", "v").agg(F.count("*").alias("n")), ["g"], "v")
+        sizes = [r[1] for r in ranged.groupBy("_range").count().collect()]
+        assert len(sizes) == 4 and max(sizes) < 2 * min(sizes)
+        got = ranks.percent_rank_by(df, ["g"], "v", "r").agg(F.min("r"), F.max("r"), F.countDistinct("r")).first()
+        assert tuple(got) == (0.0, 1.0, 20_000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_weighted_ranks_equal_repeated_rows(spark):
+    data = [("a", 1.0, 3), ("a", 2.0, 1), ("a", 2.0, 2), ("a", None, 2), (None, 5.0, 4), ("b", 9.0, 1)]
+    df = spark.createDataFrame(data, "g string, v double, n long")
+    repeated = df.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    weighted = ranks.percent_ranks(df, ["g"], "v", "r", "n")
+    assert rows(weighted) == rows(ranks.percent_ranks(repeated, ["g"], "v", "r"))
+
+
+def test_bridge_gives_each_fact_its_first_reading_once(spark):
+    facts = spark.createDataFrame([("A", 1, 10.0), ("A", 2, 11.0), ("B", 1, 12.0), (None, 1, 13.0)], "location_id string, h int, d double")
+    bridge = spark.createDataFrame([("A", "s"), ("A", "t"), ("C", "s")], "balancing_authority_id string, weather_station_id string")
+    data = [("s", 1, 5, 1.0), ("t", 1, 4, 2.0), ("t", 1, 6, 3.0), ("u", 1, 1, 4.0), ("s", 3, 1, 5.0)]
+    other = spark.createDataFrame(data, "location_id string, h int, at int, temp double")
+    for few in (False, True):
+        got = joins.bridge_first(facts, bridge, other, ["h"], ["at"], ["temp"], few=few)
+        assert rows(got, "d") == [("A", 1, 10.0, 2.0, 3), ("A", 2, 11.0, None, 1), ("B", 1, 12.0, None, 1), (None, 1, 13.0, None, 1)]
 
 
 def test_approximate_percentile_returns_a_value_that_occurs(spark):
@@ -255,21 +328,62 @@ def test_schema_changes(spark):
     st.dictionaries(st.tuples(st.sampled_from("ab"), st.integers(0, 30)), st.integers(0, 9), min_size=1, max_size=30),
     st.dictionaries(st.tuples(st.sampled_from("abc"), st.integers(0, 30)), st.integers(0, 9), min_size=1, max_size=10),
     st.integers(1, 4),
+    st.booleans(),
+    st.booleans(),
 )
-def test_rewriting_forward_equals_deriving_all(spark, held, fresh, reach):
+def test_rewriting_what_is_reached_equals_deriving_all(spark, held, fresh, reach, cut, grouped):
     def table(data):
-        return spark.createDataFrame([(k, t, float(v)) for (k, t), v in data.items()], "k string, t int, v double")
+        rows = [("x", k, t, float(v), t // 4) for (k, t), v in data.items()]
+        return spark.createDataFrame(rows, "place string, k string, t int, v double, part int")
 
     def derive(df):
         w = Window.partitionBy("k").orderBy("t")
-        return df.withColumns(
-            {"back": F.lag("v", reach).over(w), "mean": F.round(series.trailing_mean("v", w, reach + 1), 9)}
-        )
+        columns = {"back": F.lag("v", reach).over(w), "mean": F.round(series.trailing_mean("v", w, reach + 1), 9)}
+        if grouped:  # a group that crosses series
+            columns["total"] = F.sum("v").over(Window.partitionBy("t"))
+        return df.withColumns(columns)
 
     target = derive(table(held))
-    changes = upsert.rewrite_forward(target, table(fresh), ["k", "t"], ["k"], "t", reach, derive)
+    group, mates = (["t"], ["place"]) if grouped else ([], [])
+    changes = upsert.rewrite_reached(
+        target, table(fresh), ["k", "t"], ["place", "k"], "t", "part", reach, derive, group, mates=mates,
+        cut=F.col("part") if cut else None,
+    )
     merged = upsert.upsert(target, changes, ["k", "t"])
-    assert rows(merged.select("k", "t", "v", "back", "mean")) == rows(derive(table(held | fresh)))
+    assert rows(merged.select(*target.columns)) == rows(derive(table(held | fresh)))
+    if not grouped:
+        assert changes.count() <= len(fresh) * (reach + 1)
+
+
+def test_needed_partitions_come_from_counts(spark):
+    counts = spark.createDataFrame([("a", m, 10) for m in range(12)] + [("b", 5, 1)], "k string, m int, rows_held long")
+    changed = spark.createDataFrame([("a", 6), ("a", 20)], "k string, m int")
+    found = lambda reach: rows(upsert.reached_partitions(counts, changed, ["k"], "m", reach))
+    assert found(1) == [("a", m) for m in (5, 6, 7, 11, 20)]
+    assert found(11) == [("a", m) for m in (4, 5, 6, 7, 8, 10, 11, 20)]
+
+
+def test_one_late_row_opens_its_partitions_only(spark, tmp_path):
+    path = tmp_path / "t"
+    hours = spark.range(720 * 6).filter("id <> 1000").select(
+        F.lit("s").alias("k"), F.col("id").alias("t"), (F.col("id") % 7).cast("double").alias("v"), F.floor(F.col("id") / 720).cast("int").alias("part")
+    )
+    derive = lambda df: df.withColumn("change", series.delta("v", Window.partitionBy("k").orderBy("t")))
+    derive(hours).write.partitionBy("part").parquet(str(path))
+    target = spark.read.parquet(str(path))
+    counts = upsert.partition_counts(target, ["k"], "part")
+    assert "v:double" not in physical_plan(counts)
+    late = spark.createDataFrame([("s", 1000, 5.0, 1)], "k string, t long, v double, part int")
+    changes = upsert.rewrite_reached(target, late, ["k", "t"], ["k"], "t", "part", 1, derive, counts=counts)
+    opened = re.findall(r"PartitionFilters: \[[^\]]*IN \(([0-9,]+)\)", physical_plan(changes))
+    assert opened and {*map(int, opened[0].split(","))} == {0, 1, 2}
+    assert rows(changes.select("t", "change")) == [(1000, 5.0 - 999 % 7), (1001, 1001 % 7 - 5.0)]
+    files = lambda: {f.name: {x.name for x in f.iterdir()} for f in path.iterdir() if f.is_dir()}
+    before = files()
+    tables.merge_partitions(changes, str(path), ["k", "t"], "part")
+    after = files()
+    assert [name for name in sorted(before) if before[name] != after[name]] == ["part=1"]
+    assert spark.read.parquet(str(path)).count() == 720 * 6
 
 
 def test_quality_checks(spark):

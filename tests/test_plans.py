@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridtide.plans import analytics, checks, dimensions, facts, reports, staging
-from gridtide.operators import upsert
+from gridtide.operators import sketches, upsert
 from gridtide.sources import inline
 from gridtide.sources.tables import settle
 
@@ -117,33 +117,52 @@ def test_demand_loaded_in_runs_equals_a_full_refresh(spark, seed):
     for bound in ("2024-02-04", "2024-02-07", "2024-03-01"):
         arrived = staging.stage_demand(raw.filter(F.col("uploaded_at") < F.lit(bound).cast("timestamp_ntz")))
         if table is None:
-            table = settle(facts.fact_demand(arrived, locations))
+            table = settle(facts.with_partition(facts.fact_demand(arrived, locations), "date"))
         else:
             changes = facts.fact_demand_increment(table, arrived, locations)
             table = settle(upsert.upsert(table, changes, facts.DEMAND_KEYS))
     assert rows(table.select(*full.columns)) == rows(full)
 
 
+def _daily(spark, start, numbers):
+    """One demand row a day for two authorities without a location key."""
+    numbered = spark.createDataFrame([(i, code) for i in numbers for code in ("a", "b")], "i int, balancing_authority string")
+    return numbered.select(
+        F.lit(None).cast("string").alias("location_id"), "balancing_authority",
+        F.date_format(F.date_add(F.lit(start).cast("date"), F.col("i")), "yyyyMMdd").alias("date_id"),
+        ((F.col("i") * 13) % 29 + F.length("balancing_authority") + F.ascii("balancing_authority") % 7).cast("double").alias("demand_mwh"), "i",
+    )
+
+
 def test_cumulative_increment_equals_full_across_the_year(spark):
-    days = [("A", f"d{i}", float((i * 13) % 29)) for i in range(120)]
     start = "2023-11-15"
     dates = dimensions.dim_date(spark, start, 130)
-    numbered = spark.createDataFrame([(i, *d) for i, d in enumerate(days)], "i int, location_id string, x string, demand_mwh double")
-    demand = numbered.select(
-        "location_id", F.date_format(F.date_add(F.lit(start).cast("date"), F.col("i")), "yyyyMMdd").alias("date_id"), "demand_mwh", "i"
-    )
-    before = demand.filter("i % 10 <> 3")
-    target = settle(analytics.cumulative_patterns(before, dates))
+    demand = _daily(spark, start, range(120))
+    target = settle(analytics.cumulative_table(demand.filter("i % 10 <> 3"), dates))
     changes = analytics.cumulative_increment(target, demand, dates, demand.filter("i % 10 = 3 AND i > 40"))
     merged = upsert.upsert(target, changes, analytics.CUMULATIVE_KEYS)
-    expected = analytics.cumulative_patterns(demand.filter("i % 10 <> 3 OR i > 40"), dates)
+    expected = analytics.cumulative_table(demand.filter("i % 10 <> 3 OR i > 40"), dates)
     exact = [F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in expected.dtypes]
     assert rows(merged.select(*exact)) == rows(expected.select(*exact))
 
 
+def test_a_late_day_rewrites_its_reach_only(spark, monkeypatch):
+    """Of 1000 days, one late day rewrites itself, the days that look back to it, and its calendar week."""
+    monkeypatch.setattr(analytics, "CUMULATIVE_REACH", 90)
+    dates = dimensions.dim_date(spark, "2020-01-01", 1000)
+    demand = _daily(spark, "2020-01-01", [i for i in range(1000) if i != 500])
+    late = _daily(spark, "2020-01-01", [500]).filter("balancing_authority = 'a'")
+    target = settle(analytics.cumulative_table(demand, dates))
+    changes = analytics.cumulative_increment(target, demand.unionByName(late), dates, late)
+    found = changes.agg(F.count("*"), F.min("date"), F.max("date"), F.countDistinct("balancing_authority")).first()
+    assert 91 <= found[0] <= 91 + 6 and (found[2] - found[1]).days <= 97 and found[3] == 1
+
+
 def test_first_load_takes_two_years(spark):
     dates = dimensions.dim_date(spark, "2020-01-01", 1500)
-    demand = dates.select(F.lit("A").alias("location_id"), "date_id", F.lit(1.0).alias("demand_mwh"))
+    demand = dates.select(
+        F.lit("A").alias("location_id"), F.lit("a").alias("balancing_authority"), "date_id", F.lit(1.0).alias("demand_mwh")
+    )
     got = analytics.cumulative_patterns(demand, dates, as_of="2023-06-01").agg(F.min("date").cast("string")).first()[0]
     assert got == "2021-06-01"
 
@@ -166,8 +185,31 @@ def test_generation_mix_with_and_without_sector(spark):
         ("20240101", "S1", 10.0, 20.0, 27.0),
         ("20240101", "S2", 20.0, None, None),
     ]
-    crossed = analytics.generation_mix(monthly, match_sector=False)
-    assert crossed.filter("date_id = '20240101'").count() == 2 * 2 * 2
+    whole = analytics.generation_mix(monthly, match_sector=False)
+    assert rows(whole.select("date_id", "sector_id", "previous_year_generation_mwh", "yoy_change_mwh")) == [
+        ("20230101", "S1", None, 30.0),
+        ("20230101", "S2", None, 30.0),
+        ("20240101", "S1", 30.0, 0.0),
+        ("20240101", "S2", 30.0, 0.0),
+    ]
+
+
+def test_kept_sketches_after_a_refresh(spark):
+    """Groups far larger than the sketch: merged parts are as near the wanted rank as one pass, and NULLs stay out."""
+    values = spark.range(30_000).select(
+        F.lit("g").alias("g"), (F.col("id") % 12).alias("part"), F.when(F.col("id") % 10 > 0, (F.col("id") * 7919 % 30_011).cast("double")).alias("v")
+    )
+    kept = sketches.quantile_sketches(values, ["g"], "part", "v")
+    wrong = sketches.quantile_sketches(values.withColumn("v", F.lit(1e9)).filter("part = 3"), ["g"], "part", "v")
+    refreshed = upsert.upsert(kept.filter("part < 8 AND part <> 3").unionByName(wrong), kept.filter("part >= 8 OR part = 3"), ["g", "part"])
+    ps = {"low": 0.1, "high": 0.9}
+    n, slack = values.filter("v IS NOT NULL").count(), 3 * sketches.rank_error()
+    one_pass = values.groupBy("g").agg(*[sketches.sketched_percentile("v", p).alias(name) for name, p in ps.items()])
+    for found in (sketches.merged_percentiles(refreshed, ["g"], ps).first(), one_pass.first()):
+        for name, p in ps.items():
+            assert abs(values.filter(F.col("v") <= found[name]).count() / n - p) < slack
+    none = values.withColumn("v", F.lit(None).cast("double")).groupBy("g").agg(sketches.sketched_percentile("v", 0.5).alias("p"))
+    assert none.first().p is None
 
 
 def test_all_declared_checks_name_existing_columns(spark, small):

@@ -69,6 +69,47 @@ def test_newest_manifest_in_all_three_layouts(spark, tmp_path):
     assert rows(landed.keep_listed(arrived, listed)) == [("a.json",)]
 
 
+def test_only_listed_files_are_opened(spark, tmp_path):
+    data, manifests = tmp_path / "data", tmp_path / "manifests"
+    for folder in (data / "sub", manifests):
+        folder.mkdir(parents=True)
+    for name in ("a.json", "b.json", "sub/c.json", "d.json"):
+        (data / name).write_text(_doc({"period": name}))
+    listing = lambda *names: json.dumps({"downloaded_files": [{"file": n} for n in names]})
+    (manifests / "metadata_1.json").write_text(listing("d.json"))
+    (manifests / "metadata_2.json").write_text(listing("a.json", "sub/c.json", "absent.json"))
+    layout = {"list": "downloaded_files", "name": "file"}
+    files = landed.latest_manifest_files(spark, str(manifests), "metadata_", layout)
+    docs = landed.read_listed_json(spark, str(data), files)
+    assert rows(docs.select("file_name")) == [("a.json",), ("c.json",)]
+    assert sorted(f.rsplit("/", 1)[1] for f in docs.inputFiles()) == ["a.json", "c.json"]
+    newest = landed.newest_manifest(spark, str(manifests), "metadata_")
+    assert [f.rsplit("/", 1)[1] for f in newest.inputFiles()] == ["metadata_2.json"]
+    nothing = landed.latest_manifest_files(spark, str(manifests), "other_", layout)
+    assert landed.read_listed_json(spark, str(data), nothing, "x", ("tag",)).columns == [
+        "id", "file_name", "uploaded_at", "data_date", "tag", "raw_data"
+    ]
+
+
+def test_lines_have_their_place_in_the_file(spark, tmp_path):
+    """Files split over many tasks: every line is numbered once, in order, the same in every read."""
+    for name, n in (("a.txt", 500), ("b.txt", 1), ("c.txt", 60)):
+        (tmp_path / name).write_text("".join(f"{name} {i} {'x' * (i % 37)}\n" for i in range(n)))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for key, value in zip(old, ("1000", "100")):
+        spark.conf.set(key, value)
+    try:
+        docs = landed.read_landed_json(spark, str(tmp_path), whole_file=False)
+        assert docs.rdd.getNumPartitions() > 5
+        for _ in range(2):
+            got = docs.select("id", F.split("raw_data", " ")[0].alias("f"), F.split("raw_data", " ")[1].cast("int").alias("i"))
+            assert got.filter("id <> i").count() == 0 and got.select("f", "id").distinct().count() == 561
+        assert got.filter("f <> 'a.txt'").count() == 61
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+
+
 def _isd(date="202401310605", wind_61="xxxx", wind_65="00051", wind_69=None, temp="+0123", dew="-0045", pressure="10132"):
     line = "0000" + "723060" + "13722" + date + "x" * 34 + wind_61.ljust(4) + wind_65
     if wind_69 is not None:
@@ -102,6 +143,20 @@ def test_isd_values_and_sentinels(spark):
     )
 
 
+def test_rejected_lines_name_their_reason(spark):
+    lines = [
+        (_isd(), None, 0), (_isd()[:105], "short", None), (None, "short", None), (_isd(date="202413310605"), "date", None),
+        (_isd(temp="  abc", date="2024013106x5"), "date", None), (_isd(temp="  abc"), "temperature", None), (_isd(dew="+12 4"), "dew_point", None),
+        (_isd(pressure="1x132", dew="+9999"), "pressure", None), (_isd(wind_61="0007", wind_65="2xxxx"), None, 1),
+        (_isd(wind_65="xxxxx", wind_69="00033"), None, 2), (_isd(wind_65="99999", wind_69="99999"), None, None),
+    ]
+    df = spark.createDataFrame([(line,) for line, _, _ in lines], "value string")
+    judged = isd.judged_isd(df).collect()
+    assert [r.reject_reason for r in judged] == [reason for _, reason, _ in lines]
+    assert [r.wind_place for r in judged if r.reject_reason is None] == [place for _, reason, place in lines if reason is None]
+    assert isd.parse_isd(df).count() == 4
+
+
 def test_isd_wind_takes_the_first_readable_place(spark):
     lines = [
         _isd(wind_65="99999", wind_69="99999"),

@@ -7,7 +7,7 @@ and ``lineitem``; generation from ``lineitem`` with ``part`` and ``supplier``; s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from gridtide.sources.inline import inline_table
@@ -120,6 +120,54 @@ def raw_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.unionByName(orders).withColumn("raw_data", document).drop("period", "value")
 
 
+#: Documents that arrive late: all of one authority; some hours of another by less than a day; four days of a third so
+#: late that no run takes them for its states, which leaves a gap.
+LATE_AUTHORITY, LATE_HOURS, GAP = "purchase", ("view", (3, 4, 11)), ("click", "2024-01-10", "2024-01-13")
+
+
+def arriving_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_demand`` with the upload times of documents that arrive late."""
+    place, hour = F.col("balancing_authority"), F.hour("uploaded_at")
+    delay = (
+        F.when(place == LATE_AUTHORITY, F.make_dt_interval(F.lit(13)))
+        .when((place == LATE_HOURS[0]) & hour.isin(list(LATE_HOURS[1])), F.make_dt_interval(F.lit(0), F.lit(20)))
+        .when((place == GAP[0]) & F.col("data_date").between(GAP[1], GAP[2]), F.make_dt_interval(F.lit(40)))
+        .otherwise(F.make_dt_interval(F.lit(0)))
+    )
+    return raw_demand(spark, sf_dir).withColumn("uploaded_at", F.col("uploaded_at") + delay)
+
+
+#: Years whose place changes come with the second load: one of them late, between years that are held.
+LATE_YEARS = (1997, 2000, 2001)
+
+
+def place_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``location_code, city, valid_from_date, load``: from each year on, a priority is named after its most frequent
+    order status in that year; so names change, stay, and change back."""
+    counts = (
+        table(spark, sf_dir, "orders")
+        .groupBy(F.col("o_orderpriority").alias("location_code"), F.year("o_orderdate").alias("year"), "o_orderstatus")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    named = counts.groupBy("location_code", "year").agg(F.max_by("o_orderstatus", F.struct("n", "o_orderstatus")).alias("status"))
+    return named.select(
+        "location_code",
+        F.concat_ws(" ", "location_code", "status").alias("city"),
+        F.make_date("year", F.lit(1), F.lit(1)).alias("valid_from_date"),
+        F.when(F.col("year").isin(list(LATE_YEARS)), 2).otherwise(1).alias("load"),
+    )
+
+
+def price_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``priority, price, valid_from_date, valid_to_date``: a version from each day with orders to the day before the
+    next such day; thousands of versions for each of five keys, the last one open."""
+    days = table(spark, sf_dir, "orders").groupBy(
+        F.col("o_orderpriority").alias("priority"), F.to_date("o_orderdate").alias("valid_from_date")
+    ).agg(F.max("o_totalprice").alias("price"))
+    after = F.lead("valid_from_date").over(Window.partitionBy("priority").orderBy("valid_from_date"))
+    return days.withColumn("valid_to_date", F.date_sub(after, 1))
+
+
 def weather_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat weather readings before they become documents."""
     k = _event_k()
@@ -260,9 +308,13 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def isd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def isd_lines(spark: SparkSession, sf_dir: str, flawed: bool = False) -> DataFrame:
     """The weather readings as fixed-width lines (tenths, sentinels for missing values); wind in its second place
-    for odd hours, so that the parser has to look for it."""
+    for odd hours, so that the parser has to look for it.
+
+    ``flawed`` adds ``id``, puts wind in its third place for every third hour, and spoils some lines by their id: cut
+    short, or with an unreadable date, temperature, dew point, pressure, or date and pressure.
+    """
 
     def field(column: str, missing: str) -> Column:
         tenths = F.round(F.col(column) * 10.0).cast("int")
@@ -273,7 +325,12 @@ def isd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.coalesce(text, F.lit(missing))
 
     wind = _digits(F.round(F.col("wind") * 10.0).cast("int"), 5)
-    odd = F.hour("timestamp") % 2 == 1
+    hour = F.hour("timestamp")
+    first, second, third = (F.concat(F.lit("x" * n), "wind", F.lit("x" * (8 - n))) for n in (4, 0, 8))
+    if flawed:
+        places = F.when(hour % 3 == 0, first).when(hour % 3 == 1, second).otherwise(third)
+    else:
+        places = F.when(hour % 2 == 1, second).otherwise(first)
     readings = weather_readings(spark, sf_dir).withColumn("wind", wind)
     line = F.concat(
         F.lit("0000"),
@@ -283,8 +340,8 @@ def isd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         _digits(F.hour("timestamp"), 2),
         F.lit("00"),
         F.repeat(F.lit("x"), F.lit(34)),
-        F.when(odd, F.concat("wind", F.lit("xxxx"))).otherwise(F.concat(F.lit("xxxx"), "wind")),
-        F.repeat(F.lit("x"), F.lit(17)),
+        places,
+        F.repeat(F.lit("x"), F.lit(13)),
         field("temperature", "+9999"),
         F.lit("1"),
         field("dew_point", "+9999"),
@@ -292,4 +349,25 @@ def isd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         field("pressure", "99999"),
         F.lit("1ADD"),
     )
-    return readings.select(line.alias("value"))
+    if not flawed:
+        return readings.select(line.alias("value"))
+    spoil = lambda text, put, at: F.overlay(text, F.lit(put), at + 1)
+    case = F.col("id") % 40
+    spoilt = (
+        F.when(case == 0, F.substring(line, 1, 100))
+        .when(case == 1, spoil(line, "13", 19))
+        .when(case == 2, spoil(line, "abcde", 87))
+        .when(case == 3, spoil(line, "+0 12", 93))
+        .when(case == 4, spoil(line, "1x132", 99))
+        .when(case == 5, spoil(spoil(line, "1x132", 99), "3x", 21))
+        .otherwise(line)
+    )
+    return readings.select("id", spoilt.alias("value"))
+
+
+def write_small_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file under an exact name, through Spark's own file systems."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()

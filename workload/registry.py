@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from gridtide.functions import calendar as cal, fixed_values as fixed
-from gridtide.operators import dedup, joins, quality, ranks, series, stats, upsert
-from gridtide.plans import analytics, checks, dimensions, facts, reports, staging
+from gridtide.operators import dedup, joins, quality, ranks, series, stats, upsert, versions
+from gridtide.operators.sketches import rank_error
+from gridtide.plans import analytics, checks, dimensions, facts, grid_states, reports, staging
 from gridtide.sources import inline, isd, landed, watermark
 from gridtide.sources.tables import (
     append_raw,
+    merge_partitions,
     new_folder,
     publish_view,
     refresh_partitions,
     refresh_table,
     settle,
 )
-from gridtide.streaming import ingest
+from gridtide.streaming import capture, ingest
 
 from . import adapters
 
@@ -169,9 +173,9 @@ class Models:
         hours = analytics.demand_with_weather(
             self.demand_hours, self.weather_hours_table, self.dates, self.authorities_table, self.bridge_table
         )
-        marked = analytics.mark_peaks(settle(hours, "hours"), self.weather_hours_table)
-        marked = settle(marked, "marked")
-        return analytics.peak_drivers(marked, settle(analytics.demand_profile(marked), "profile"))
+        hours = settle(hours, "hours")
+        marked = analytics.mark_peaks(hours, self.weather_hours_table)
+        return analytics.peak_drivers(marked, settle(analytics.demand_profile(hours), "profile"))
 
     @cached_property
     def cumulative(self) -> DataFrame:
@@ -179,15 +183,13 @@ class Models:
 
     @cached_property
     def state_changes(self) -> DataFrame:
-        return analytics.grid_state_changes(
+        return grid_states.grid_state_changes(
             self.demand_hours, self.weather_hours, self.dates, self.bridge_table, self.thresholds_table
         )
 
     @cached_property
     def thresholds_table(self) -> DataFrame:
-        by = "balancing_authority_id"
-        named = self.demand_hours.select(F.col("location_id").alias(by), "demand_mwh")
-        return settle(analytics.state_thresholds(named, [by], "demand_mwh"), "thresholds")
+        return settle(grid_states.authority_thresholds(self.demand_hours), "thresholds")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -225,6 +227,59 @@ def _isd(m: Models) -> DataFrame:
     return isd.parse_isd(isd.read_isd(m.spark, path))
 
 
+def _isd_rejects(m: Models) -> DataFrame:
+    """Lines of all kinds in one pass: records by the place of their wind, rejected lines by their reason."""
+    judged = isd.judged_isd(adapters.isd_lines(m.spark, m.sf_dir, flawed=True))
+    place = F.when(F.col("reject_reason").isNull(), F.col("wind_place"))
+    return judged.groupBy("reject_reason", place.alias("wind_place")).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count(F.when(F.col("reject_reason").isNull(), F.col("temperature_c"))).alias("temperatures"),
+        F.sum(F.when(F.col("reject_reason").isNull(), F.col("wind_speed_ms"))).alias("wind_sum"),
+    )
+
+
+def _manifest_load(m: Models) -> DataFrame:
+    """Two generations of landed documents, each with a manifest; the newest one names the files that are loaded: not
+    those of the first generation, not one authority that landed unlisted, and one file that never arrived."""
+    base = new_folder(m.spark, "generations")
+    cut = F.lit(EVENTS_CUT).cast("timestamp_ntz")
+    documents = m.raw_demand.select("balancing_authority", "uploaded_at", F.col("raw_data").alias("value"))
+    early, late = documents.filter(F.col("uploaded_at") < cut), documents.filter(F.col("uploaded_at") >= cut)
+    listed_before: set[str] = set()
+    for generation, rows in ((1, early), (2, late)):
+        rows.drop("uploaded_at").write.mode("append").partitionBy("balancing_authority").text(f"{base}/data")
+        names = {r.file_name for r in landed.file_names(m.spark, f"{base}/data", "*.txt").collect()}
+        fresh = [n for n in sorted(names - listed_before) if "=error/" not in n]
+        listed_before = names
+        manifest = {"downloaded_files": [{"file": n} for n in [*fresh, "never_arrived.txt"]]}
+        adapters.write_small_text(m.spark, f"{base}/manifests/metadata_{generation}.json", json.dumps(manifest))
+    layout = {"list": "downloaded_files", "name": "file"}
+    files = landed.latest_manifest_files(m.spark, f"{base}/manifests", "metadata_", layout)
+    docs = landed.read_listed_json(
+        m.spark, f"{base}/data", files, r"/balancing_authority=([^/]+)/", ("authority",), whole_file=False
+    )
+    items = landed.explode_payload(landed.parse_payload(docs, landed.DEMAND_PAYLOAD), "raw_data.response.data")
+    return items.select(
+        F.url_decode("authority").alias("authority"),
+        F.col("item.period").alias("period"),
+        F.col("item.value").try_cast("double").alias("value"),
+    )
+
+
+def _landed_lines(m: Models) -> DataFrame:
+    """Demand staged from files that each hold all documents of an authority, in the order they came: revisions of one
+    file share its upload time, and the later line wins."""
+    path = new_folder(m.spark, "lines")
+    sent = m.raw_demand.select("balancing_authority", "uploaded_at", "id", F.col("raw_data").alias("value"))
+    one_file = sent.repartition("balancing_authority").sortWithinPartitions("balancing_authority", "uploaded_at", "id")
+    one_file.select("balancing_authority", "value").write.partitionBy("balancing_authority").text(path)
+    docs = landed.read_landed_json(
+        m.spark, f"{path}/*", r"/balancing_authority=([^/]+)/", ("balancing_authority",), whole_file=False
+    )
+    docs = docs.withColumn("balancing_authority", F.url_decode("balancing_authority"))
+    return staging.stage_demand(docs).select("balancing_authority", "timestamp", "demand_mwh")
+
+
 def _landed_json(m: Models) -> DataFrame:
     """Documents written as landing files by authority, scanned back with lineage, parsed and unnested."""
     path = new_folder(m.spark, "landing")
@@ -307,21 +362,30 @@ def _newer_than(m: Models) -> DataFrame:
     return watermark.newer_than(m.stage_demand, "source_uploaded_at", settle(early.select("source_uploaded_at")))
 
 
+def _two_runs(
+    m: Models, first: DataFrame, date: str, hourly: bool, keys: list[str], increment: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """A fact written by its partitions, then merged with the increment that the second run makes of it."""
+    path, partition = new_folder(m.spark, "fact"), facts.HOURLY_PARTITION if hourly else facts.MONTHLY_PARTITION
+    refresh_partitions(facts.with_partition(first, date, hourly), path, [partition], audit=False)
+    merge_partitions(settle(increment(m.spark.read.parquet(path)), "changes"), path, keys, partition)
+    return m.spark.read.parquet(path).drop(partition)
+
+
 def _demand_increment(m: Models) -> DataFrame:
     """The demand fact loaded in two runs, split by upload time: equal to the full refresh."""
     early, _ = _split(m)
-    target = settle(facts.fact_demand(early, m.authorities_table), "target")
-    changes = settle(facts.fact_demand_increment(target, m.stage_demand_table, m.authorities_table), "changes")
-    return upsert.upsert(target, changes, facts.DEMAND_KEYS)
+    first = facts.fact_demand(early, m.authorities_table)
+    increment = lambda held: facts.fact_demand_increment(held, m.stage_demand_table, m.authorities_table)
+    return _two_runs(m, first, "date", True, facts.DEMAND_KEYS, increment)
 
 
 def _weather_increment(m: Models) -> DataFrame:
     """The weather fact loaded in two runs: held hours keep their first reading."""
     cut = F.lit(EVENTS_CUT).cast("timestamp_ntz")
     early = staging.stage_weather(m.raw_weather.filter(F.col("uploaded_at") < cut))
-    target = settle(facts.fact_weather(early, m.stations_table), "target")
-    changes = settle(facts.fact_weather_increment(target, m.stage_weather, m.stations_table), "changes")
-    return upsert.upsert(target, changes, facts.WEATHER_KEYS)
+    increment = lambda held: facts.fact_weather_increment(held, m.stage_weather, m.stations_table)
+    return _two_runs(m, facts.fact_weather(early, m.stations_table), "date", True, facts.WEATHER_KEYS, increment)
 
 
 def _sales_increment(m: Models) -> DataFrame:
@@ -329,9 +393,8 @@ def _sales_increment(m: Models) -> DataFrame:
     cut = F.lit(SALES_CUT).cast("timestamp_ntz")
     raw = adapters.raw_sales(m.spark, m.sf_dir)
     early = staging.stage_sales(raw.filter(F.col("uploaded_at") < cut), states=None)
-    target = settle(facts.fact_sales(early, m.states_table), "target")
-    changes = settle(facts.fact_sales_increment(target, m.stage_sales, m.states_table), "changes")
-    return upsert.upsert(target, changes, facts.SALES_KEYS)
+    increment = lambda held: facts.fact_sales_increment(held, m.stage_sales, m.states_table)
+    return _two_runs(m, facts.fact_sales(early, m.states_table), "sales_date", False, facts.SALES_KEYS, increment)
 
 
 def _generation_increment(m: Models) -> DataFrame:
@@ -339,64 +402,102 @@ def _generation_increment(m: Models) -> DataFrame:
     cut = F.lit(SALES_CUT).cast("timestamp_ntz")
     raw = adapters.raw_generation(m.spark, m.sf_dir)
     early = staging.stage_generation(raw.filter(F.col("uploaded_at") < cut))
-    target = settle(facts.fact_generation(early, m.sources_table, m.states_table), "target")
-    changes = settle(
-        facts.fact_generation_increment(target, m.stage_generation_table, m.sources_table, m.states_table), "changes"
+    first = facts.fact_generation(early, m.sources_table, m.states_table)
+    increment = lambda held: facts.fact_generation_increment(
+        held, m.stage_generation_table, m.sources_table, m.states_table
     )
-    return upsert.upsert(target, changes, facts.GENERATION_KEYS)
+    return _two_runs(m, first, "generation_date", False, facts.GENERATION_KEYS, increment)
 
 
 def _cumulative_increment(m: Models) -> DataFrame:
     """Cumulative patterns after the late demand arrived: equal to the full refresh."""
     early, _ = _split(m)
     before = settle(facts.demand_base(early, m.authorities_table), "before")
-    target = settle(analytics.cumulative_patterns(before, m.dates), "target")
+    path, partition = new_folder(m.spark, "cumulative"), facts.MONTHLY_PARTITION
+    refresh_partitions(analytics.cumulative_table(before, m.dates), path, [partition], audit=False)
     demand = settle(facts.demand_base(m.stage_demand_table, m.authorities_table), "after")
-    changed = demand.join(
-        before.select("location_id", "timestamp", "source_uploaded_at", "source_id"),
-        ["location_id", "timestamp", "source_uploaded_at", "source_id"],
-        "left_anti",
-    )
-    changes = analytics.cumulative_increment(target, demand, m.dates, changed)
-    return upsert.upsert(target, settle(changes, "changes"), analytics.CUMULATIVE_KEYS)
+    mark = watermark.watermark(before, "source_uploaded_at")
+    changed = demand.filter(F.col("source_uploaded_at") > F.lit(mark).cast("timestamp_ntz"))
+    changes = analytics.cumulative_increment(m.spark.read.parquet(path), demand, m.dates, changed)
+    merge_partitions(settle(changes, "changes"), path, analytics.CUMULATIVE_KEYS, partition)
+    return m.spark.read.parquet(path).drop(partition, "year", "week_of_year")
 
 
-def _state_increment(m: Models) -> DataFrame:
-    """Grid states in two runs: the changes up to the cut, then the rest with a day of overlap."""
-    demand, weather, thresholds = m.demand_hours, m.weather_hours_table, m.thresholds_table
-    early = demand.filter(F.col("timestamp") < F.lit(EVENTS_CUT).cast("timestamp_ntz"))
-    target = settle(analytics.grid_state_changes(early, weather, m.dates, m.bridge_table, thresholds), "target")
-    latest = watermark.watermark(target, "state_change_timestamp")
-    fresh = analytics.grid_state_increment(
-        target, demand, weather, m.dates, m.bridge_table, latest, thresholds=thresholds
-    )
-    return upsert.upsert(target, fresh, ["state_change_id"]).drop("from_state_total_minutes")
+#: Upload times that end the first two of three runs.
+RUN_CUTS = ("2024-01-09 10:30:00", "2024-01-20 06:10:00")
 
 
-def _stream_demand(m: Models) -> DataFrame:
-    """Documents landed as files and ingested by a file stream into a table partitioned by month."""
-    base = new_folder(m.spark, "stream")
-    # JSON keeps milliseconds only, so the upload time travels as text.
-    sent = m.raw_demand.withColumn("uploaded_at", F.col("uploaded_at").cast("string"))
-    sent.select(F.to_json(F.struct(*sent.columns)).alias("value")).write.text(f"{base}/landing")
-    schema = sent.schema.simpleString()
-    stream = ingest.stream_landed_json(m.spark, f"{base}/landing", whole_file=False, files_per_batch=4)
-    documents = stream.select(F.from_json("raw_data", schema).alias("doc")).select("doc.*")
-    documents = documents.withColumn("uploaded_at", cal.to_ntz("uploaded_at"))
+def _runs_of(arriving: DataFrame) -> list[DataFrame]:
+    """Documents of each run, by upload time."""
+    bounds = [None, *[F.lit(c).cast("timestamp_ntz") for c in RUN_CUTS], None]
+    runs = []
+    for low, high in zip(bounds, bounds[1:]):
+        here = arriving if low is None else arriving.filter(F.col("uploaded_at") >= low)
+        runs.append(here if high is None else here.filter(F.col("uploaded_at") < high))
+    return runs
 
-    def stage(batch: DataFrame) -> DataFrame:
-        return staging.stage_demand(batch).withColumn("month", F.trunc("date", "month"))
 
-    query = ingest.ingest(
+def _state_increment(m: Models) -> DataFrame:
+    """Grid states in three runs, each over what has arrived by then, with the state that the run before left."""
+    runs = _runs_of(adapters.arriving_demand(m.spark, m.sf_dir))
+    arrived, carried, settled = None, None, []
+    for documents in runs:
+        arrived = documents if arrived is None else arrived.unionByName(documents)
+        demand = settle(facts.demand_base(staging.stage_demand(arrived), m.authorities_table), "arrived")
+        run = grid_states.grid_state_run(demand, m.weather_hours_table, m.dates, m.bridge_table, carried)
+        carried = grid_states.Carried(*[settle(df) for df in (run.carried.carry, run.carried.journal, run.carried.open_changes)])
+        settled.append(settle(run.settled, "settled"))
+    changes = carried.open_changes
+    for df in settled:
+        changes = changes.unionByName(df)
+    return changes
+
+
+def _captured_states(m: Models) -> DataFrame:
+    """The same three runs as a stream: documents land, are merged into the demand table, and states are captured."""
+    base = new_folder(m.spark, "capture")
+    schema = m.raw_demand.schema.simpleString()
+    weather = m.weather_hours_table
+
+    def capture_after_batch() -> None:
+        staged = ingest.stored_table(m.spark, f"{base}/table").drop("month")
+        demand = facts.demand_base(staged, m.authorities_table)
+        capture.capture_states(demand, f"{base}/states", weather, m.dates, m.bridge_table)
+
+    for documents in _runs_of(adapters.arriving_demand(m.spark, m.sf_dir)):
+        sent = documents.withColumn("uploaded_at", F.col("uploaded_at").cast("string"))
+        sent.select(F.to_json(F.struct(*sent.columns)).alias("value")).write.mode("append").text(f"{base}/landing")
+        _ingest_documents(m, base, schema, capture_after_batch).awaitTermination()
+    return capture.captured_changes(m.spark, f"{base}/states")
+
+
+def _ingest_documents(
+    m: Models, base: str, schema: str, after: Callable[[], None] | None = None, files_per_batch: int | None = None
+) -> StreamingQuery:
+    """Merges what has landed in ``base``/landing, one JSON document a line, into ``base``/table."""
+    stream = ingest.stream_landed_json(m.spark, f"{base}/landing", whole_file=False, files_per_batch=files_per_batch)
+    # JSON keeps milliseconds only, so the upload time travels as text
+    text_times = schema.replace("uploaded_at:timestamp_ntz", "uploaded_at:string")
+    documents = stream.select(F.from_json("raw_data", text_times).alias("doc")).select("doc.*")
+    documents = documents.withColumn("uploaded_at", cal.to_ntz("uploaded_at"))
+    return ingest.ingest(
         documents,
-        stage,
+        lambda batch: staging.stage_demand(batch).withColumn("month", F.trunc("date", "month")),
         f"{base}/table",
         f"{base}/checkpoint",
         ["balancing_authority", "timestamp"],
         ["source_uploaded_at", "source_id", "demand_mwh"],
         ["month"],
+        after,
     )
-    query.awaitTermination()
+
+
+def _stream_demand(m: Models) -> DataFrame:
+    """Documents landed as files and ingested by a file stream into a table partitioned by month."""
+    base = new_folder(m.spark, "stream")
+    sent = m.raw_demand.withColumn("uploaded_at", F.col("uploaded_at").cast("string"))
+    sent.select(F.to_json(F.struct(*sent.columns)).alias("value")).write.text(f"{base}/landing")
+    _ingest_documents(m, base, m.raw_demand.schema.simpleString(), files_per_batch=4).awaitTermination()
     return ingest.stored_table(m.spark, f"{base}/table").drop("month")
 
 
@@ -412,27 +513,40 @@ def _partitioned(m: Models) -> DataFrame:
     )
 
 
+def _place_history(m: Models) -> DataFrame:
+    """The versions of the places after two loads of changes, the second with a late year."""
+    changes = settle(adapters.place_changes(m.spark, m.sf_dir), "changes")
+    history = None
+    for load in (1, 2):
+        arrived = changes.filter(F.col("load") == load)
+        history = settle(versions.merge_versions(history, arrived, ["location_code"], ["city"]), "history")
+    return history
+
+
 def _validity(m: Models) -> DataFrame:
-    """Demand joined to the version of its authority that is valid on the day (two versions, cut at a date)."""
-    cut = F.lit("1999-01-01").cast("date")
-    old = m.authorities_table.withColumns(
-        {"version": F.lit("old"), "valid_from_date": F.lit(None).cast("date"), "valid_to_date": F.date_sub(cut, 1)}
-    )
-    new = m.authorities_table.filter(F.col("location_code") != "5-LOW").withColumns(
-        {"version": F.lit("new"), "valid_from_date": cut, "valid_to_date": F.lit(None).cast("date")}
-    )
+    """Demand joined to the version of its authority that is valid on the day."""
     joined = joins.validity_join(
-        m.stage_demand_table,
-        old.unionByName(new),
-        ("balancing_authority", "location_code"),
-        "date",
-        ["location_id", "version"],
+        m.stage_demand_table, _place_history(m), ("balancing_authority", "location_code"), "date", ["city"]
     )
-    return joined.groupBy("balancing_authority", "version").agg(
+    return joined.groupBy("balancing_authority", "city").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("demand_mwh").alias("demand_mwh")
     )
 
 
+def _validity_many(m: Models) -> DataFrame:
+    """Orders joined to the price version of their priority that is valid some days after the order: keys with
+    thousands of versions each, met by stretches of days."""
+    orders = adapters.table(m.spark, m.sf_dir, "orders").select(
+        "o_orderkey",
+        "o_orderpriority",
+        F.date_add(F.to_date("o_orderdate"), (F.col("o_custkey") % 40 - 9).cast("int")).alias("day"),
+    )
+    held = adapters.price_versions(m.spark, m.sf_dir)
+    return joins.validity_join(
+        orders, held, ("o_orderpriority", "priority"), "day", ["price", "valid_from_date", "valid_to_date"], bucket_days=4
+    )
+
+
 def _percent_rank(m: Models) -> DataFrame:
     ranked = ranks.percent_rank_by(m.stage_demand, ["balancing_authority"], "demand_mwh", "demand_percentile")
     return ranked.select("balancing_authority", "timestamp", "demand_mwh", "demand_percentile")
@@ -452,27 +566,89 @@ def _group_percentiles(m: Models) -> DataFrame:
     return ranks.group_percentiles(m.stage_demand, ["balancing_authority"], "demand_mwh", STATE_PS)
 
 
-APPROX_ACCURACY = 10_000
+#: Well below the size of the groups, so that the sketches have to leave values out.
+APPROX_ACCURACY = 100
 
 
 def _group_percentiles_approx(m: Models) -> DataFrame:
-    """Whether each approximate percentile is a value that occurs, with an exact rank within the sketch's error."""
+    """Exact percentiles, and whether the approximate ones occur and have a rank within the error of the sketch."""
     by = ["balancing_authority"]
-    found = ranks.group_percentiles(m.stage_demand_table, by, "demand_mwh", STATE_PS, False, APPROX_ACCURACY)
-    long = found.unpivot(by, [*STATE_PS], "percentile", "value")
-    counts = m.stage_demand_table.join(long, by).filter("demand_mwh IS NOT NULL").groupBy(*by, "percentile").agg(
+    rows = m.stage_demand_table.filter("demand_mwh IS NOT NULL").select(*by, "demand_mwh")
+    found = ranks.group_percentiles(rows, by, "demand_mwh", STATE_PS, False, APPROX_ACCURACY)
+    exact = ranks.group_percentiles(rows, by, "demand_mwh", STATE_PS).unpivot(by, [*STATE_PS], "percentile", "exact")
+    return _rank_check(rows, found, by, "demand_mwh", STATE_PS, 1 / APPROX_ACCURACY).join(exact, [*by, "percentile"])
+
+
+def _rank_check(
+    rows: DataFrame, found: DataFrame, by: list[str], value: str, percentiles: dict[str, float], error: float
+) -> DataFrame:
+    """(``by``, percentile, n, occurs, within): whether the found values occur and are off by two errors at most."""
+    long = found.unpivot(by, [*percentiles], "percentile", "_found")
+    counts = rows.join(long, by).groupBy(*by, "percentile").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count(F.when(F.col("demand_mwh") < F.col("value"), 1)).alias("below"),
-        F.count(F.when(F.col("demand_mwh") <= F.col("value"), 1)).alias("upto"),
+        F.count(F.when(F.col(value) < F.col("_found"), 1)).alias("below"),
+        F.count(F.when(F.col(value) <= F.col("_found"), 1)).alias("upto"),
     )
-    wanted = F.create_map(*[F.lit(x) for pair in STATE_PS.items() for x in pair])[F.col("percentile")] * F.col("n")
-    error = F.ceil(F.col("n") / APPROX_ACCURACY) + 1
-    return counts.select(
-        *by,
-        "percentile",
-        (F.col("upto") > F.col("below")).alias("occurs"),
-        ((F.col("below") - error <= wanted) & (wanted <= F.col("upto") + error)).alias("rank_within_error"),
-    )
+    p = F.create_map(*[F.lit(x) for pair in percentiles.items() for x in pair])[F.col("percentile")]
+    slack = 2 * error * F.col("n") + 1
+    within = (F.col("below") - slack <= p * F.col("n")) & (p * F.col("n") <= F.col("upto") + slack)
+    return counts.select(*by, "percentile", "n", (F.col("upto") > F.col("below")).alias("occurs"), within.alias("within"))
+
+
+SEASON_PS = analytics.SEASON_THRESHOLDS
+
+
+def _season_thresholds(m: Models) -> DataFrame:
+    """Seasonal temperature thresholds from kept sketches: a first load, then later months and a revised one."""
+    path, by = new_folder(m.spark, "sketches"), ["balancing_authority_id", "season"]
+    staged = m.hourly_weather.select(F.col("station_id").alias("balancing_authority_id"), "date", "temperature_c")
+    seasons = m.dates.select("date", "season")
+    hours = settle(staged.join(seasons, "date").withColumnRenamed("temperature_c", "regional_avg_temp_c"), "hours")
+    sketches = settle(analytics.season_sketches(hours), "sketches")
+    spoilt = analytics.season_sketches(hours.withColumn("regional_avg_temp_c", F.lit(99.0)))
+    late, revised = F.col("sketch_month") >= "1999-01-01", F.col("sketch_month") == "1998-07-01"
+    first = sketches.filter(~late & ~revised).unionByName(spoilt.filter(revised))
+    refresh_partitions(first, path, ["sketch_month"], audit=False)
+    refresh_partitions(sketches.filter(late | revised), path, ["sketch_month"], audit=False)
+    found = analytics.season_thresholds(m.spark.read.parquet(path))
+    rows = hours.filter("regional_avg_temp_c IS NOT NULL")
+    exact = ranks.group_percentiles(rows, by, "regional_avg_temp_c", SEASON_PS).unpivot(by, [*SEASON_PS], "percentile", "exact")
+    return _rank_check(rows, settle(found), by, "regional_avg_temp_c", SEASON_PS, rank_error()).join(exact, [*by, "percentile"])
+
+
+def _correlation_default(m: Models) -> DataFrame:
+    """The correlation with its default thresholds, which are approximate: all but the zones they decide."""
+    daily = analytics.daily_demand_weather(m.demand_hours, m.weather_hours, m.dates, m.bridge_table)
+    sketched = analytics.weather_demand_correlation(settle(daily, "daily"), m.authorities_table)
+    return sketched.withColumn("has_zone", F.col("temperature_zone").isNotNull()).drop("temperature_zone")
+
+
+def _first_load(m: Models) -> DataFrame:
+    """The first load of the cumulative patterns: the 730 days before a given day, and what follows."""
+    return analytics.cumulative_patterns(m.demand_hours, m.dates, as_of="2001-03-01")
+
+
+def _schema_modes(m: Models) -> DataFrame:
+    """An upsert whose updates lack one column and bring another, in the three other modes."""
+    early, late = _split(m)
+    held = settle(_authority_hours(early).withColumn("held_only", F.lit("held")))
+    fresh = settle(_authority_hours(late).withColumn("fresh_only", F.lit(1)))
+    key = ["balancing_authority", "hour_of_day"]
+    both = []
+    for mode in ("sync", "ignore"):
+        merged = upsert.upsert(held, fresh, key, mode)
+        names = F.array_join(F.sort_array(F.array(*[F.lit(c) for c in merged.columns])), ",")
+        both.append(merged.select(F.lit(mode).alias("mode"), *key, "demand_mwh", names.alias("columns")))
+    try:
+        upsert.upsert(held, fresh, key, "fail")
+        refused = "merged"
+    except ValueError:
+        refused = "refused"
+    row = m.spark.range(1).select(
+        F.lit("fail").alias("mode"), F.lit(None).cast("string").alias(key[0]), F.lit(None).cast("int").alias(key[1]),
+        F.lit(None).cast("double").alias("demand_mwh"), F.lit(refused).alias("columns"),
+    )
+    return both[0].unionByName(both[1]).unionByName(row)
 
 
 def _table_writers(m: Models) -> DataFrame:
@@ -582,7 +758,10 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "q_stage_weather": lambda m: m.stage_weather,
     "q_station_metadata": lambda m: m.station_metadata,
     "q_isd_parse": _isd,
+    "q_isd_rejects": _isd_rejects,
+    "q_manifest_load": _manifest_load,
     "q_landed_json": _landed_json,
+    "q_landed_lines": _landed_lines,
     "q_open_payload": _open_payload,
     "q_watermark": _watermark,
     "q_newer_than": _newer_than,
@@ -600,8 +779,11 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "q_generation_mix": lambda m: analytics.generation_mix(m.monthly_generation),
     "q_generation_mix_all_sectors": lambda m: analytics.generation_mix(m.monthly_generation, match_sector=False),
     "q_weather_demand_correlation": lambda m: m.correlation,
+    "q_weather_demand_correlation_default": _correlation_default,
+    "q_season_thresholds": _season_thresholds,
     "q_peak_drivers": lambda m: m.peak_drivers,
     "q_cumulative_patterns": lambda m: m.cumulative,
+    "q_cumulative_first_load": _first_load,
     "q_state_changes": lambda m: m.state_changes,
     "q_group_percentiles": _group_percentiles,
     "q_group_percentile_approx": _group_percentiles_approx,
@@ -610,16 +792,20 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "q_weather_rollup": _weather_rollup,
     "q_baseline": _baseline,
     "q_long_changes": _long_changes,
+    "q_place_history": _place_history,
     "q_validity_join": _validity,
+    "q_validity_many_versions": _validity_many,
     "q_upsert": _upsert,
     "q_insert_only": _insert_only,
     "q_schema_evolution": _schema_evolution,
+    "q_schema_modes": _schema_modes,
     "q_incremental_demand": _demand_increment,
     "q_incremental_weather": _weather_increment,
     "q_incremental_generation": _generation_increment,
     "q_incremental_sales": _sales_increment,
     "q_incremental_cumulative": _cumulative_increment,
     "q_incremental_states": _state_increment,
+    "q_captured_states": _captured_states,
     "q_stream_demand": _stream_demand,
     "q_partitioned_write": _partitioned,
     "q_unique": _unique,
