@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .common import bind, new_folder
+from .common import bind, new_folder, written
 
 #: So many matches are summed in one go; see ``starts``.
 CHUNK = 256
@@ -167,8 +167,10 @@ def findings(ledger: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def report(docs: DataFrame, ledger: DataFrame, rules: Sequence[Rule] = RULES, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, spans) for every row of ``docs``: the findings of the blob it holds, none if there are none."""
     paths = docs.select(F.col(id).alias("doc_id"), address(F.col(text)).alias("blob"))
+    # written first: the join then knows the size of its small side, and can split a blob that very many rows hold
+    found = written(findings(ledger, rules), "findings")
     none = F.array().cast("array<struct<begin:int,rank:int,end:int,kind:string>>")
-    return paths.join(findings(ledger, rules), "blob", "left").select("doc_id", F.coalesce("spans", none).alias("spans"))
+    return paths.join(found, "blob", "left").select("doc_id", F.coalesce("spans", none).alias("spans"))
 
 
 def digest(reported: DataFrame, base: Sequence[Rule] = BASE) -> DataFrame:
