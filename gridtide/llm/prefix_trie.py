@@ -248,10 +248,13 @@ def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     root = [zero, F.lit(None).cast("binary"), F.lit(total.n), F.lit(total.m).cast("long"), name, name, zero]
     nodes = found.nodes.select((F.col("j") + 1).alias("depth"), "prefix", "n", "m", "cut", "whole", "size")
     nodes = nodes.union(spark.range(min(total.n, 1)).select(*root))
+    # most nodes have no cut or end no sequence: they get keys of their own that match nothing, not one NULL for all
+    own = F.concat(F.lit(b"own"), F.coalesce("prefix", F.lit(b"")), F.col("m").cast("string").cast("binary"))
+    keyed = nodes.withColumns({"below_key": F.coalesce("cut", own), "whole_key": F.coalesce("whole", own)})
     parents = nodes.where("cut IS NOT NULL").select(F.col("cut").alias("prefix"), F.col("m").alias("parent_conv_id"))
-    kids = totals[0].select(F.col("prefix").alias("cut"), "kids")
-    rows = nodes.join(kids, "cut", "left").join(below.withColumnRenamed("x", "cut"), "cut", "left")
-    rows = rows.join(digests, "whole", "left").join(parents, "prefix", "left")
+    kids = totals[0].select(F.col("prefix").alias("below_key"), "kids")
+    rows = keyed.join(kids, "below_key", "left").join(below.withColumnRenamed("x", "below_key"), "below_key", "left")
+    rows = rows.join(digests.withColumnRenamed("whole", "whole_key"), "whole_key", "left").join(parents, "prefix", "left")
     nothing = hashlib.sha256(b"").hexdigest()
     return rows.select(
         F.col("m").alias("conv_id"),
