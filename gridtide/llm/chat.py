@@ -12,7 +12,9 @@ an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from .common import written
 
 OPEN, MIDDLE, CLOSE = "<|", "|>\n", "\n"
 
@@ -43,7 +45,9 @@ def opening_pairs(turns: DataFrame) -> DataFrame:
     best = keyed.groupBy("opening").agg(
         F.min(F.struct((-F.col("n_turns")).alias("fewest"), F.col("conv_id"))).alias("best"), F.count("*").alias("n")
     )
-    met = keyed.join(best.where("n > 1"), "opening").where(~F.col("conv_id").eqNullSafe(F.col("best.conv_id")))
+    # written first, so that the join can split an opening that very many share
+    best = written(best.where("n > 1").drop("n"), "openings")
+    met = keyed.join(best, "opening").where(~F.col("conv_id").eqNullSafe(F.col("best.conv_id")))
     return met.select(F.col("best.conv_id").alias("chosen_id"), F.col("conv_id").alias("rejected_id"))
 
 
@@ -78,23 +82,39 @@ def with_turns(turns: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.withColumns({f"{s}_turns": F.coalesce(f"{s}_turns", none) for s in ("chosen", "rejected")})
 
 
+def next_ids(ids: DataFrame) -> DataFrame:
+    """(conv_id, donor_id): to each of the distinct ids the next one in order, to the last the first.
+
+    Ids are sorted in ranges, and a range's last id takes the first one of the next range that has any; only the first
+    ids of the ranges, as many as there are tasks, are looked at together.
+    """
+    ranged = ids.repartitionByRange("conv_id").sortWithinPartitions("conv_id").withColumn("range", F.spark_partition_id())
+    ranged = written(ranged, "ranges")
+    firsts = ranged.groupBy("range").agg(F.min("conv_id").alias("first"))
+    after = F.lead("first").over(Window.orderBy("range"))
+    firsts = firsts.select("range", F.coalesce(after, F.min("first").over(Window.partitionBy())).alias("beyond"))
+    inside = F.lead("conv_id").over(Window.partitionBy("range").orderBy("conv_id"))
+    return ranged.withColumn("inside", inside).join(F.broadcast(firsts), "range").select(
+        "conv_id", F.coalesce("inside", "beyond").alias("donor_id")
+    )
+
+
 def swapped_endings(turns: DataFrame) -> DataFrame:
     """Pairs for conversations without a rejected partner: each conversation up to its last assistant turn, which is
-    exchanged for the last assistant turn of the conversation with the next id. Where that id is absent or has no
-    assistant turn, or the conversation itself has none, there is no pair.
+    exchanged for the last assistant turn of the next conversation that has one; the last takes that of the first.
+    A conversation without an assistant turn, or without an id, gives no pair, and neither does a single one.
     """
-    convs = gathered(turns)
+    convs = gathered(turns.where("conv_id IS NOT NULL"))
     answers = F.filter(F.col("turns"), lambda t: t["role"] == "assistant")
-    donor = convs.where(F.size(answers) > 0).select(
-        F.col("conv_id").alias("rejected_id"), F.element_at(answers, -1).alias("ending")
-    )
-    own = convs.withColumn("last_", F.array_max(F.transform(
-        "turns", lambda t, i: F.when(t["role"] == "assistant", i))))
-    met = own.where("last_ is not null").join(donor, F.col("conv_id") + 1 == F.col("rejected_id"))
+    convs = written(convs.where(F.size(answers) > 0).withColumn("ending", F.element_at(answers, -1)), "answered")
+    donors = next_ids(convs.select("conv_id")).where("conv_id <> donor_id")
+    last = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i)))
+    own = convs.select("conv_id", "turns", last.alias("last_")).join(donors, "conv_id")
+    met = own.join(convs.select(F.col("conv_id").alias("donor_id"), "ending"), "donor_id")
     return met.select(
         F.col("conv_id").alias("chosen_id"),
         F.col("turns").alias("chosen_turns"),
-        "rejected_id",
+        F.col("donor_id").alias("rejected_id"),
         F.concat(F.slice("turns", F.lit(1), F.col("last_")), F.array("ending")).alias("rejected_turns"),
     )
 

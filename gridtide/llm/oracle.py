@@ -88,11 +88,13 @@ WITH turns AS (
   FROM turns WINDOW same AS (PARTITION BY t[1] ORDER BY len(t) DESC, conv_id)
 ), answers AS (
   SELECT conv_id, t, list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant')[-1] AS last FROM turns
+), donors AS (
+  SELECT *, coalesce(lead(conv_id) OVER (ORDER BY conv_id), min(conv_id) OVER ()) AS donor FROM answers WHERE last IS NOT NULL AND conv_id IS NOT NULL
 ), pairs AS (
   SELECT best_id AS chosen_id, best AS c, conv_id AS rejected_id, t AS r FROM ranked WHERE k > 1
   UNION ALL
   SELECT a.conv_id, a.t, b.conv_id, list_concat(a.t[1:a.last - 1], [b.t[b.last]])
-  FROM answers a JOIN answers b ON b.conv_id = a.conv_id + 1 WHERE a.last IS NOT NULL AND b.last IS NOT NULL
+  FROM donors a JOIN donors b ON b.conv_id = a.donor AND b.conv_id <> a.conv_id
 ), shared AS (
   SELECT *, coalesce(nullif(list_position(list_transform(range(1, least(len(c), len(r)) + 1),
                 lambda i: c[i] IS DISTINCT FROM r[i]), true), 0) - 1, least(len(c), len(r))) AS n FROM pairs

@@ -121,11 +121,35 @@ def test_chat_pairs(spark):
     absent = chat.format_pairs(chat.with_turns(turns, spark.createDataFrame([(1, 77), (4, 4)], "chosen_id long, rejected_id long")))
     assert {(r.chosen_id, r.n_shared, r.rejected) for r in absent.collect()} == {(1, 0, ""), (4, 1, "")}
     swapped = chat.format_pairs(chat.swapped_endings(turns)).collect()
-    assert [(r.chosen_id, r.rejected_id, r.n_shared, r.rejected) for r in swapped] == [(1, 2, 1, "<|assistant|>\nno\n")]
+    assert sorted((r.chosen_id, r.rejected_id, r.n_shared, r.rejected) for r in swapped) == [
+        (1, 2, 1, "<|assistant|>\nno\n"), (2, 1, 1, "<|assistant|>\nyes\n"),
+    ]
     assert chat.format_pairs(chat.swapped_endings(turns.limit(0))).count() == 0
     assert chat.opening_pairs(turns.limit(0)).count() == 0
 
 
+def test_every_answered_conversation_has_a_donor(spark):
+    """Ids far apart, of any type; the donor is the next conversation with an answer, across all ranges."""
+    ids = [i * 97 % 10_007 for i in range(300)]
+    data = [(f"c{c:05d}", 0, "user", "q") for c in ids] + [(f"c{c:05d}", 1, "assistant", f"a{c}") for c in ids if c % 3]
+    data += [(None, 0, "assistant", "without an id"), ("c00001", 1, "assistant", "tie"), ("c00001", 1, "assistant", "tie")]
+    turns = spark.createDataFrame(data, "conv_id string, turn long, role string, text string").repartition(7)
+    clashing = turns.withColumns({c: F.lit(1) for c in ("range", "first", "ending", "turns", "last_")})
+    found = {r.chosen_id: r.rejected_id for r in chat.swapped_endings(clashing).collect()}
+    answered = sorted({c for c, _, role, _ in data if role == "assistant" and c})
+    assert found == dict(zip(answered, answered[1:] + answered[:1]))
+    one = turns.where("conv_id = 'c00001'")
+    assert chat.swapped_endings(one).count() == 0
+
+
+def test_equal_turn_numbers_are_ordered_by_role_and_text(spark):
+    data = [(1, 0, "user", "b", 0), (1, 0, "assistant", "z" * 300_000, 0), (1, 0, "user", "a", 0), (2, 1, "assistant", "y", 0)]
+    turns = spark.createDataFrame(data, "conv_id long, turn long, role string, text string, n_shared int")
+    pair = {r.chosen_id: r for r in chat.format_pairs(chat.swapped_endings(turns)).collect()}[1]
+    assert pair.prompt == "" and pair.rejected == "<|assistant|>\ny\n"
+    assert pair.chosen.index("\na\n") < pair.chosen.index("\nb\n") and [b - a for a, b in pair.chosen_spans] == [300_001]
+
+
 def test_chat_prefix_equals_brute_force(spark, small):
     turns = spark.read.parquet(f"{small}/conversations.parquet")
     held = defaultdict(list)
