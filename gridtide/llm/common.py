@@ -66,6 +66,22 @@ def compact(df: DataFrame, rows: int = 50_000) -> DataFrame:
     return df.coalesce(1) if df.count() <= rows else df
 
 
+#: Most ids that are sent to every executor to drop rows by; more are joined by shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def without(docs: DataFrame, ids: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows of these ids (the only column of ``ids``); rows without an id stay.
+
+    The ids are written and counted first: while they are few, no text is moved to drop a row.
+    """
+    dropped = ids.toDF("dropped_id_").where("dropped_id_ IS NOT NULL").distinct()
+    dropped = written(dropped, "dropped")
+    if dropped.count() <= BROADCAST_IDS:
+        dropped = F.broadcast(dropped)
+    return docs.join(dropped, F.col(doc) == F.col("dropped_id_"), "left_anti")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -3,28 +3,35 @@
 Documents are sets of hashed 4-word shingles in the metric space of the Jaccard distance; documents with equal sets are
 one point. Two points link at distance ``EPS`` or less.
 
-First regions. Texts that have nothing in common lie at distance 1 from each other and from nearly every possible
-document pivot, so regions around sampled documents would have to hold copies of all documents. The first pivots are
-therefore single shingles: a point within EPS of another shares one of its ``n - ceil(0.85 n) + 1`` least shingles with
-it, so each point is copied to the regions of these anchors, and all links meet in at least one region.
-
-Inside a region. A member document becomes the pivot, and all members are compared with it. Members within EPS form its
-ball: they are linked through it, and need not be compared with each other. By the triangle inequality, a member
-outside the ball at distance d can only link to ball members at distance d - EPS or more from the pivot: these are
-replicated into the next region with those outside, the rest of the ball is done. Regions whose members are all in one
-component are done too. What is left is joined again with another pivot, and a region with few points outside its
-largest component is compared pair by pair.
-
-A region that stays large holds a shingle that many unlike documents share. Its points are joined anew, among
-themselves, with such shingles moved to the end of the order, so that other shingles become their anchors: the join
-calls itself on the points that are left until none are. No order loses a link; it only decides where links meet.
-
-A distance is bounded from the anchors alone before texts are looked at: shingles below both last anchors that one side
-lacks are differences for certain. Only pairs that may still link are compared by their whole sets.
+**First regions.** Texts that have nothing in common lie at distance 1 from each other and from nearly every possible
+document pivot, so Voronoi regions of sampled documents would have to hold copies of all documents. The first pivots are
+therefore single shingles: under any order of the shingles a point within EPS of another shares one of its
+``n - ceil(0.85 n) + 1`` first shingles (its *anchors*) with it, so a point is copied to the regions of its anchors, and
+every link meets in at least one region. Regions with one point are dropped before anything is shuffled.
+
+**Small regions.** Pairs of points that meet in regions of up to ``REGION`` points are counted over all such regions. An
+anchor that the other side lacks is a difference for certain, so a pair that meets too seldom is out without a look at
+its texts; points of crowded regions get as many meetings as they have such regions on top.
+
+**Crowded regions** hold a shingle that many texts share. Their points are joined anew among themselves, in another
+order of the shingles: those that occur repeatedly among a few members of each crowded region come last, the more
+frequent the later. Texts that share a passage only then have other anchors. What still crowds are regions of points
+made of common shingles nearly throughout: true families of near copies.
+
+**Families** are joined by Voronoi regions. A few members become pivots, every member is compared with them and linked
+to those within EPS, and belongs to the nearest one. It is copied to another pivot's region only where the triangle
+inequality lets a member of that region be within EPS of it: at most 2 EPS further away than its nearest pivot. In a
+region members of the pivot's component that are too near the pivot to reach a member of another component are dropped,
+and regions of one component are done. A region that is still crowded is joined by pivots of its own; in the others,
+members outside the largest component meet the others, where distances to the pivot and certain differences allow a link.
+
+Every pair that passes is compared by its whole sets: members travel to their pivot, which is copied to as many tasks as
+its members need.
 
 Defined results: documents without words, and null or blank texts, have no shingles and link with nothing; equal sets
 link whatever their texts; rows with one id are one node; a row without an id has no component (null); an empty table
-gives an empty result; other columns are ignored.
+gives an empty result; other columns are ignored. Components are exact; which pairs are compared depends on the data,
+so links inside a component are not all listed.
 """
 
 from __future__ import annotations
@@ -33,23 +40,28 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import compact, forget, written
+from .common import forget, without, written
 from .components import components
 from .hashing import WordHasher, chunks, grams, mix
 
 WORDS = 4
 #: Links need 100 * intersection >= SHARE * union.
 SHARE = 85
-#: Points outside the largest component that a region may have to be compared pair by pair. Each recursion, which leaves
-#: far fewer points, allows four times as many.
-SMALL_REGION = 32
-#: Pivots of a region before its shingle is moved to the end of the order; one more than that in the first regions.
-PIVOT_ROUNDS = 1
-#: Most ids, or common shingles, that are sent to every executor. More ids are joined by shuffle; of more common
-#: shingles the largest regions' ones are moved, which changes the order only.
+#: Points of a region that meet pair by pair; larger regions are crowded.
+REGION = 32
+#: Members of a crowded region that are searched for shingles they share, and how many of all those searched must hold one.
+PICKS, REPEATS = 8, 3
+#: Shingles that can be moved to the end of the order; the most frequent ones are taken. The order never changes a result.
+LATE_SHINGLES = 2_000_000
+#: Pivots of a family, how often its regions are split, and the members of other components that a region may then have.
+PIVOTS, SPLITS = 4, 3
+#: Rows that are sent to every executor; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Members compared with one copy of their pivot.
+CELL_ROWS = 4_096
 LATE = 1 << 62
 
 
@@ -89,11 +101,16 @@ def n_anchors(n: int, share: int) -> int:
     return n - -(-share * n // 100) + 1
 
 
-def described(docs: DataFrame, k: int, share: int, common: np.ndarray | None = None) -> DataFrame:
-    """(doc_id, n, f1, f2, anchors): size, fingerprint and least shingles of every document's set.
+def ordered(found: np.ndarray, late: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The set in the order of its level: hashes, then the late shingles (sorted in ``late``) as ``LATE`` + their rank."""
+    if not len(late) or not len(found):
+        return found
+    at = np.minimum(np.searchsorted(late, found), len(late) - 1)
+    return np.sort(np.where(late[at] == found, LATE + rank[at], found))
 
-    ``common`` shingles are raised by ``LATE``, so they come last in the order.
-    """
+
+def described(docs: DataFrame, k: int, share: int, late: np.ndarray, rank: np.ndarray) -> DataFrame:
+    """(doc_id, n, f1, f2, anchors): size, fingerprint and first shingles of every document's set."""
 
     def describe(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHasher()
@@ -101,10 +118,7 @@ def described(docs: DataFrame, k: int, share: int, common: np.ndarray | None = N
             rows = []
             for found in sets_of(texts, k, hasher):
                 n = len(found)
-                prints = fingerprint(found)
-                if common is not None:
-                    found = np.sort(np.where(np.isin(found, common), found + LATE, found))
-                rows.append((n, *prints, found[: n_anchors(n, share)].copy() if n else found))
+                rows.append((n, *fingerprint(found), ordered(found, late, rank)[: n_anchors(n, share)].copy() if n else found))
             out = pd.DataFrame(rows, columns=["n", "f1", "f2", "anchors"])
             out.insert(0, "doc_id", ids)
             yield out
@@ -112,89 +126,88 @@ def described(docs: DataFrame, k: int, share: int, common: np.ndarray | None = N
     return docs.mapInPandas(describe, "doc_id long, n int, f1 long, f2 long, anchors array<long>")
 
 
-def named(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows with these ids. The ids go to the executors if they are few, else both sides are shuffled."""
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    return rows.join(wanted, F.col(key) == F.col("id"), "left_semi")
-
+def sent(table: DataFrame) -> DataFrame:
+    """A written table for the small side of a join: sent to all executors if it is small enough."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
-def whole_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(id, f1, shingles) of the named documents."""
 
-    def read(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = WordHasher()
-        for ids, texts in parts(batches):
-            found = list(sets_of(texts, k, hasher))
-            yield pd.DataFrame({"id": ids, "f1": [fingerprint(s)[0] for s in found], "shingles": found})
-
-    return named(docs, ids).mapInPandas(read, "id long, f1 long, shingles array<long>")
+class Joiner:
+    """Links points and keeps their components, until no region holds two that may still link."""
 
+    def __init__(self, docs: DataFrame, points: DataFrame, k: int, share: int):
+        """``points`` (p, rep, f1): a number for each distinct set, and the least document that has it."""
+        self.docs, self.points, self.k, self.share, self.eps = docs, points, k, share, 1 - share / 100
+        self.labels: DataFrame | None = None
 
-class Space:
-    """The points (distinct sets) and how far pairs of them are apart."""
+    # Conditions on pairs with sizes na and nb
 
-    def __init__(self, docs: DataFrame, points: DataFrame, k: int, share: int):
-        self.docs, self.points, self.k, self.share = docs, points, k, share
+    def near_sizes(self) -> Column:
+        return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.share
 
-    def near_sizes(self, a: str, b: str) -> Column:
-        return F.least(a, b) * 100 >= F.greatest(a, b) * self.share
+    def needed(self) -> Column:
+        """How many shingles a linked pair of these sizes shares at least."""
+        return F.ceil((F.col("na") + F.col("nb")) * self.share / (100 + self.share))
 
-    def most_different(self) -> Column:
-        """How many shingles a linked pair of these sizes may have on one side only."""
-        total = F.col("na") + F.col("nb")
-        return total - 2 * F.ceil(total * self.share / (100 + self.share))
+    # Texts
 
-    def compared(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, dist, linked) of distinct pairs: the distance where they may link, else a lower bound of it."""
-        pairs = compact(written(pairs, "pairs"))
-        ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
-        points, asked_ids = compact(written(named(self.points, ids, "rep"), "asked-points")), ids
-        side = lambda c: points.select(
-            F.col("rep").alias(c), F.col("n").alias(f"n{c}"), F.col("f1").alias(f"f{c}"), F.col("anchors").alias(f"h{c}")
-        )
-        met = pairs.join(side("a"), "a").join(side("b"), "b")
-        upto = F.least(F.element_at("ha", -1), F.element_at("hb", -1))
-        below = lambda c: F.filter(c, lambda x: x <= F.col("upto"))
-        met = met.withColumn("upto", upto).withColumns({"ca": below("ha"), "cb": below("hb")})
-        apart = F.size("ca") + F.size("cb") - 2 * F.size(F.array_intersect("ca", "cb"))
-        met = met.select("a", "b", "na", "nb", "fa", "fb", apart.alias("apart"))
-        bounded = compact(written(
-            met.withColumn("close", self.near_sizes("na", "nb") & (F.col("apart") <= self.most_different())), "bounded"
-        ))
-        by_size = 1 - F.least("na", "nb") / F.greatest("na", "nb")
-        far = bounded.where("not close").select(
-            "a", "b",
-            F.greatest(by_size, 2 * F.col("apart") / (F.col("na") + F.col("nb") + F.col("apart"))).alias("dist"),
-            F.lit(False).alias("linked"),
-        )
-        close = bounded.where("close")
-        ids = written(close.select(F.col("a").alias("id")).union(close.select("b")).distinct(), "close-ids")
-        sets = compact(written(whole_sets(self.docs, ids, self.k), "whole-sets")).dropDuplicates(["id", "f1"])
-        one = lambda c: sets.select(F.col("id").alias(c), F.col("f1").alias(f"f{c}"), F.col("shingles").alias(f"s{c}"))
-        both = close.join(one("a"), ["a", "fa"]).join(one("b"), ["b", "fb"])
-        both = both.withColumn("shared", F.size(F.array_intersect("sa", "sb")))
-        union = F.col("na") + F.col("nb") - F.col("shared")
-        near = both.select(
-            "a", "b", (1 - F.col("shared") / union).alias("dist"), (F.col("shared") * 100 >= union * self.share).alias("linked")
-        )
-        result = compact(written(far.union(near), "distances"))
-        forget(pairs, asked_ids, points, bounded, ids, sets)
-        return result
+    def texts_of(self, wanted: DataFrame) -> DataFrame:
+        """(p, doc_id, text, f1) of the documents that stand for the wanted points (p); ``wanted`` is written."""
+        named = written(self.points.join(sent(wanted), "p"), "named")
+        return self.docs.join(sent(named).withColumnRenamed("rep", "doc_id"), "doc_id")
 
+    def whole_sets(self, wanted: DataFrame) -> DataFrame:
+        """(p, shingles) of the wanted points, the sorted set as bytes. A task gives a set once, however often its
+        document is repeated."""
+        k = self.k
 
-def regions_of(points: DataFrame) -> DataFrame:
-    """(region, rep, n): a point in the region of each of its anchors. Regions with one point are left out."""
-    spread = points.select("rep", "n", F.explode("anchors").alias("region"))
-    shared = spread.groupBy("region").agg(F.count("*").alias("size")).where("size > 1").drop("size")
-    return spread.join(shared, "region").select("region", "rep", "n")
+        def read(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            hasher, seen = WordHasher(), set()
+            for batch in batches:
+                texts = batch["text"].tolist()
+                for a, b in chunks(texts):
+                    rows = []
+                    for p, f1, found in zip(batch["p"][a:b], batch["f1"][a:b], sets_of(texts[a:b], k, hasher), strict=True):
+                        if p not in seen and fingerprint(found)[0] == f1:
+                            seen.add(p)
+                            rows.append((p, found.tobytes()))
+                    if rows:
+                        yield pd.DataFrame(rows, columns=["p", "shingles"])
 
+        return self.texts_of(wanted).select("p", "f1", "text").mapInPandas(read, "p long, shingles binary")
 
-class Joiner:
-    """Links points and keeps their components, until no region holds two that may still link."""
+    def compared(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, dist, linked) of distinct written pairs, by their whole sets; a is the pivot that b travels to."""
+        share = self.share
+        sizes = written(pairs.groupBy("a").agg(F.ceil(F.count("*") / CELL_ROWS).alias("cells")), "cells")
+        salted = pairs.join(sent(sizes), "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("cells")))
+        members = salted.select("a", "salt", F.lit(1).alias("kind"), F.col("b").alias("p"))
+        pivots = sizes.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)).alias("salt"), F.lit(0).alias("kind"), F.col("a").alias("p"))
+        places = written(members.union(pivots), "places")
+        wanted = written(places.select("p").distinct(), "wanted")
+        dealt = self.whole_sets(wanted).join(sent(places), "p").repartition("a", "salt").sortWithinPartitions("a", "salt", "kind")
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            pivot, own = None, None
+            for batch in batches:
+                rows = []
+                for a, kind, p, raw in zip(*(batch.column(c).to_pylist() for c in ("a", "kind", "p", "shingles"))):
+                    found = np.frombuffer(raw, dtype=np.int64)
+                    if kind == 0:
+                        pivot, own = a, found
+                    elif a == pivot:
+                        both = len(np.intersect1d(own, found, assume_unique=True))
+                        union = len(own) + len(found) - both
+                        rows.append((a, p, 1 - both / union, both * 100 >= union * share))
+                columns = list(zip(*rows)) if rows else [[], [], [], []]
+                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["a", "b", "dist", "linked"])
+
+        result = dealt.mapInArrow(compare, "a long, b long, dist double, linked boolean").distinct()
+        result = written(result, "distances")
+        forget(sizes, places, wanted)
+        return result
 
-    def __init__(self, docs: DataFrame, k: int, share: int):
-        self.docs, self.k, self.share, self.eps = docs, k, share, 1 - share / 100
-        self.labels: DataFrame | None = None
+    # Components
 
     def link(self, found: DataFrame) -> None:
         """Adds links (a, b) to the components known so far."""
@@ -203,140 +216,218 @@ class Joiner:
         if self.labels is not None:
             found = found.union(self.labels.select("node", "component").where("node <> component"))
         last, nodes = self.labels, components(found)
-        self.labels = compact(written(nodes, "labels"))
+        self.labels = written(nodes, "labels")
         forget(last, nodes)
 
-    def labelled(self, rows: DataFrame, point: str = "rep", label: str = "label") -> DataFrame:
+    def labelled(self, rows: DataFrame, point: str = "p", label: str = "label") -> DataFrame:
         """``rows`` with the component of the point; one that links with nothing is its own."""
         if self.labels is None:
             return rows.withColumn(label, F.col(point))
-        met = rows.join(self.labels, F.col(point) == F.col("node"), "left")
+        met = rows.join(sent(self.labels), F.col(point) == F.col("node"), "left")
         return met.select(*rows.columns, F.coalesce("component", point).alias(label))
 
-    def contested(self, rows: DataFrame) -> DataFrame:
-        """(region, rep, n, label, major, outside) of regions with several components: the one with most members, and
-        how many members are outside it. The tables that ``rows`` reads are not needed after it."""
-        held = self.labelled(rows.select("region", "rep", "n"))
-        counts = held.groupBy("region", "label").agg(F.count("*").alias("members"))
-        state = counts.groupBy("region").agg(
-            F.max_by("label", F.struct("members", "label")).alias("major"),
-            (F.sum("members") - F.max("members")).alias("outside"),
+    def strangers(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose points are in different components."""
+        return self.labelled(self.labelled(pairs, "a", "la"), "b", "lb").where("la <> lb").drop("la", "lb")
+
+    # Regions
+
+    def meet(self, points: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Candidates (a, b) that meet often enough in small regions, and the rows (region, p, n) of crowded regions.
+
+        ``points`` (p, n, anchors) is written. Anchors that no other point has are found by counting, which is combined
+        before the shuffle, and only shared ones are looked at again.
+        """
+        spread = points.select("p", "n", F.element_at("anchors", -1).alias("last"), F.explode("anchors").alias("region"))
+        counts = written(spread.groupBy("region").agg(F.count("*").alias("size")).where("size > 1"), "region-sizes")
+        shared = written(spread.join(sent(counts), "region"), "regions")
+        crowded = written(shared.where(F.col("size") > REGION).select("region", "p", "n"), "crowded")
+        extra = written(crowded.groupBy("p").agg(F.count("*").alias("extra")), "extra")
+        small = shared.where(F.col("size") <= REGION).join(sent(extra), "p", "left")
+        small = small.withColumn("extra", F.coalesce("extra", F.lit(0)))
+        side = lambda s: small.select(
+            "region", *[F.col(c).alias(f"{n}{s}") for c, n in (("p", ""), ("n", "n"), ("last", "l"), ("extra", "e"))]
         )
-        result = compact(written(held.join(state.where("outside > 0"), "region"), "contested"))
+        met = side("a").join(side("b"), "region").where((F.col("a") < F.col("b")) & self.near_sizes())
+        same = [F.min(c).alias(c) for c in ("na", "nb", "la", "lb", "ea", "eb")]
+        met = met.groupBy("a", "b").agg(F.count("*").alias("meetings"), *same)
+        # the point whose anchors end first: each of them that does not meet the other point is a difference
+        n = F.when(F.col("la") <= F.col("lb"), F.col("na")).otherwise(F.col("nb"))
+        anchors = n - F.ceil(n * self.share / 100) + 1
+        enough = F.col("meetings") + F.least("ea", "eb") >= anchors - n + self.needed()
+        candidates = written(met.where(enough).select("a", "b"), "candidates")
+        forget(counts, shared, extra)
+        return candidates, crowded
+
+    def late_shingles(self, crowded: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Shingles that several of a few members of crowded regions hold, sorted, and their ranks by frequency.
+
+        At most ``LATE_SHINGLES`` numbers reach the driver; they decide the order of the next level only.
+        """
+        by_hash = Window.partitionBy("region").orderBy(F.xxhash64("p"), "p")
+        picks = crowded.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= PICKS)
+        picks = written(picks.select("p").distinct(), "picks")
+
+        def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for raw in batch.column("shingles").to_pylist():
+                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(raw, dtype=np.int64))], ["shingle"])
+
+        held = self.whole_sets(picks).mapInArrow(numbers, "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
+        held = held.where(F.col("n") >= REPEATS).orderBy(F.desc("n"), "shingle").limit(LATE_SHINGLES).toPandas()
+        held = held.sort_values(["n", "shingle"])
+        forget(picks)
+        shingles = held["shingle"].to_numpy(dtype=np.int64)
+        order = np.argsort(shingles)
+        return shingles[order], order.astype(np.int64)
+
+    def anew(self, crowded: DataFrame, late: np.ndarray, rank: np.ndarray) -> DataFrame:
+        """(p, n, anchors) of the points of crowded regions, in the order that puts ``late`` shingles last."""
+        wanted = written(crowded.select("p").distinct(), "wanted")
+        held = self.texts_of(wanted)
+        told = described(held.select("doc_id", "text"), self.k, self.share, late, rank)
+        # a document may be repeated, and may have another text in another row
+        keys = written(self.points.join(sent(wanted), "p"), "keys")
+        met = told.join(sent(keys).withColumnRenamed("rep", "doc_id"), ["doc_id", "f1"])
+        points = written(met.groupBy("p").agg(F.first("n").alias("n"), F.first("anchors").alias("anchors")), "points")
+        forget(wanted, keys)
+        return points
+
+    def verify(self, candidates: DataFrame) -> None:
+        """Links candidates: first each point with its least partner, then those still in different components."""
+        star = written(candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "star")
+        found = self.compared(star)
+        self.link(found.where("linked").select("a", "b"))
+        rest = candidates.join(star, ["a", "b"], "left_anti")
+        rest = written(self.strangers(rest), "rest")
+        more = self.compared(rest)
+        self.link(more.where("linked").select("a", "b"))
+        forget(star, found, rest, more)
+
+    def families(self, points: DataFrame, crowded: DataFrame) -> None:
+        """Joins the crowded regions that are left by Voronoi regions of their members."""
+        # anchors in small regions or alone in theirs: no partner has them that is met in crowded regions only
+        common = crowded.groupBy("p").agg(F.count_if(F.col("region") < LATE).alias("known"), F.sort_array(F.collect_list("region")).alias("crowds"))
+        own = points.select("p", F.size(F.filter("anchors", lambda x: x < LATE)).alias("early"))
+        facts = own.join(common, "p").select("p", (F.col("early") - F.col("known")).alias("alone"), "crowds")
+        rows = crowded.join(facts, "p").withColumn("cell", F.col("region"))
+        rows = written(rows.withColumns({"pivot": F.lit(None).cast("long"), "dist": F.lit(None).cast("double")}), "cells")
+        for split in range(SPLITS):
+            last, rows = rows, self.split(rows, split)
+            forget(last)
+            sizes = rows.groupBy("cell").agg(F.count("*").alias("size"))
+            if not sizes.where(F.col("size") > REGION).limit(1).count():
+                break
+        rows = self.contested(rows)
+        self.last_pairs(rows)
         forget(rows)
+
+    def contested(self, rows: DataFrame) -> DataFrame:
+        """Rows of cells with several components, with their label and the cell's largest component."""
+        held = self.labelled(rows)
+        counts = held.groupBy("cell", "label").agg(F.count("*").alias("members"))
+        state = counts.groupBy("cell").agg(F.max_by("label", F.struct("members", "label")).alias("major"), F.count("*").alias("labels"))
+        state = written(state.where("labels > 1").drop("labels"), "contested-cells")
+        return written(held.join(sent(state), "cell"), "contested")
+
+    def split(self, rows: DataFrame, turn: int) -> DataFrame:
+        """One step of the recursion: rows (cell, pivot, dist, ...) of the Voronoi regions of all cells' pivots."""
+        held = self.contested(rows)
+        by_hash = Window.partitionBy("cell").orderBy(F.xxhash64("p", F.lit(turn)), "p")
+        pivots = held.select("cell", "p", "n").withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= PIVOTS)
+        pivots = written(pivots.select("cell", F.col("p").alias("a"), F.col("n").alias("na")), "pivots")
+        members = held.drop("label", "major", "pivot", "dist").withColumnsRenamed({"p": "b", "n": "nb"})
+        met = written(members.join(sent(pivots), "cell").where("a <> b"), "met")
+        asked = written(met.where(self.near_sizes()).select("a", "b").distinct(), "asked")
+        distances = self.compared(asked)
+        self.link(distances.where("linked").select("a", "b"))
+        # a distance that was not asked for is at least that of the sizes alone
+        by_size = 1 - F.least("na", "nb") / F.greatest("na", "nb")
+        known = met.join(distances.drop("linked"), ["a", "b"], "left")
+        known = known.withColumn("least", F.coalesce("dist", by_size))
+        nearest = F.min(F.coalesce("dist", F.lit(1.0))).over(Window.partitionBy("cell", "b"))
+        inside = known.withColumn("nearest", nearest).where(F.col("least") <= F.col("nearest") + 2 * self.eps + 1e-9)
+        # pivots have met all of their cell
+        inside = inside.join(sent(pivots.select("cell", F.col("a").alias("b"))), ["cell", "b"], "left_anti")
+        inside = inside.select(
+            F.xxhash64("cell", "a").alias("cell"), "region", F.col("b").alias("p"), F.col("nb").alias("n"), "alone", "crowds",
+            F.col("a").alias("pivot"), "dist", "least",
+        )
+        state = written(self.labelled(self.labelled(inside), "pivot", "pivot_label"), "state")
+        window = state.where("label <> pivot_label").groupBy("cell").agg(F.min("least").alias("edge"))
+        stays = (F.col("label") != F.col("pivot_label")) | F.col("dist").isNull() | (F.col("dist") >= F.col("edge") - self.eps - 1e-9)
+        kept = state.join(sent(written(window, "edges")), "cell").where(stays)
+        result = written(kept.drop("label", "pivot_label", "least", "edge"), "cells")
+        forget(held, pivots, met, asked, distances, state)
         return result
 
-    def pivot_round(self, space: Space, rows: DataFrame, turn: int) -> DataFrame:
-        """Compares every region with one of its points, links the ball, and returns what has to be joined again.
+    def last_pairs(self, rows: DataFrame) -> None:
+        """Compares members outside the largest component of their cell with all members of other components.
 
-        The first pivot of a region is its least point, so regions of one group share it. Later ones differ from
-        region to region. Members already in the pivot's component are not compared; as their distance to it is not
-        known, they stay.
+        A pair is looked at in the first crowded region it shares. Where that is one of a late shingle, it shares no
+        small region unless it was a candidate there, so anchors that are no crowded ones differ for certain.
         """
-        order = F.col("rep") if turn == 0 else F.xxhash64("rep", "region", F.lit(turn))
-        held = rows if "label" in rows.columns else self.labelled(rows)
-        chosen = held.groupBy("region").agg(F.min(F.struct(order.alias("o"), "rep", "n", "label")).alias("p"))
-        chosen = chosen.select(
-            "region", F.col("p.rep").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.label").alias("pivot_label")
-        )
-        met = held.select("region", "rep", "n", "label").join(chosen, "region").where("rep <> pivot")
-        met = met.withColumns(
-            {
-                "a": F.least("rep", "pivot"),
-                "b": F.greatest("rep", "pivot"),
-                "by_size": 1 - F.least("n", "pivot_n") / F.greatest("n", "pivot_n"),
-                "asked": space.near_sizes("n", "pivot_n") & (F.col("label") != F.col("pivot_label")),
-            }
-        )
-        met = written(met.select("region", "rep", "n", "pivot", "a", "b", "by_size", "asked", "label", "pivot_label"), "met")
-        met = compact(met)
-        distances = space.compared(met.where("asked").select("a", "b").distinct())
-        self.link(distances.where("linked").select("a", "b"))
-        alike = met.where("not asked").select(
-            "region", "rep", "n", "pivot", "by_size", F.when(F.col("label") == F.col("pivot_label"), F.lit("unknown"))
-            .otherwise("far").alias("kind"),
+        side = lambda s, *more: rows.select(
+            "cell", "region", F.col("p").alias(s), *[F.col(c).alias(f"{n}{s}") for c, n in (("n", "n"), ("label", "label_"), ("alone", "alone_"), ("dist", "dist_"), ("crowds", "crowds_"))], *more,
         )
-        known = met.where("asked").join(distances, ["a", "b"]).select(
-            "region", "rep", "n", "pivot", F.col("dist").alias("by_size"), F.when(F.col("linked"), "ball").otherwise("far").alias("kind")
-        )
-        state = known.union(alike).withColumnRenamed("by_size", "dist")
-        state = compact(written(self.labelled(self.labelled(state), "pivot", "pivot_label"), "state"))
-        forget(met, distances, rows)
-        # bounds of those that may still be strangers to the pivot's component
-        window = state.where("label <> pivot_label").groupBy("region").agg(F.min("dist").alias("nearest"))
-        left = state.join(window, "region")
-        stays = (F.col("kind") != "ball") | (F.col("dist") >= F.col("nearest") - self.eps - 1e-9)
-        return left.where(stays).select("region", "rep", "n")
-
-    def pair_by_pair(self, space: Space, rows: DataFrame) -> None:
-        """Compares the few members outside the largest component with all members of other components."""
-        few = rows.where("label <> major").select(
-            "region", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("label").alias("la")
-        )
-        all_rows = rows.select("region", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), "major")
-        met = few.join(all_rows, "region").where("la <> lb and (lb = major or a < b)")
-        pairs = met.where(space.near_sizes("na", "nb")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        self.link(space.compared(pairs.distinct()).where("linked").select("a", "b"))
-
-    def join(self, points: DataFrame, common: np.ndarray, depth: int = 0) -> None:
-        """Links all points within EPS of each other; ``common`` shingles are last in the order of the anchors."""
-        space = Space(self.docs, points, self.k, self.share)
-        rows, turn, few = compact(written(regions_of(points), "regions")), 2 * depth, SMALL_REGION << 2 * depth
-        last = turn + PIVOT_ROUNDS + (depth == 0)
-        while True:
-            rows = self.contested(self.pivot_round(space, rows, turn))
-            turn += 1
-            small = rows.where(F.col("outside") <= few)
-            if small.limit(1).count():
-                self.pair_by_pair(space, small)
-            rows = rows.where(F.col("outside") > few)
-            if not rows.limit(1).count():
-                return
-            rows = self.contested(rows)
-            if turn < last:
-                continue
-            sizes = rows.groupBy("region").agg(F.count("*").alias("size")).where(F.col("region") < LATE)
-            new = [r["region"] for r in sizes.orderBy(F.desc("size"), "region").limit(BROADCAST_ROWS).select("region").collect()]
-            if not new:  # every region left is of a common shingle already
-                few *= 4
-                continue
-            common = np.union1d(common, np.array(new, dtype=np.int64))
-            again = written(rows.where(F.col("region") < LATE).select(F.col("rep").alias("id")).distinct(), "again")
-            held = written(described(named(self.docs, again), self.k, self.share, common), "described")
-            known = points.select("rep", "f1")
-            anew = held.select(F.col("doc_id").alias("rep"), "n", "f1", "anchors").join(known, ["rep", "f1"], "left_semi")
-            again_points = written(anew.dropDuplicates(["rep", "f1"]), "points")
-            forget(held)
-            self.join(again_points, common, depth + 1)
-            forget(again_points)
-            rows = self.contested(rows.where(F.col("region") >= LATE))
-            if not rows.limit(1).count():
-                return
+        few = side("a").join(rows.select("cell", "p").where("label <> major").withColumnRenamed("p", "a"), ["cell", "a"], "left_semi")
+        met = few.join(side("b", "major").drop("region"), "cell").where("label_a <> label_b AND (label_b = major OR a < b)")
+        differ = (F.col("alone_a") <= F.col("na") - self.needed()) & (F.col("alone_b") <= F.col("nb") - self.needed())
+        apart = F.coalesce(F.abs(F.col("dist_a") - F.col("dist_b")) <= self.eps + 1e-9, F.lit(True))
+        first = F.get(F.array_intersect("crowds_a", "crowds_b"), F.lit(0)) == F.col("region")
+        met = met.where(self.near_sizes() & ((F.col("region") < LATE) | differ) & apart & first)
+        pairs = written(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "last-pairs")
+        found = self.compared(pairs)
+        self.link(found.where("linked").select("a", "b"))
+        forget(pairs, found)
 
 
 def joined(docs: DataFrame, doc: str = "doc_id", text: str = "text", k: int = WORDS, share: int = SHARE) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (least id reachable by links, itself included)."""
     source = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = written(described(source, k, share), "sets")
+    none = np.zeros(0, dtype=np.int64)
+    sets = written(described(source, k, share, none, none), "sets")
+    rows = written(sets.drop("anchors"), "rows")
     key = ["n", "f1", "f2"]
-    filled = sets.where("n > 0 and doc_id is not null")
-    classes = written(filled.groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
-    # the points: one row of each class, with its anchors
-    firsts = filled.join(classes.select(*key, "rep"), key).where("doc_id = rep")
-    points = written(firsts.select("rep", "n", "f1", "anchors").dropDuplicates(["rep", "f1"]), "points")
-    joiner = Joiner(source, k, share)
+    filled = rows.where("n > 0 and doc_id is not null")
+    # the points: one row of each distinct set, numbered
+    classes = sets.where("n > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("anchors").alias("anchors"))
+    points = written(classes.withColumn("p", F.monotonically_increasing_id()), "points")
+    forget(sets)
+    names = written(points.select("p", "rep", *key), "names")
+    joiner = Joiner(source, names.select("p", "rep", "f1"), k, share)
+    member = written(filled.join(names.drop("rep"), key).select("doc_id", "n", "p"), "member")
     # rows with one id are one node, whatever their texts
-    member = filled.select("doc_id", *key).join(classes, key).select("doc_id", "rep")
-    tied = member.where("doc_id <> rep").join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    joiner.link(tied.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    joiner.join(points, np.zeros(0, dtype=np.int64))
-    labels = joiner.labelled(classes, "rep", "component_id").select(*key, "component_id")
-    linked = filled.select("doc_id", *key).join(labels, key).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = sets.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return linked.union(alone).withColumn("n_shingles", F.col("n_shingles").cast("long"))
+    several = member.groupBy("doc_id").agg(F.min("p").alias("a"), F.max("p").alias("z")).where("a <> z").drop("z")
+    several = written(several, "several")
+    joiner.link(written(member.join(sent(several), "doc_id").where("p <> a").select("a", F.col("p").alias("b")).distinct(), "ties"))
+
+    candidates, crowded = joiner.meet(points.select("p", "n", "anchors"))
+    if crowded.limit(1).count():
+        again = joiner.anew(crowded, *joiner.late_shingles(crowded))
+        more, families = joiner.meet(again)
+        both = written(candidates.union(more).distinct(), "candidates")
+        forget(candidates, more, points)
+        joiner.verify(both)
+        if families.limit(1).count():
+            joiner.families(again, families)
+        forget(both, again, families)
+    else:
+        joiner.verify(candidates)
+        forget(candidates, points)
+    forget(crowded)
+
+    labels = joiner.labelled(names.select("p", "rep"))
+    least = written(labels.groupBy("label").agg(F.min("rep").alias("component_id")), "least")
+    of_point = written(labels.join(sent(least), "label").select("p", "component_id"), "of-point")
+    linked = member.join(sent(of_point), "p").select("doc_id", "n", "component_id")
+    alone = rows.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    return linked.union(alone).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame, doc: str = "doc_id", **options) -> DataFrame:
     """``docs`` without those that a smaller id of their component stands for, with all their columns."""
-    dropped = joined(docs, doc, **options).where("component_id <> doc_id").select(F.col("doc_id").alias("dropped_id_")).distinct()
-    return docs.join(dropped, F.col(doc) == F.col("dropped_id_"), "left_anti")
+    found = joined(docs, doc, **options)
+    kept = without(docs, found.where("component_id <> doc_id").select("doc_id"), doc)
+    forget(found)
+    return kept

@@ -60,13 +60,40 @@ def crowded(seed, n):
     return rows
 
 
-def test_join_equals_brute_force_on_crowded_regions(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "SMALL_REGION", 2)
-    rows = crowded(1, 120)
+@pytest.mark.parametrize("region, seed", [(2, 1), (2, 2), (6, 3), (32, 4)])
+def test_join_equals_brute_force_on_crowded_regions(spark, monkeypatch, region, seed):
+    for name, value in (("REGION", region), ("PICKS", 3), ("REPEATS", 2), ("PIVOTS", 2), ("CELL_ROWS", 8)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rows = crowded(seed, 120)
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.joined(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found == brute_components(rows)
 
 
+def test_families_are_joined_exactly(spark, monkeypatch):
+    """Near copies at all distances from each other around several texts, so that regions split and windows matter."""
+    for name, value in (("REGION", 3), ("PIVOTS", 2), ("BROADCAST_ROWS", 0)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rng = random.Random(9)
+    bases = [[f"v{rng.randrange(80)}" for _ in range(40)] for _ in range(2)]
+    rows = []
+    for i in range(90):
+        words = list(bases[i % 2])
+        for _ in range(rng.randrange(5)):
+            at = rng.randrange(len(words))
+            words[at : at + rng.randrange(3)] = [f"v{rng.randrange(80)}" for _ in range(rng.randrange(3))]
+        rows.append((i, " ".join(words)))
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.joined(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    expected = brute_components(rows)
+    assert found == expected and 3 < len({c for _, c in expected.values()}) < 80
+
+
+def test_rows_of_one_id_are_one_node(spark):
+    one, two = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(7, one), (7, two), (7, one), (3, one), (9, two + " more"), (5, "alone"), (2, " ".join(f"c{i}" for i in range(9)))]
+    found = sorted((r.doc_id, r.component_id) for r in jaccard_join.joined(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert found == [(2, 2), (3, 3), (5, 5), (7, 3), (7, 3), (7, 3), (9, 3)]
+
+
 def test_join_of_odd_rows(spark, docs, no_docs):
     found = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.joined(docs).collect()), key=str)
     assert len(found) == docs.count()
