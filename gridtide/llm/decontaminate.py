@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from .common import without
 from .hashing import WordHasher, chunks, grams
 
 MIN_MATCH = 5
@@ -224,6 +225,5 @@ def _chunk(index: Index, hasher: WordHasher, ids: list, texts: list, min_coverag
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", **options) -> DataFrame:
-    """The documents that cover no benchmark item, with all their columns."""
-    bad = contaminated(docs, benchmark, doc=doc, **options).select(F.col("doc_id").alias("bad_id_")).distinct()
-    return docs.join(bad, F.col(doc).eqNullSafe(F.col("bad_id_")), "left_anti")
+    """The documents that cover no benchmark item, with all their columns; rows without an id stay."""
+    return without(docs, contaminated(docs, benchmark, doc=doc, **options).select("doc_id"), doc)

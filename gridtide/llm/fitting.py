@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import is_held_out
+from .common import is_held_out, written
 
 #: Most labelled rows that a classifier is fitted on; which ones a hash of the id decides.
 FIT_ROWS = 20_000
@@ -14,9 +14,10 @@ FIT_ROWS = 20_000
 def fit_sample(
     docs: DataFrame, labels: DataFrame, label: str, fit_rows: int = FIT_ROWS, doc: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(doc_id, text, y) of at most ``fit_rows`` labelled ids outside the held-out fold.
+    """(doc_id, text, y) of at most ``fit_rows`` labelled ids outside the held-out fold, one row an id.
 
-    Ids labelled several times keep one label (the largest), ids without a label or without an id drop out.
+    Ids labelled several times keep one label (the largest), ids without a label or without an id drop out; of rows
+    that share an id the least text stays. The chosen ids, ``fit_rows`` at most, are sent to the texts.
     """
     chosen = (
         labels.where(F.col(label).isNotNull() & F.col(doc).isNotNull() & ~is_held_out(F.col(doc)))
@@ -26,7 +27,8 @@ def fit_sample(
         .limit(fit_rows)
     )
     rows = docs.select(F.col(doc).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.join(chosen, F.col("doc_id") == F.col("id_")).drop("id_")
+    met = rows.join(F.broadcast(written(chosen, "chosen")), F.col("doc_id") == F.col("id_"))
+    return met.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

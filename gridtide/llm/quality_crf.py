@@ -22,14 +22,15 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import is_held_out
+from .common import forget, is_held_out, written
 from .fitting import Adam, fit_sample, logistic, sigmoid
 
-FIT_ROWS = 4000
-#: Longest text, in characters, that the fit takes from the sample; scoring has no such limit.
-FIT_CHARS = 20_000
+#: Bounds of the fitting sample: documents, and the lines and characters of all of them together.
+FIT_ROWS, FIT_LINES, FIT_CHARS = 4000, 400_000, 40_000_000
+#: Longer documents are fitted as several chains of so many lines, so that a step over all chains stays long and steps few.
+CHAIN = 256
 SYMBOLS = re.compile(r"[#*$%&|<>{}\[\]\\^~_=+]")
 DIGITS = re.compile(r"\d")
 UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]")
@@ -158,25 +159,63 @@ class Crf:
             self.edge = self.edge - move[N_FEATURES:].reshape(2, 2)
 
 
-def badness(lines: Lines, bad: np.ndarray) -> np.ndarray:
-    """Share of each document's characters that stand in bad lines, by expectation; 0 without lines."""
-    n = len(lines.n)
-    weight = np.bincount(lines.doc, lines.size, minlength=n)
-    return np.bincount(lines.doc, lines.size * bad, minlength=n) / np.maximum(weight, 1.0)
+def badness(of: np.ndarray, size: np.ndarray, bad: np.ndarray, n: int) -> np.ndarray:
+    """Share of the characters of each of ``n`` documents that stand in bad lines, by expectation; 0 without lines.
+
+    ``of`` says which document a line is from, ``size`` how long it is, ``bad`` how likely it is bad.
+    """
+    weight = np.bincount(of, size, minlength=n)
+    return np.bincount(of, size * bad, minlength=n) / np.maximum(weight, 1.0)
+
+
+def bounded(sample: DataFrame, fit_lines: int = FIT_LINES, fit_chars: int = FIT_CHARS) -> pd.DataFrame:
+    """The sampled documents that the fit takes, whole: in hash order, each that still fits the budgets of lines and
+    characters. If a label has none that fits, its shortest document is taken."""
+    n_lines = F.size(F.split("text", "\n", -1))
+    sizes = sample.select("doc_id", "y", n_lines.alias("lines"), F.length("text").alias("chars"), F.xxhash64("doc_id").alias("h")).toPandas()
+    lines, chars, taken = fit_lines, fit_chars, []
+    for r in sizes.sort_values(["h", "doc_id"]).itertuples():
+        if r.lines <= lines and r.chars <= chars:
+            lines, chars = lines - r.lines, chars - r.chars
+            taken.append(r.doc_id)
+    for label in (0, 1):
+        of_label = sizes[sizes["y"] == label]
+        if len(of_label) and not of_label["doc_id"].isin(taken).any():
+            taken.append(of_label.sort_values(["chars", "doc_id"])["doc_id"].iloc[0])
+    spark = sample.sparkSession
+    key = T.StructType([T.StructField("taken_id", sample.schema["doc_id"].dataType)])
+    ids = spark.createDataFrame([(i.item() if hasattr(i, "item") else i,) for i in taken], key)
+    found = sample.join(F.broadcast(ids), F.col("doc_id") == F.col("taken_id")).drop("taken_id").toPandas()
+    return found.sort_values(["doc_id", "text"], ignore_index=True)
+
+
+
+
+def chains(texts: Sequence[str]) -> tuple[list[str], np.ndarray]:
+    """The texts cut into chains of ``CHAIN`` lines, and the number of the text that each chain is from."""
+    pieces, owner = [], []
+    for i, text in enumerate(texts):
+        lines = text.split("\n")
+        for at in range(0, len(lines), CHAIN):
+            pieces.append("\n".join(lines[at : at + CHAIN]))
+            owner.append(i)
+    return pieces, np.array(owner, dtype=np.int64)
 
 
 def train(texts: Sequence[str], good: np.ndarray, rounds: int = 3) -> tuple[Crf, np.ndarray]:
     """The field, and the weights of the curve from badness to score."""
-    lines, crf = Lines(texts), Crf()
-    bad_doc = (good == 0)[lines.doc]
+    pieces, owner = chains(texts)
+    lines, crf = Lines(pieces), Crf()
+    of = owner[lines.doc]
+    bad_doc = (good == 0)[of]
     bad = bad_doc.astype(float)
     for _ in range(rounds):
         crf.fit(lines, bad)
         p = crf.marginals(lines)
-        worst = np.zeros(len(lines.n))
-        np.maximum.at(worst, lines.doc, p)
-        bad = (bad_doc & ((p >= 0.5) | (p >= worst[lines.doc]))).astype(float)
-    return crf, curve(badness(lines, crf.marginals(lines)), good)
+        worst = np.zeros(len(texts))
+        np.maximum.at(worst, of, p)
+        bad = (bad_doc & ((p >= 0.5) | (p >= worst[of]))).astype(float)
+    return crf, curve(badness(of, lines.size, crf.marginals(lines), len(texts)), good)
 
 
 def curve(bad: np.ndarray, good: np.ndarray) -> np.ndarray:
@@ -189,8 +228,9 @@ def scored(
     fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted (1 from 0.3 on), badness, n_lines."""
-    sample = fit_sample(docs, labels, label, fit_rows, doc, text).where(F.length("text") <= FIT_CHARS).toPandas()
-    sample = sample.sort_values(["doc_id", "text"], ignore_index=True)
+    chosen = written(fit_sample(docs, labels, label, fit_rows, doc, text), "fit-sample")
+    sample = bounded(chosen)
+    forget(chosen)
     good = sample["y"].to_numpy(dtype=int) if len(sample) else np.zeros(0, dtype=int)
     if 0 < good.sum() < len(good):
         crf, weights = train(sample["text"].tolist(), good)
@@ -202,7 +242,7 @@ def scored(
     def score(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             lines = Lines(batch["text"].tolist())
-            bad = badness(lines, crf.marginals(lines))
+            bad = badness(lines.doc, lines.size, crf.marginals(lines), len(lines.n))
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"],

@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import is_held_out, written
+from .common import forget, is_held_out, without, written
 from .fitting import FIT_ROWS, fit_sample, logistic, sigmoid
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -239,18 +239,20 @@ def scored(
         seen.select("doc_id", "votes").join(said, F.col("doc_id") == F.col("said_id"), "left")
         .groupBy("votes", F.coalesce("said", F.lit(-1)).alias("said")).agg(F.count("*").alias("n")).toPandas()
     )
-    known = sample.agg(F.coalesce(F.sum("y"), F.lit(0)), F.count("*")).first()
-    share = (known[0] + 1.0) / (known[1] + 20.0)
+    positive = sample.agg(F.coalesce(F.sum("y"), F.lit(0)), F.count("*")).first()
+    share = (positive[0] + 1.0) / (positive[1] + 20.0)
     if cues and len(patterns):
         votes, spoke = spread(patterns["votes"].to_numpy(), patterns["said"].to_numpy())
         model = fit_label_model(votes, spoke, patterns["n"].to_numpy(dtype=float), share)
-        fit = seen.join(sample.select("doc_id", "y"), "doc_id").toPandas()
+        known = sample.select(F.col("doc_id").alias("known_id"), "y")
+        fit = look_all(sample, cues, "doc_id", "text").join(known, F.col("doc_id") == F.col("known_id")).toPandas()
         votes, spoke = spread(fit["votes"].to_numpy(), fit["y"].to_numpy())
         x = sparse(fit["cue"].tolist(), fit["n"].tolist(), fit["n_words"].tolist(), len(cues))
         weights = logistic(*x, model.posterior(votes, spoke), 2 * len(cues))
     else:
         model, weights = None, np.array([math.log(share / (1 - share))])
     n_cues = len(cues)
+    forget(sample)
 
     def score(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -272,5 +274,7 @@ def scored(
 
 def accepted(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", **options) -> DataFrame:
     """``docs`` without those predicted toxic; rows with one id share its fate, rows without an id stay."""
-    bad = scored(docs, labels, doc=doc, **options).where("predicted = 1").select(F.col("doc_id").alias("bad_id_")).distinct()
-    return docs.join(bad, F.col(doc) == F.col("bad_id_"), "left_anti")
+    judged = scored(docs, labels, doc=doc, **options)
+    kept = without(docs, judged.where("predicted = 1").select("doc_id"), doc)
+    forget(judged)
+    return kept
