@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gridtide.llm import decontaminate, jaccard_join, mixing, queries, token_output, toxicity
-from gridtide.llm.common import table, written
+from gridtide.llm.common import forget, table, written
 
 MIX_FRACTION = 0.9
 #: Near copies of the stage share 80 % of their five-word shingles; the values of jaccard_join are those of op3.
@@ -53,5 +53,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        before, docs = docs, written(stage(spark, docs, sf_dir), name)
+        forget(before)  # a no-op for the given table
     return docs
