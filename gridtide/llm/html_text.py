@@ -4,7 +4,7 @@ The page is parsed into a tree with the end tags that HTML leaves out. Parts tha
 styles, buttons, fields. Tags such as nav, footer and form, and names of class, id and role such as "comments" or
 "sidebar", are hints at parts outside the article, which the page has to confirm: a hinted part goes only if it holds no
 <article> or <main> and no large share of the page's text outside links; ambiguous names need many links as well, or a
-small container outside any <article>. On the rest, every node gets a composite text density: characters per tag, weighed down
+small container outside any <article>; readers' comments go whatever their size where other text remains. On the rest, every node gets a composite text density: characters per tag, weighed down
 by the share of link characters and link tags against the share in the whole body. A node's density sum adds the
 densities of its children. The node with the largest density sum is the centre of the article; the least density on
 its path to the body is the threshold, and the topmost nodes that reach the threshold and lie on or beside that path
@@ -79,10 +79,16 @@ FRAME = frozenset("area bar block box container inner item items list section si
 #: ambiguous.
 ARTICLE_WORDS = frozenset("article post entry content story body main".split())
 WORDS = re.compile(r"[a-z]+")
-#: Strength of a hint: none, ambiguous name, form tag, clear name or tag.
-NONE, MAYBE, FORM, CLEAR = range(4)
+#: Those of the names above that mean what readers say.
+REMARK_WORDS = frozenset("comment comments disqus respond replies".split())
+#: Strength of a hint: none, ambiguous name, form tag, clear name or tag, name of readers' comments.
+NONE, MAYBE, FORM, CLEAR, REMARKS = range(5)
 #: Shares of the page's text outside links above which a hinted part stays.
-LARGE = {MAYBE: 0.1, FORM: 0.1, CLEAR: 0.5}
+LARGE = {MAYBE: 0.1, FORM: 0.1, CLEAR: 0.5, REMARKS: 0.5}
+#: Text outside hinted parts, headings and links beside which comments go however long they are: so many characters,
+#: and this share of the comments'. Beside any such text they go if they are mostly a list of items built alike.
+REST_CHARS, REST_SHARE = 40, 0.01
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Share of link characters from which an ambiguous name is confirmed.
 LINKED = 1 / 3
 #: Elements that an ambiguous name alone can take out, if they are small and stand outside any <article>.
@@ -110,6 +116,8 @@ class Node:
 
 def named_outside(name: str) -> int:
     """The hint of one name of a class, id or role."""
+    if name in REMARK_WORDS:
+        return REMARKS
     if name in OUTSIDE:
         return CLEAR
     if name in AMBIGUOUS:
@@ -117,6 +125,8 @@ def named_outside(name: str) -> int:
     words = [w for w in WORDS.findall(name) if w not in FRAME]
     if not words or not all(w in OUTSIDE or w in AMBIGUOUS for w in words):
         return NONE
+    if not REMARK_WORDS.isdisjoint(words):
+        return REMARKS
     return CLEAR if any(w in OUTSIDE for w in words) else MAYBE
 
 
@@ -263,21 +273,56 @@ def without_outside(root: Node) -> None:
             held[id(node)] = node.chars - node.link_chars
         elif inside:
             held[id(node)] = sum(inside)
+    rest = text_elsewhere(root, held)
     stack = [root]
     while stack:
         node = stack.pop()
-        gone = {id(c) for c in node.children() if c.hint and id(c) not in held and is_outside(c, plain, held.get(id(root), 0))}
+        gone = {
+            id(c) for c in node.children() if c.hint and id(c) not in held and is_outside(c, plain, held.get(id(root), 0), rest)
+        }
         if gone:
             node.parts = [p for p in node.parts if id(p) not in gone]
         stack.extend(node.children())
 
 
-def is_outside(node: Node, page_plain: int, article_plain: int) -> bool:
-    """Whether a hinted part without <article> or <main> lies outside the article."""
+def text_elsewhere(root: Node, held: dict[int, int]) -> int:
+    """Characters outside links, headings, and clearly hinted parts that hold no <article> or <main>."""
+    total, stack = 0, [root]
+    while stack:
+        node = stack.pop()
+        if node.tag in LINKS or node.tag in HEADINGS or (node.hint >= CLEAR and id(node) not in held):
+            continue
+        total += sum(len("".join(p.split())) for p in node.parts if type(p) is str)
+        stack.extend(node.children())
+    return total
+
+
+def is_list(node: Node) -> bool:
+    """Whether at least half of a part's text stands in neighbouring elements of one tag that hold the same tags."""
+    stack = [node]
+    while stack:
+        parent = stack.pop()
+        groups: Counter = Counter()
+        alike: Counter = Counter()
+        for child in parent.children():
+            inner = tuple(c.tag for c in child.children())[:4]
+            if inner and child.tag != "p":
+                groups[child.tag, inner[0]] += child.chars
+                alike[child.tag, inner[0]] += 1
+        if any(2 * chars >= node.chars and alike[key] > 1 for key, chars in groups.items()):
+            return True
+        stack.extend(c for c in parent.children() if 2 * c.chars >= node.chars)
+    return False
+
+
+def is_outside(node: Node, page_plain: int, article_plain: int, rest: int) -> bool:
+    """Whether a hinted part without <article> or <main> lies outside the article; ``rest``: see ``text_elsewhere``."""
     plain = node.chars - node.link_chars
+    if node.hint == REMARKS and rest and (rest >= max(REST_CHARS, REST_SHARE * plain) or is_list(node)):
+        return True
     if plain > LARGE[node.hint] * page_plain:
         least = min(ARTICLE_CHARS, page_plain / 4) if plain > ARTICLE_CHARS else 1
-        if node.hint != CLEAR or node.in_article or article_plain < least:
+        if node.hint < CLEAR or node.in_article or article_plain < least:
             return False
     if node.hint != MAYBE or node.link_chars >= LINKED * node.chars:
         return True
@@ -326,13 +371,26 @@ def selected(root: Node) -> set[int]:
     while walk is not None and walk.tag != "article":
         walk = walk.parent
     best = walk or best
-    out, walk = {id(best)}, best
+    out, walk = {id(best)} | lone_title(order, best), best
     while walk is not outer and walk.parent is not None:  # what stands beside the path and is as dense
         out.update(id(c) for c in walk.parent.children() if c is not walk and c.density >= threshold)
         walk = walk.parent
     return out
 
 
+def lone_title(order: list[Node], best: Node) -> set[int]:
+    """The page's only <h1>, if it has text, stands before the article and neither it nor what holds it is hinted."""
+    titles = [n for n in order if n.tag == "h1" and n.chars > n.link_chars]
+    if len(titles) != 1 or order.index(titles[0]) > order.index(best) or best.in_article:
+        return set()
+    walk = titles[0]
+    while walk is not None:
+        if walk.hint or walk is best:
+            return set()
+        walk = walk.parent
+    return {id(titles[0])}
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, joined by two line ends."""
     if not page:

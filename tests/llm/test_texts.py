@@ -50,6 +50,37 @@ def test_names_alone_cut_no_article():
     assert main_text("<article><h1>Short</h1></article><footer>A footer that is longer than the article</footer>") == "Short"
 
 
+def remarks(n, tag="div", words=12):
+    return "".join(f"<{tag} class=c><b>Reader {i}</b><p>{'I do not agree with this at all. ' * (words // 6)}</p></{tag}>" for i in range(n))
+
+
+def test_comments_go_whatever_their_size():
+    text = SAID.strip()
+    short = "A notice of a few words that says what it has to say."
+    for n in (1, 5, 8, 20, 60):
+        for page in (
+            f'<article><p>{SAID}</p><section id="comments"><h3>Comments</h3>{remarks(n)}</section></article>',
+            f'<article><p>{SAID}</p></article><section id="comments">{remarks(n)}</section>',
+            f'<div class="post"><p>{SAID}</p></div><div class="comments">{remarks(n, "li")}</div>',
+            f'<div class="post"><p>{SAID}</p><ol class="comment-list">{remarks(n, "li")}</ol></div>',
+            f'<main><p>{SAID}</p><div id="disqus">{remarks(n)}</div></main>',
+        ):
+            assert main_text(page) == text, page[:200]
+        page = f'<article><p>{short}</p></article><div class="comments">{remarks(n, words=60)}</div>'
+        assert main_text(page) == short
+    plain = "".join(f"<p>{'I do not agree with this. ' * 8}</p>" for _ in range(20))
+    assert main_text(f'<article><p>{short}</p></article><div class="comments">{plain}</div>') == short
+    # the only text of the page stands in what is named like comments
+    assert main_text(f'<nav><a href=x>Home</a></nav><div id="comments"><p>{SAID}</p></div>') == text
+    assert main_text(f'<h1>Head</h1><div id="respond"><p>{SAID}</p></div>').endswith(text)
+
+
+def test_a_lone_title_beside_the_text_stays():
+    text = SAID.strip()
+    assert main_text(f'<body><h1>The title</h1><div class="text"><p>{SAID}</p><p>{SAID}</p></div></body>') == f"The title\n\n{text}\n\n{text}"
+    assert main_text(f'<body><header><h1>Site</h1></header><div><p>{SAID}</p><p>{SAID}</p></div></body>') == f"{text}\n\n{text}"
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="<>/pdiv abc&;\"'=!-\n", max_size=80))
 def test_never_fails(page):
