@@ -61,11 +61,6 @@ def forget(*tables: DataFrame | None) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def compact(df: DataFrame, rows: int = 50_000) -> DataFrame:
-    """A written table in one partition if it is small, so that what follows needs no shuffle for it; else as it is."""
-    return df.coalesce(1) if df.count() <= rows else df
-
-
 #: Most ids that are sent to every executor to drop rows by; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 

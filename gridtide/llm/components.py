@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import compact, forget, written
+from .common import forget, written
+
+#: Edges, two numbers each, that one task takes whole, so that no round on them needs a shuffle.
+FEW_EDGES = 50_000
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -22,17 +25,24 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
+def _settled(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges written, in one partition if they are few, and a mark of what they are."""
+    edges = written(edges, "edges")
+    mark = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    return (edges.coalesce(1) if mark[0] <= FEW_EDGES else edges), tuple(mark)
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, component) of all nodes with a link; the component is its least node. ``links`` has columns a, b."""
-    edges = compact(written(links.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "edges"))
-    mark = None
-    while True:
-        last = edges
-        edges = compact(written(_small_star(_large_star(last).where("u <> v").distinct()), "edges"))
+    """(node, component) of all nodes with a link; the component is its least node. ``links`` has columns a, b.
+
+    A link of a node to itself counts for nothing, as do links with a null end; no link gives no row.
+    """
+    edges, mark = _settled(links.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
+    while mark[0]:
+        last, before = edges, mark
+        edges, mark = _settled(_small_star(_large_star(last).where("u <> v").distinct()))
         forget(last)
-        found = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if found == mark:
+        if mark == before:
             break
-        mark = found
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.union(edges.select(F.col("v"), F.col("v")).distinct())

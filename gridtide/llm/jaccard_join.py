@@ -22,7 +22,7 @@ made of common shingles nearly throughout: true families of near copies.
 to those within EPS, and belongs to the nearest one. It is copied to another pivot's region only where the triangle
 inequality lets a member of that region be within EPS of it: at most 2 EPS further away than its nearest pivot. In a
 region members of the pivot's component that are too near the pivot to reach a member of another component are dropped,
-and regions of one component are done. A region that is still crowded is joined by pivots of its own; in the others,
+and regions of one component are done. A region that is still large is joined by pivots of its own; in the others,
 members outside the largest component meet the others, where distances to the pivot and certain differences allow a link.
 
 Every pair that passes is compared by its whole sets: members travel to their pivot, which is copied to as many tasks as
@@ -56,12 +56,12 @@ REGION = 32
 PICKS, REPEATS = 8, 3
 #: Shingles that can be moved to the end of the order; the most frequent ones are taken. The order never changes a result.
 LATE_SHINGLES = 2_000_000
-#: Pivots of a family, how often its regions are split, and the members of other components that a region may then have.
-PIVOTS, SPLITS = 4, 3
-#: Rows that are sent to every executor; more are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Pivots of a family, and how often regions of more than ``CELL_ROWS`` members are split.
+PIVOTS, SPLITS = 4, 4
 #: Members compared with one copy of their pivot.
 CELL_ROWS = 4_096
+#: Written bytes of a table that is sent to every executor; larger ones are joined by shuffle.
+SENT_BYTES = 16_000_000
 LATE = 1 << 62
 
 
@@ -127,8 +127,9 @@ def described(docs: DataFrame, k: int, share: int, late: np.ndarray, rank: np.nd
 
 
 def sent(table: DataFrame) -> DataFrame:
-    """A written table for the small side of a join: sent to all executors if it is small enough."""
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+    """A written table for the small side of a join: sent to all executors if its files are small enough."""
+    size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return F.broadcast(table) if size <= SENT_BYTES else table
 
 
 class Joiner:
@@ -316,7 +317,7 @@ class Joiner:
             last, rows = rows, self.split(rows, split)
             forget(last)
             sizes = rows.groupBy("cell").agg(F.count("*").alias("size"))
-            if not sizes.where(F.col("size") > REGION).limit(1).count():
+            if not sizes.where(F.col("size") > CELL_ROWS).limit(1).count():
                 break
         rows = self.contested(rows)
         self.last_pairs(rows)

@@ -6,10 +6,9 @@ from pyspark.sql import functions as F
 from gridtide.llm import common
 
 
-def test_written_compact_and_forgotten(spark):
+def test_written_and_forgotten(spark):
     df = common.written(spark.range(10).withColumn("k", F.col("id") % 3).groupBy("k").count(), "t")
-    assert df.count() == 3 and common.compact(df).rdd.getNumPartitions() == 1
-    assert common.compact(df, rows=2) is df
+    assert df.count() == 3
     common.forget(df, None, spark.range(3))
     with pytest.raises(Exception, match="exist|NOT_FOUND|FILE"):
         df.collect()
@@ -25,3 +24,11 @@ def test_words_and_folds(spark):
 def test_bind_computes_once(spark):
     out = spark.range(1).select(common.bind(F.rand(), lambda x: x - x)).first()[0]
     assert out == 0.0
+
+
+def test_rows_without_an_id_are_never_dropped(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (2, "d")], "doc_id long, text string")
+    ids = spark.createDataFrame([(2,), (2,), (None,), (9,)], "some long")
+    for most in (common.BROADCAST_IDS, 0):
+        monkeypatch.setattr(common, "BROADCAST_IDS", most)
+        assert sorted(r.text for r in common.without(docs, ids).collect()) == ["a", "c"]

@@ -71,7 +71,7 @@ def test_join_equals_brute_force_on_crowded_regions(spark, monkeypatch, region,
 
 def test_families_are_joined_exactly(spark, monkeypatch):
     """Near copies at all distances from each other around several texts, so that regions split and windows matter."""
-    for name, value in (("REGION", 3), ("PIVOTS", 2), ("BROADCAST_ROWS", 0)):
+    for name, value in (("REGION", 3), ("PIVOTS", 2), ("SENT_BYTES", 0), ("CELL_ROWS", 8)):
         monkeypatch.setattr(jaccard_join, name, value)
     rng = random.Random(9)
     bases = [[f"v{rng.randrange(80)}" for _ in range(40)] for _ in range(2)]
@@ -114,6 +114,9 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(1, 30)] + [(100, i) for i in range(101, 120)]
     found = dict(map(tuple, components.components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert found == {i: 1 for i in range(1, 31)} | {i: 100 for i in range(100, 120)}
+    odd = spark.createDataFrame([(1, 1), (None, 2), (3, None), (5, 4), (4, 5)], "a long, b long")
+    assert sorted(map(tuple, components.components(odd).collect())) == [(4, 4), (5, 4)]
+    assert components.components(odd.limit(0)).collect() == []
 
 
 def test_tiles_are_common_runs_and_find_moved_sentences():
@@ -175,14 +178,21 @@ def fill(budget, nodes):
     return got
 
 
-@pytest.mark.parametrize("fraction,max_epochs", [(0.5, 1), (1.0, 1), (0.9, 2)])
-def test_mix_equals_brute_force(spark, small, fraction, max_epochs, monkeypatch):
+STATED = (queries.MIX_DOMAINS, queries.MIX_LANGS)
+
+
+@pytest.mark.parametrize("fraction,max_epochs,stated", [(0.5, 1, None), (1.0, 1, None), (0.9, 2, STATED), (0.4, 1, ({"src": 5.0}, {"en": 0.0, "no": 9.0}))])
+def test_mix_equals_brute_force(spark, small, fraction, max_epochs, stated, monkeypatch):
     monkeypatch.setattr(mixing, "SMALL_CELL", 3)
     docs = table(spark, small, "documents")
     rows = mixing.measured(docs).collect()
     found = defaultdict(set)
-    for r in mixing.mix(docs, fraction=fraction, max_epochs=max_epochs, seed=7).collect():
+    for r in mixing.mix(docs, fraction=fraction, max_epochs=max_epochs, seed=7, stated=stated).collect():
         found[r.epoch].add(r.doc_id)
+
+    def weight(path):
+        return stated[len(path) - 1].get(path[-1], 1.0) if stated and len(path) < 3 else 1.0
+
     leaves = defaultdict(list)
     for r in rows:
         leaves[r.leaf_domain, r.leaf_lang, r.leaf_source].append((r.id_, r.n_tokens))
@@ -193,7 +203,7 @@ def test_mix_equals_brute_force(spark, small, fraction, max_epochs, monkeypatch)
     for depth in range(3):
         for path in [p for p in budget if len(p) == depth]:
             children = {k[: depth + 1] for k in leaves if k[:depth] == path}
-            budget |= fill(budget[path], {c: (1.0, capacity(c)) for c in children})
+            budget |= fill(budget[path], {c: (weight(c), capacity(c)) for c in children})
     expected = defaultdict(set)
     for leaf, members in leaves.items():
         full = min(int(budget[leaf] / size[leaf] + 1e-9), max_epochs) if size[leaf] else 1
@@ -214,7 +224,17 @@ def test_mix_of_odd_rows_and_weights(spark, docs, no_docs):
     weights = spark.createDataFrame([(["src"], 1.0), (["src", "en"], 1.0), (["src", "en", "src1"], 1.0)], "path array<string>, weight double")
     others = mixing.mix(docs, fraction=0.01, weights=weights).where("lang <> 'en'")
     assert {r.doc_id for r in others.collect()} == {4, 5}  # their leaf has no tokens, so it costs nothing
-    assert mixing.mix(no_docs).count() == 0
+    assert mixing.mix(no_docs).count() == 0 and mixing.mix(no_docs, stated=STATED).count() == 0
+    assert mixing.mix(docs, fraction=1.0, stated=({"nowhere": 2.0}, {})).count() >= docs.where("text is not null").count() - 3
+
+
+def test_leaves_are_filled_to_their_budgets(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = mixing.measured(docs)
+    plan = mixing.leaf_plan(rows, 0.5, mixing.weight_table(rows, *STATED), 1, 7)
+    for r in mixing.filled(rows, plan, 7).collect():
+        assert r.budget - 1e-6 <= r.taken <= r.tokens or r.taken - r.budget < 30_000
+        assert r.taken >= min(r.budget, r.tokens) - 1e-6
 
 
 def test_shards_fit_their_limit(spark, docs, no_docs):
