@@ -42,8 +42,13 @@ from .hashing import BASE, STEP, chunks, mix
 
 END = 2
 FIRST = 49408
-SHARD_TOKENS = 4_000_000
-PART_CHARS = 72_000_000
+#: Ids of a shard, about: compressing one takes some fifty bytes an id. Characters of a task.
+SHARD_TOKENS = 1_000_000
+PART_CHARS = 24_000_000
+#: Distinct runs whose ids a task remembers; then it forgets them all and learns anew.
+CACHE_RUNS = 300_000
+#: Parts whose starts are summed in one task at a time.
+PART_BLOCK = 1_000
 RULES_A_ROUND = 4000
 MIN_COUNT = 8
 RARE = re.compile("[^\\u0000-\\u2fff]")
@@ -73,6 +78,10 @@ class Encoder:
         self.powers = np.cumprod(steps)
         steps[1:] = pow(BASE, -1, 1 << 64)
         self.inverse = np.cumprod(steps)
+        self.forget()
+
+    def forget(self) -> None:
+        """Empties the cache of runs."""
         self.slot: dict[int, int] = {}
         self.flat, self.size, self.start, self.n_flat = [], [], [], 0
 
@@ -141,6 +150,8 @@ class Encoder:
             (plain if ordinary else whole).append(n)
         lowered = [(texts[n] or "").lower() for n in plain]
         for a, b in chunks(lowered):
+            if len(self.slot) > CACHE_RUNS:
+                self.forget()
             ids, bounds = self._by_runs(lowered[a:b])
             for n, low, high in zip(plain[a:b], bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 out[n] = ids[low:high]
@@ -164,7 +175,8 @@ def compress(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
             break
         pairs = (symbols[:-1] << np.uint32(16)) | symbols[1:]
         inside = ~last[:-1]
-        counted = np.sort(pairs[inside])
+        counted = pairs[inside]
+        counted.sort()
         edge = np.flatnonzero(np.concatenate(([True], counted[1:] != counted[:-1]))) if len(counted) else np.zeros(0, int)
         counts = np.diff(np.append(edge, len(counted)))
         often = np.flatnonzero(counts >= MIN_COUNT)
@@ -172,6 +184,7 @@ def compress(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
             break
         often = often[np.argsort(-counts[often], kind="stable")[:room]]
         chosen = np.sort(counted[edge[often]])
+        del counted, edge, counts
         maybe = np.zeros(1 << 20, dtype=bool)
         slot = lambda p: (p * np.uint32(0x9E3779B1)) >> np.uint32(12)
         maybe[slot(chosen)] = True
@@ -237,10 +250,15 @@ def encode_shards(
     docs: DataFrame, path: str, tokenizer: str, doc: str = "doc_id", text: str = "text",
     shard_tokens: int = SHARD_TOKENS, part_chars: int = PART_CHARS,
 ) -> None:
-    """Writes the documents as shards below ``path``."""
+    """Writes the documents as shards below ``path``.
+
+    Rows are dealt by id and place, so many rows with one id, or without any, are still spread over tasks.
+    """
     source = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
     total = source.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    dealt = source.repartitionByRange(max(1, -(-total // part_chars)), F.col("doc_id").asc_nulls_first())
+    order = [F.col("doc_id").asc_nulls_first(), F.col("place")]
+    placed = source.withColumn("place", F.monotonically_increasing_id())
+    dealt = placed.repartitionByRange(max(1, -(-total // part_chars)), *order)
 
     def shards(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
@@ -267,17 +285,30 @@ def encode_shards(
         if ids:
             yield row()
 
-    ordered = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    ordered = dealt.sortWithinPartitions(*order).select("doc_id", "text")
     ordered.mapInPandas(shards, SHARD).write.parquet(path)
 
 
+def shard_starts(shards: DataFrame) -> DataFrame:
+    """(part, seq, shard_start): the ids of all shards before each one.
+
+    Summed within parts, over the parts of a block, and over the blocks, so that no task sees all shards or all parts.
+    """
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    sums = shards.groupBy("part").agg(F.sum("n_tokens").alias("part_tokens")).withColumn("block", F.floor(F.col("part") / PART_BLOCK))
+    blocks = sums.groupBy("block").agg(F.sum("part_tokens").alias("block_tokens"))
+    blocks = blocks.select("block", F.coalesce(F.sum("block_tokens").over(before(Window.orderBy("block"))), F.lit(0)).alias("block_start"))
+    in_block = F.coalesce(F.sum("part_tokens").over(before(Window.partitionBy("block").orderBy("part"))), F.lit(0))
+    parts = sums.select("part", "block", in_block.alias("part_start")).join(blocks, "block")
+    in_part = F.coalesce(F.sum("n_tokens").over(before(Window.partitionBy("part").orderBy("seq"))), F.lit(0))
+    placed = shards.select("part", "seq", in_part.alias("start")).join(parts, "part")
+    return placed.select("part", "seq", (F.col("start") + F.col("part_start") + F.col("block_start")).alias("shard_start"))
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """Decodes every document: its place in the whole id sequence, its length and the checksum of its ids."""
     shards = spark.read.parquet(path)
-    place = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    starts = written(
-        shards.select("part", "seq", F.coalesce(F.sum("n_tokens").over(place), F.lit(0)).alias("shard_start")), "starts"
-    )
+    starts = written(shard_starts(shards.select("part", "seq", "n_tokens")), "starts")
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long, n_symbols long"
 
     def decode(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
