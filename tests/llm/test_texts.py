@@ -81,6 +81,19 @@ def test_a_lone_title_beside_the_text_stays():
     assert main_text(f'<body><header><h1>Site</h1></header><div><p>{SAID}</p><p>{SAID}</p></div></body>') == f"{text}\n\n{text}"
 
 
+def test_a_dear_rule_comes_after_a_cheap_one_that_rejects_as_much(spark):
+    body = " ".join(f"word{i}" for i in range(400))
+    texts = spark.createDataFrame([(i, body + (" zzz" if i % 2 else "")) for i in range(300)], "doc_id long, text string").repartition(3)
+    has = F.col("text").endswith("zzz")
+    dear = F.size(F.array_sort(F.split("text", ""))) > 0
+    rules = [quality_rules.Rule("dear", dear & has), quality_rules.Rule("cheap", has)]
+    found = {e.name: e for e in quality_rules.estimate(texts, rules)}
+    assert found["dear"].rejected == found["cheap"].rejected == 0.5
+    assert found["dear"].seconds > 5 * found["cheap"].seconds
+    assert [r.name for r in quality_rules.ordered(rules, list(found.values()))] == ["cheap", "dear"]
+    assert quality_rules.sampled(texts, "text", 100).count() == 100 and quality_rules.sampled(texts.limit(0), "text", 9).count() == 0
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="<>/pdiv abc&;\"'=!-\n", max_size=80))
 def test_never_fails(page):
