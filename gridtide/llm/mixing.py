@@ -25,7 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import WORD, written
+from .common import WORD, forget, written
 
 LEVELS = ("domain", "lang", "source")
 NULL_NODE = "␀"
@@ -129,6 +129,33 @@ def measured(docs: DataFrame, domain: Column | None = None, doc: str = "doc_id",
     )
 
 
+def weight_table(rows: DataFrame, domains: dict[str, float], langs: dict[str, float], other: float = 1.0) -> DataFrame:
+    """(path, weight) for every node of the measured rows: stated weights by domain and by language, ``other`` for names
+    that are not stated; sources of one domain and language weigh the same."""
+    levels = [f"leaf_{c}" for c in LEVELS]
+    nodes = rows.select(*levels).distinct()
+
+    def stated(column: str, weights: dict[str, float]) -> Column:
+        found = F.lit(float(other))
+        for name, weight in weights.items():
+            found = F.when(F.col(column) == name, F.lit(float(weight))).otherwise(found)
+        return found
+
+    of_level = [stated(levels[0], domains), stated(levels[1], langs), F.lit(1.0)]
+    tables = [
+        nodes.select(F.array(*levels[: depth + 1]).alias("path"), weight.alias("weight")).distinct()
+        for depth, weight in enumerate(of_level)
+    ]
+    return written(tables[0].union(tables[1]).union(tables[2]), "weights")
+
+
+def filled(rows: DataFrame, plan: DataFrame, seed: int, doc: str = "id_") -> DataFrame:
+    """Per leaf: its tokens, its budget, and the tokens that all epochs take of it."""
+    levels = [f"leaf_{c}" for c in LEVELS]
+    taken = chosen(rows, plan, seed, doc).groupBy(*levels).agg(F.sum("n_tokens").alias("taken"))
+    return plan.join(taken, levels, "left").select(*levels, "tokens", "budget", F.coalesce("taken", F.lit(0)).alias("taken"))
+
+
 def leaf_plan(
     rows: DataFrame, fraction: float, weights: DataFrame | None = None, max_epochs: int = 1, seed: int = 7
 ) -> DataFrame:
@@ -202,11 +229,17 @@ def mix(
     seed: int = 7,
     doc: str = "doc_id",
     text: str = "text",
+    stated: tuple[dict[str, float], dict[str, float]] | None = None,
 ) -> DataFrame:
     """``docs`` chosen to fill ``fraction`` of all tokens by weight, with ``epoch``.
 
-    ``weights`` has rows of (path: array of node names from the root, weight); without it siblings weigh the same.
+    ``weights`` has rows of (path: array of node names from the root, weight); without it siblings weigh the same, or
+    by the ``stated`` weights of domains and languages (see :func:`weight_table`).
     """
     columns = [c for c in docs.columns if c != "epoch"]
-    plan = leaf_plan(measured(docs, domain, doc, text), fraction, weights, max_epochs, seed)
+    rows = measured(docs, domain, doc, text)
+    if weights is None and stated is not None:
+        weights = weight_table(rows, *stated)
+    plan = leaf_plan(rows, fraction, weights, max_epochs, seed)
+    forget(rows)
     return chosen(docs.select(*columns), plan, seed, doc, leaf_columns(domain)).select(*columns, "epoch")

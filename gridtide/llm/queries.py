@@ -78,18 +78,26 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MIX_SEED = 7
+#: Target weights of the mixture, stated by domain and by language; names that stand in neither weigh 1.
+MIX_DOMAINS = {"src": 2.0, "src1": 1.0}
+MIX_LANGS = {"en": 4.0, "de": 2.0, "fr": 2.0, "es": 2.0}
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.measured(table(spark, sf_dir, "documents"))
-    plan = mixing.leaf_plan(rows, fraction=0.9, max_epochs=2, seed=MIX_SEED)
-    return mixing.chosen(rows, plan, MIX_SEED, "id_").select(
+    weights = mixing.weight_table(rows, MIX_DOMAINS, MIX_LANGS)
+    plan = mixing.leaf_plan(rows, fraction=0.9, weights=weights, max_epochs=2, seed=MIX_SEED)
+    taken = mixing.chosen(rows, plan, MIX_SEED, "id_")
+    levels = [f"leaf_{c}" for c in mixing.LEVELS]
+    budgets = plan.select(*levels, F.col("budget").alias("leaf_budget"))
+    return taken.join(budgets, levels).select(
         F.col("id_").alias("doc_id"),
         F.col("leaf_domain").alias("domain"),
         F.col("leaf_lang").alias("lang"),
         F.col("leaf_source").alias("source"),
         "epoch",
         "n_tokens",
+        "leaf_budget",
     )
 
 
