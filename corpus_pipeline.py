@@ -31,7 +31,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, fraction=MIX_FRACTION, max_epochs=1, seed=queries.MIX_SEED).drop("epoch")
+    stated = (queries.MIX_DOMAINS, queries.MIX_LANGS)
+    return mixing.mix(docs, fraction=MIX_FRACTION, max_epochs=1, seed=queries.MIX_SEED, stated=stated).drop("epoch")
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
