@@ -128,8 +128,8 @@ def described(docs: DataFrame, k: int, share: int, late: np.ndarray, rank: np.nd
 
 def sent(table: DataFrame) -> DataFrame:
     """A written table for the small side of a join: sent to all executors if its files are small enough."""
-    size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    return F.broadcast(table) if size <= SENT_BYTES else table
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(table) if int(size) <= SENT_BYTES else table
 
 
 class Joiner:
