@@ -18,7 +18,7 @@ order of the shingles: those that occur repeatedly among a few members of each c
 frequent the later. Texts that share a passage only then have other anchors. What still crowds are regions of points
 made of common shingles nearly throughout: true families of near copies.
 
-**Families** are joined by Voronoi regions. A few members become pivots, every member is compared with them and linked
+**Families** are joined by Voronoi regions. A few central members become pivots, every member is compared with them and linked
 to those within EPS, and belongs to the nearest one. It is copied to another pivot's region only where the triangle
 inequality lets a member of that region be within EPS of it: at most 2 EPS further away than its nearest pivot. In a
 region members of the pivot's component that are too near the pivot to reach a member of another component are dropped,
@@ -334,8 +334,9 @@ class Joiner:
     def split(self, rows: DataFrame, turn: int) -> DataFrame:
         """One step of the recursion: rows (cell, pivot, dist, ...) of the Voronoi regions of all cells' pivots."""
         held = self.contested(rows)
-        by_hash = Window.partitionBy("cell").orderBy(F.xxhash64("p", F.lit(turn)), "p")
-        pivots = held.select("cell", "p", "n").withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= PIVOTS)
+        # the members with the fewest shingles of their own stand in the middle, where most others are within reach
+        central = Window.partitionBy("cell").orderBy("alone", F.xxhash64("p", F.lit(turn)), "p")
+        pivots = held.select("cell", "p", "n", "alone").withColumn("place", F.row_number().over(central)).where(F.col("place") <= PIVOTS)
         pivots = written(pivots.select("cell", F.col("p").alias("a"), F.col("n").alias("na")), "pivots")
         members = held.drop("label", "major", "pivot", "dist").withColumnsRenamed({"p": "b", "n": "nb"})
         met = written(members.join(sent(pivots), "cell").where("a <> b"), "met")
