@@ -10,17 +10,17 @@ from .common import forget, written
 FEW_EDGES = 50_000
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, held) -> DataFrame:
     """Every larger neighbour of a node is tied to the least of the node and its neighbours."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = held(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, held) -> DataFrame:
     """A node and its smaller neighbours are tied to the least of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = held(down.groupBy("u").agg(F.min("v").alias("m")))
     moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
@@ -39,9 +39,17 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges, mark = _settled(links.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
     while mark[0]:
-        last, before = edges, mark
-        edges, mark = _settled(_small_star(_large_star(last).where("u <> v").distinct()))
-        forget(last)
+        last, before, tables = edges, mark, []
+
+        def held(least: DataFrame, many: bool = mark[0] > FEW_EDGES) -> DataFrame:
+            """Written where edges are many: a join with a written side can split a node that very many edges name."""
+            if not many:
+                return least
+            tables.append(written(least, "least"))
+            return tables[-1]
+
+        edges, mark = _settled(_small_star(_large_star(last, held).where("u <> v").distinct(), held))
+        forget(last, *tables)
         if mark == before:
             break
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -110,7 +110,9 @@ def test_join_on_the_small_table(spark, small):
     assert found == brute_components(rows)
 
 
-def test_components_of_a_chain_and_a_star(spark):
+@pytest.mark.parametrize("few", [50_000, 0])
+def test_components_of_a_chain_and_a_star(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW_EDGES", few)
     links = [(i, i + 1) for i in range(1, 30)] + [(100, i) for i in range(101, 120)]
     found = dict(map(tuple, components.components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert found == {i: 1 for i in range(1, 31)} | {i: 100 for i in range(100, 120)}
