@@ -42,9 +42,10 @@ from .hashing import BASE, STEP, chunks, mix
 
 END = 2
 FIRST = 49408
-#: Ids of a shard, about: compressing one takes some fifty bytes an id. Characters of a task.
+#: Ids of a shard, about: compressing one takes some fifty bytes an id. Characters of a task: each learns its runs anew,
+#: so smaller tasks cost more.
 SHARD_TOKENS = 1_000_000
-PART_CHARS = 24_000_000
+PART_CHARS = 72_000_000
 #: Distinct runs whose ids a task remembers; then it forgets them all and learns anew.
 CACHE_RUNS = 300_000
 #: Parts whose starts are summed in one task at a time.
