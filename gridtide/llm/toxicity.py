@@ -4,8 +4,9 @@ Cues are words and word beginnings that labelled toxic texts hold far more often
 lexicons; each lexicon votes when a text holds one of its cues, and pattern voters look at density, repetition, shouting
 and exclamations. A generative label model over the votes of all documents estimates, by expectation maximisation, how
 often each voter speaks in toxic and in other texts; voters that err together, by their correlation within the classes,
-share their weight. Annotators are one more voter, where they spoke outside the held-out fold. The posterior labels of
-the bounded fitting sample then train a linear classifier on the cues, which scores every text.
+share their weight. Annotators are one more voter, where they spoke outside the held-out fold. The posterior labels of a
+bounded sample of all documents outside that fold, most of them without a label, then train a linear classifier on the
+cues, which scores every text.
 
 Defined results: a null or empty text has no cue and scores the classifier's intercept; equal texts score equally; rows
 with one id are scored one by one; without labels of both kinds the score is the smoothed share of toxic labels; an
@@ -222,6 +223,14 @@ def sparse(cues: Sequence, counts: Sequence, n_words: Sequence, n_cues: int) ->
     return np.concatenate([rows, rows]), np.concatenate([column, column + n_cues]), np.concatenate([np.log1p(count), density])
 
 
+def fit_rows_of(seen: DataFrame, fit_rows: int) -> DataFrame:
+    """At most ``fit_rows`` looked-at rows, one an id, of all documents outside the held-out fold, in hash order."""
+    ids = seen.where(F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id"))).select(F.col("doc_id").alias("id_")).distinct()
+    ids = written(ids.orderBy(F.xxhash64("id_"), "id_").limit(fit_rows), "fit-ids")
+    one = seen.join(F.broadcast(ids), F.col("doc_id") == F.col("id_")).groupBy("doc_id")
+    return one.agg(F.min(F.struct("votes", "cue", "n", "n_words")).alias("row")).select("doc_id", "row.*")
+
+
 def scored(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", doc: str = "doc_id", text: str = "text",
     fit_rows: int = FIT_ROWS,
@@ -244,11 +253,12 @@ def scored(
     if cues and len(patterns):
         votes, spoke = spread(patterns["votes"].to_numpy(), patterns["said"].to_numpy())
         model = fit_label_model(votes, spoke, patterns["n"].to_numpy(dtype=float), share)
-        known = sample.select(F.col("doc_id").alias("known_id"), "y")
-        fit = look_all(sample, cues, "doc_id", "text").join(known, F.col("doc_id") == F.col("known_id")).toPandas()
-        votes, spoke = spread(fit["votes"].to_numpy(), fit["y"].to_numpy())
+        fit = fit_rows_of(seen, fit_rows).join(said, F.col("doc_id") == F.col("said_id"), "left")
+        fit = fit.withColumn("said", F.coalesce("said", F.lit(-1))).toPandas().sort_values("doc_id", ignore_index=True)
         x = sparse(fit["cue"].tolist(), fit["n"].tolist(), fit["n_words"].tolist(), len(cues))
-        weights = logistic(*x, model.posterior(votes, spoke), 2 * len(cues))
+        # labelled or not, a row's target is what its voters say; the annotator is one of them where there is one
+        targets = model.posterior(*spread(fit["votes"].to_numpy(), fit["said"].to_numpy()))
+        weights = logistic(*x, targets, 2 * len(cues))
     else:
         model, weights = None, np.array([math.log(share / (1 - share))])
     n_cues = len(cues)
