@@ -40,7 +40,8 @@ def refresh_partitions(df: DataFrame, path: str, partition: Sequence[str], audit
 def merge_partitions(updates: DataFrame, path: str, keys: Sequence[str], partition: str) -> None:
     """Updates and inserts rows in a table partitioned by one column; only partitions with updates are read and written.
 
-    ``updates`` has all columns of the table. The merged rows are settled first, so a failed write can be repeated.
+    ``updates`` has all columns of the table and is settled, since it is read three times. The writer stages its files
+    and replaces partitions when it commits, so it may read the ones it replaces, and a failed merge can be repeated.
     """
     spark = updates.sparkSession
     values = [r[0] for r in updates.select(partition).distinct().collect()]
@@ -48,7 +49,7 @@ def merge_partitions(updates: DataFrame, path: str, keys: Sequence[str], partiti
     held = target.filter(F.col(partition).isin(values))
     renamed = updates.select(*[F.col(c).alias(f"_{c}") for c in keys])
     kept = held.join(renamed, [held[c].eqNullSafe(renamed[f"_{c}"]) for c in keys], "left_anti")
-    refresh_partitions(settle(kept.unionByName(updates.select(*kept.columns)), "merge"), path, [partition], audit=False)
+    refresh_partitions(kept.unionByName(updates.select(*kept.columns)), path, [partition], audit=False)
 
 
 def publish_view(df: DataFrame, name: str) -> None:
