@@ -61,7 +61,7 @@ PIVOTS, SPLITS = 4, 4
 #: Members compared with one copy of their pivot.
 CELL_ROWS = 4_096
 #: Written bytes of a table that is sent to every executor; larger ones are joined by shuffle.
-SENT_BYTES = 16_000_000
+SENT_BYTES = 6_000_000
 LATE = 1 << 62
 
 
