@@ -36,6 +36,8 @@ MAX_CANDIDATES = 50_000
 MAX_CUES = 2000
 LEAST_Z = 2.5
 N_LEXICONS = 10
+#: Words whose cues a task remembers; then it forgets them all.
+CACHED_WORDS = 100_000
 PATTERNS = ("dense", "repeated", "shouting", "exclaiming")
 N_VOTERS = N_LEXICONS + len(PATTERNS)
 
@@ -115,6 +117,8 @@ class Voters:
         found = self.of_word.get(word)
         if found is None:
             found = tuple(i for f in features_of(word) if (i := self.index.get(f)) is not None)
+            if len(self.of_word) >= CACHED_WORDS:
+                self.of_word.clear()
             self.of_word[word] = found
         return found
 
