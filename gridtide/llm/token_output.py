@@ -47,7 +47,7 @@ FIRST = 49408
 SHARD_TOKENS = 1_000_000
 PART_CHARS = 72_000_000
 #: Distinct runs whose ids a task remembers; then it forgets them all and learns anew.
-CACHE_RUNS = 300_000
+CACHE_RUNS = 1_200_000
 #: Parts whose starts are summed in one task at a time.
 PART_BLOCK = 1_000
 RULES_A_ROUND = 4000
