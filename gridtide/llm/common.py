@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -30,22 +32,33 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written, its shuffle files go as soon as nobody needs them, and Python workers get texts in batches of
+#: so many rows: a batch of Spark's usual size can hold hundreds of megabytes of long texts.
+WHILE_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+}
 
 
-def written(df: DataFrame, name: str = "step") -> DataFrame:
-    """``df`` written once to the shared folder and read back: cuts lineage and survives lost executors.
+@contextmanager
+def writing(spark: SparkSession) -> Iterator[None]:
+    """The settings above while a table is written; the session's own ones after it."""
+    before = {key: spark.conf.get(key, None) for key in WHILE_WRITING}
+    for key, value in WHILE_WRITING.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
-    Once it is written its shuffle files serve nobody; Spark is told to remove them then, not at some later time.
-    """
+
+def written(df: DataFrame, name: str = "step") -> DataFrame:
+    """``df`` written once to the shared folder and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    with writing(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import new_folder, written
+from .common import new_folder, writing, written
 from .hashing import BASE, STEP, chunks, mix
 
 END = 2
@@ -287,7 +287,8 @@ def encode_shards(
             yield row()
 
     ordered = dealt.sortWithinPartitions(*order).select("doc_id", "text")
-    ordered.mapInPandas(shards, SHARD).write.parquet(path)
+    with writing(docs.sparkSession):
+        ordered.mapInPandas(shards, SHARD).write.parquet(path)
 
 
 def shard_starts(shards: DataFrame) -> DataFrame:
