@@ -36,7 +36,7 @@ def new_folder(spark: SparkSession, name: str) -> str:
 #: so many rows: a batch of Spark's usual size can hold hundreds of megabytes of long texts.
 WHILE_WRITING = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
 }
 
 

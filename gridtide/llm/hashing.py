@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 
 BASE = 0x9E3779B97F4A7C15 | 1
-STEP = 1 << 20
+STEP = 1 << 18
 SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 
