@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import new_folder, writing, written
-from .hashing import BASE, STEP, chunks, mix
+from .hashing import BASE, chunks, mix
 
 END = 2
 FIRST = 49408
@@ -46,8 +46,10 @@ FIRST = 49408
 #: so smaller tasks cost more.
 SHARD_TOKENS = 1_000_000
 PART_CHARS = 72_000_000
-#: Distinct runs whose ids a task remembers; then it forgets them all and learns anew.
-CACHE_RUNS = 1_200_000
+#: Distinct runs whose ids a task remembers, some forty bytes each; then it forgets them all and learns anew.
+CACHE_RUNS = 2_000_000
+#: Characters whose runs are looked up together: the more, the fewer are looked up twice.
+PIECE = 1 << 20
 #: Parts whose starts are summed in one task at a time.
 PART_BLOCK = 1_000
 RULES_A_ROUND = 4000
@@ -74,7 +76,7 @@ class Encoder:
         kinds = {"L": 1, "N": 2}
         self.kind = np.array([kinds.get(unicodedata.category(chr(c))[0], 3) for c in range(0x3000)], dtype=np.uint8)
         self.kind[[b for b in BLANKS if b < len(self.kind)]] = 0
-        steps = np.full(2 * STEP, BASE, dtype=np.uint64)
+        steps = np.full(2 * PIECE, BASE, dtype=np.uint64)
         steps[0] = 1
         self.powers = np.cumprod(steps)
         steps[1:] = pow(BASE, -1, 1 << 64)
@@ -83,7 +85,7 @@ class Encoder:
 
     def forget(self) -> None:
         """Empties the cache of runs."""
-        self.slot: dict[int, int] = {}
+        self.known, self.slots = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         self.flat, self.size, self.start, self.n_flat = [], [], [], 0
 
     def whole(self, texts: Sequence[str]) -> list[np.ndarray]:
@@ -120,16 +122,17 @@ class Encoder:
         hashes, at, inverse = np.unique(
             mix((sums[ends] - sums[starts]) * self.inverse[starts]), return_index=True, return_inverse=True
         )
-        slots, new = np.empty(len(hashes), dtype=np.int64), []
-        known = self.slot
-        for n, h in enumerate(hashes.tolist()):
-            found = known.get(h)
-            if found is None:
-                found = known[h] = len(known)
-                new.append(text[starts[at[n]] : ends[at[n]]])
-            slots[n] = found
-        if new:
-            self._learn(new)
+        place = np.searchsorted(self.known, hashes)
+        seen = place < len(self.known)
+        seen[seen] = self.known[place[seen]] == hashes[seen]
+        slots = np.empty(len(hashes), dtype=np.int64)
+        slots[seen] = self.slots[place[seen]]
+        new = np.flatnonzero(~seen)
+        if len(new):
+            slots[new] = len(self.known) + np.arange(len(new))
+            self._learn([text[a:b] for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())])
+            self.known = np.insert(self.known, place[new], hashes[new])
+            self.slots = np.insert(self.slots, place[new], slots[new])
         flat, size, start = self._merged("flat", np.uint16), self._merged("size", np.int64), self._merged("start", np.int64)
         run = slots[inverse]
         sizes = size[run]
@@ -145,13 +148,13 @@ class Encoder:
         for n, t in enumerate(texts):
             t = t or ""
             if t.isascii() or not (RARE.search(t) or not unicodedata.is_normalized("NFC", t)):
-                ordinary = not any(u in t for u in UNSAFE) and len(t) <= STEP
+                ordinary = not any(u in t for u in UNSAFE) and len(t) <= PIECE
             else:
                 ordinary = False
             (plain if ordinary else whole).append(n)
         lowered = [(texts[n] or "").lower() for n in plain]
-        for a, b in chunks(lowered):
-            if len(self.slot) > CACHE_RUNS:
+        for a, b in chunks(lowered, PIECE):
+            if len(self.known) > CACHE_RUNS:
                 self.forget()
             ids, bounds = self._by_runs(lowered[a:b])
             for n, low, high in zip(plain[a:b], bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
@@ -169,29 +172,34 @@ def compress(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     end when no pair occurs ``MIN_COUNT`` times or 16 bits hold no further symbol.
     """
     symbols, rules = ids.astype(np.uint32), []
-    n_rules = 0
+    n_rules = fresh = 0
     while True:
         room = min(RULES_A_ROUND, (1 << 16) - FIRST - n_rules)
         if len(symbols) < 2 or room <= 0:
             break
-        pairs = (symbols[:-1] << np.uint32(16)) | symbols[1:]
         inside = ~last[:-1]
-        counted = pairs[inside]
-        counted.sort()
+        if fresh:  # all frequent pairs of older symbols are replaced already: only new symbols make new ones
+            inside &= (symbols[:-1] >= fresh) | (symbols[1:] >= fresh)
+        places = np.flatnonzero(inside)
+        pairs = (symbols[places] << np.uint32(16)) | symbols[places + 1]
+        counted = np.sort(pairs)
         edge = np.flatnonzero(np.concatenate(([True], counted[1:] != counted[:-1]))) if len(counted) else np.zeros(0, int)
         counts = np.diff(np.append(edge, len(counted)))
         often = np.flatnonzero(counts >= MIN_COUNT)
         if not len(often):
             break
+        if len(often) <= room:
+            fresh = FIRST + n_rules
         often = often[np.argsort(-counts[often], kind="stable")[:room]]
         chosen = np.sort(counted[edge[often]])
         del counted, edge, counts
         maybe = np.zeros(1 << 20, dtype=bool)
         slot = lambda p: (p * np.uint32(0x9E3779B1)) >> np.uint32(12)
         maybe[slot(chosen)] = True
-        at = np.flatnonzero(maybe[slot(pairs)] & inside)
-        rule = np.searchsorted(chosen, pairs[at])
-        true = chosen[np.minimum(rule, len(chosen) - 1)] == pairs[at]
+        hit = maybe[slot(pairs)]
+        at, found = places[hit], pairs[hit]
+        rule = np.searchsorted(chosen, found)
+        true = chosen[np.minimum(rule, len(chosen) - 1)] == found
         at, rule = at[true], rule[true]
         # of places that follow each other directly, every second one
         gap = np.concatenate(([True], np.diff(at) > 1))
@@ -275,7 +283,7 @@ def encode_shards(
         for batch in batches:
             numbers = [None if pd.isna(x) else int(x) for x in batch["doc_id"]]
             texts = batch["text"].tolist()
-            for a, b in chunks(texts, 4 * STEP):
+            for a, b in chunks(texts, 4 * PIECE):
                 for number, found in zip(numbers[a:b], encoder.encode(texts[a:b]), strict=True):
                     doc_ids.append(number)
                     ids.append(np.concatenate([found, end]))

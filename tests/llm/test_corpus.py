@@ -294,7 +294,10 @@ def test_token_shards_round_trip(spark, docs, no_docs, small):
     assert token_output.encoded(no_docs, tokenizer).count() == 0
 
 
-def test_encoder_equals_tokenizer():
+@pytest.mark.parametrize("runs, piece", [(2_000_000, 1 << 20), (10, 300)])
+def test_encoder_equals_tokenizer(monkeypatch, runs, piece):
+    monkeypatch.setattr(token_output, "CACHE_RUNS", runs)
+    monkeypatch.setattr(token_output, "PIECE", piece)
     encoder = token_output.Encoder(queries.word_bpe())
     rng = random.Random(4)
     texts = ["it's Don't we'LL", "<|endoftext|> a", None, "", "  ", "a1b22 c³½", "ΣΑΣ İstanbul", "éa", "日本語", "\x1c\x85a b", "--a..b!!c"]
