@@ -36,6 +36,8 @@ MAX_CANDIDATES = 50_000
 MAX_CUES = 2000
 LEAST_Z = 2.5
 N_LEXICONS = 10
+#: Distinct features that a task counts before it hands their counts on.
+FEATURES_HELD = 50_000
 #: Words whose cues a task remembers; then it forgets them all.
 CACHED_WORDS = 100_000
 PATTERNS = ("dense", "repeated", "shouting", "exclaiming")
@@ -62,12 +64,15 @@ def find_cues(sample: DataFrame) -> list[tuple[str, bool]]:
     """
 
     def in_positive(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = Counter()
         for batch in batches:
-            held = Counter()
             for text in batch["text"]:
                 held.update({f for w in counted(text) for f in features_of(w)})
-            if held:
-                yield pd.DataFrame({"feature": list(held), "n": list(held.values())})
+                if len(held) >= FEATURES_HELD:
+                    yield pd.DataFrame({"feature": list(held), "n": list(held.values())})
+                    held = Counter()
+        if held:
+            yield pd.DataFrame({"feature": list(held), "n": list(held.values())})
 
     positive = sample.where("y = 1")
     candidates = (
