@@ -237,14 +237,17 @@ class Joiner:
         """Candidates (a, b) that meet often enough in small regions, and the rows (region, p, n) of crowded regions.
 
         ``points`` (p, n, anchors) is written. Anchors that no other point has are found by counting, which is combined
-        before the shuffle, and only shared ones are looked at again.
+        before the shuffle, and only shared ones are looked at again. Regions meet their sizes with the point's number
+        only; what else is told of a point follows the shared ones.
         """
-        spread = points.select("p", "n", F.element_at("anchors", -1).alias("last"), F.explode("anchors").alias("region"))
+        facts = written(points.select("p", "n", F.element_at("anchors", -1).alias("last")), "facts")
+        spread = points.select("p", F.explode("anchors").alias("region"))
         counts = written(spread.groupBy("region").agg(F.count("*").alias("size")).where("size > 1"), "region-sizes")
         shared = written(spread.join(sent(counts), "region"), "regions")
-        crowded = written(shared.where(F.col("size") > REGION).select("region", "p", "n"), "crowded")
+        crowded = shared.where(F.col("size") > REGION).join(sent(facts), "p")
+        crowded = written(crowded.select("region", "p", "n"), "crowded")
         extra = written(crowded.groupBy("p").agg(F.count("*").alias("extra")), "extra")
-        small = shared.where(F.col("size") <= REGION).join(sent(extra), "p", "left")
+        small = shared.where(F.col("size") <= REGION).join(sent(facts), "p").join(sent(extra), "p", "left")
         small = small.withColumn("extra", F.coalesce("extra", F.lit(0)))
         side = lambda s: small.select(
             "region", *[F.col(c).alias(f"{n}{s}") for c, n in (("p", ""), ("n", "n"), ("last", "l"), ("extra", "e"))]
@@ -257,7 +260,7 @@ class Joiner:
         anchors = n - F.ceil(n * self.share / 100) + 1
         enough = F.col("meetings") + F.least("ea", "eb") >= anchors - n + self.needed()
         candidates = written(met.where(enough).select("a", "b"), "candidates")
-        forget(counts, shared, extra)
+        forget(facts, counts, shared, extra)
         return candidates, crowded
 
     def late_shingles(self, crowded: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -275,10 +278,11 @@ class Joiner:
                     yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(raw, dtype=np.int64))], ["shingle"])
 
         held = self.whole_sets(picks).mapInArrow(numbers, "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
-        held = held.where(F.col("n") >= REPEATS).orderBy(F.desc("n"), "shingle").limit(LATE_SHINGLES).toPandas()
-        held = held.sort_values(["n", "shingle"])
-        forget(picks)
-        shingles = held["shingle"].to_numpy(dtype=np.int64)
+        # written first: the shuffle files of a table that is only collected would stay
+        held = written(held.where(F.col("n") >= REPEATS), "late")
+        late = held.orderBy(F.desc("n"), "shingle").limit(LATE_SHINGLES).toPandas().sort_values(["n", "shingle"])
+        forget(picks, held)
+        shingles = late["shingle"].to_numpy(dtype=np.int64)
         order = np.argsort(shingles)
         return shingles[order], order.astype(np.int64)
 
@@ -305,12 +309,14 @@ class Joiner:
         self.link(more.where("linked").select("a", "b"))
         forget(star, found, rest, more)
 
-    def families(self, points: DataFrame, crowded: DataFrame) -> None:
-        """Joins the crowded regions that are left by Voronoi regions of their members."""
+    def families(self, early: DataFrame, crowded: DataFrame) -> None:
+        """Joins the crowded regions that are left by Voronoi regions of their members.
+
+        ``early`` (p, early): how many anchors of a point are no late shingles.
+        """
         # anchors in small regions or alone in theirs: no partner has them that is met in crowded regions only
         common = crowded.groupBy("p").agg(F.count_if(F.col("region") < LATE).alias("known"), F.sort_array(F.collect_list("region")).alias("crowds"))
-        own = points.select("p", F.size(F.filter("anchors", lambda x: x < LATE)).alias("early"))
-        facts = own.join(common, "p").select("p", (F.col("early") - F.col("known")).alias("alone"), "crowds")
+        facts = early.join(common, "p").select("p", (F.col("early") - F.col("known")).alias("alone"), "crowds")
         rows = crowded.join(facts, "p").withColumn("cell", F.col("region"))
         rows = written(rows.withColumns({"pivot": F.lit(None).cast("long"), "dist": F.lit(None).cast("double")}), "cells")
         for split in range(SPLITS):
@@ -405,18 +411,20 @@ def joined(docs: DataFrame, doc: str = "doc_id", text: str = "text", k: int = WO
     joiner.link(written(member.join(sent(several), "doc_id").where("p <> a").select("a", F.col("p").alias("b")).distinct(), "ties"))
 
     candidates, crowded = joiner.meet(points.select("p", "n", "anchors"))
+    forget(points)
     if crowded.limit(1).count():
         again = joiner.anew(crowded, *joiner.late_shingles(crowded))
         more, families = joiner.meet(again)
+        early = written(again.select("p", F.size(F.filter("anchors", lambda x: x < LATE)).alias("early")), "early")
         both = written(candidates.union(more).distinct(), "candidates")
-        forget(candidates, more, points)
+        forget(candidates, more, again)
         joiner.verify(both)
         if families.limit(1).count():
-            joiner.families(again, families)
-        forget(both, again, families)
+            joiner.families(early, families)
+        forget(both, early, families)
     else:
         joiner.verify(candidates)
-        forget(candidates, points)
+        forget(candidates)
     forget(crowded)
 
     labels = joiner.labelled(names.select("p", "rep"))

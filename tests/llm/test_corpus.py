@@ -87,6 +87,38 @@ def test_families_are_joined_exactly(spark, monkeypatch):
     assert found == expected and 3 < len({c for _, c in expected.values()}) < 80
 
 
+def steps_of_the_join(spark, monkeypatch):
+    """What the join of crowded rows writes: name, columns, plan, and which tables of points are there at that time."""
+    steps, points = [], []
+
+    def there(df):
+        path = spark._jvm.org.apache.hadoop.fs.Path(points[df][0])
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+    def spied(df, name="step", write=jaccard_join.written):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        steps.append((name, df.columns, plan, [n for n in range(len(points)) if there(n)]))
+        out = write(df, name)
+        if name == "points":
+            points.append(out.inputFiles())
+        return out
+
+    for name, value in (("REGION", 2), ("PICKS", 3), ("REPEATS", 2), ("PIVOTS", 2), ("written", spied)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rows = crowded(1, 60)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.joined(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == brute_components(rows)
+    return steps
+
+
+def test_the_join_moves_and_keeps_little(spark, monkeypatch):
+    """Regions meet their sizes by number only, and anchors go as soon as they have met."""
+    steps = steps_of_the_join(spark, monkeypatch)
+    assert [columns for name, columns, _, _ in steps if name == "regions"] == [["region", "p", "size"]] * 2
+    late, verified = [next(n for n, s in enumerate(steps) if s[0] == name) for name in ("late", "star")]
+    assert steps[late][3] == [] and steps[verified][3] == []
+
+
 def test_the_stage_keeps_one_of_each_group(spark, small):
     """The pipeline's stage, by five words and 80 %, against brute force: no near copy is missed, nothing else goes."""
     docs = table(spark, small, "documents")
