@@ -33,10 +33,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 #: While a table is written, its shuffle files go as soon as nobody needs them, and Python workers get texts in batches of
-#: so many rows: a batch of Spark's usual size can hold hundreds of megabytes of long texts.
+#: so many rows: a batch of Spark's usual size can hold hundreds of megabytes of long texts. Parquet is read by as many.
 WHILE_WRITING = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.parquet.columnarReaderBatchSize": "500",
 }
 
 

@@ -156,9 +156,9 @@ class Joiner:
         named = written(self.points.join(sent(wanted), "p"), "named")
         return self.docs.join(sent(named).withColumnRenamed("rep", "doc_id"), "doc_id")
 
-    def whole_sets(self, wanted: DataFrame) -> DataFrame:
-        """(p, shingles) of the wanted points, the sorted set as bytes. A task gives a set once, however often its
-        document is repeated."""
+    def whole_sets(self, wanted: DataFrame, alone: bool = False) -> DataFrame:
+        """(p, shingles) of the wanted points, the sorted set as bytes, or, if asked for, its shingles alone, a row each.
+        A task gives a set once, however often its document is repeated."""
         k = self.k
 
         def read(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -170,11 +170,14 @@ class Joiner:
                     for p, f1, found in zip(batch["p"][a:b], batch["f1"][a:b], sets_of(texts[a:b], k, hasher), strict=True):
                         if p not in seen and fingerprint(found)[0] == f1:
                             seen.add(p)
-                            rows.append((p, found.tobytes()))
-                    if rows:
+                            rows.append((p, found if alone else found.tobytes()))
+                    if rows and alone:
+                        yield pd.DataFrame({"shingle": np.concatenate([found for _, found in rows])})
+                    elif rows:
                         yield pd.DataFrame(rows, columns=["p", "shingles"])
 
-        return self.texts_of(wanted).select("p", "f1", "text").mapInPandas(read, "p long, shingles binary")
+        schema = "shingle long" if alone else "p long, shingles binary"
+        return self.texts_of(wanted).select("p", "f1", "text").mapInPandas(read, schema)
 
     def compared(self, pairs: DataFrame) -> DataFrame:
         """(a, b, dist, linked) of distinct written pairs, by their whole sets; a is the pivot that b travels to."""
@@ -271,13 +274,8 @@ class Joiner:
         by_hash = Window.partitionBy("region").orderBy(F.xxhash64("p"), "p")
         picks = crowded.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= PICKS)
         picks = written(picks.select("p").distinct(), "picks")
-
-        def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for raw in batch.column("shingles").to_pylist():
-                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(raw, dtype=np.int64))], ["shingle"])
-
-        held = self.whole_sets(picks).mapInArrow(numbers, "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
+        # one Python function a task: with two in a row, an executor keeps twice as many workers from then on
+        held = self.whole_sets(picks, alone=True).groupBy("shingle").agg(F.count("*").alias("n"))
         # written first: the shuffle files of a table that is only collected would stay
         held = written(held.where(F.col("n") >= REPEATS), "late")
         late = held.orderBy(F.desc("n"), "shingle").limit(LATE_SHINGLES).toPandas().sort_values(["n", "shingle"])

@@ -14,6 +14,14 @@ def test_written_and_forgotten(spark):
         df.collect()
 
 
+def test_long_texts_are_read_in_small_batches_while_tables_are_written(spark):
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = [spark.conf.get(k) for k in keys]
+    with common.writing(spark):
+        assert all(int(spark.conf.get(k)) <= 500 for k in keys)
+    assert [spark.conf.get(k) for k in keys] == before
+
+
 def test_words_and_folds(spark):
     row = spark.createDataFrame([(" a\tb\x0bc d ", None)], "t string, n string").select(common.words(F.col("t")), common.words(F.col("n"))).first()
     assert row[0] == ["a", "b", "c d"] and row[1] == []

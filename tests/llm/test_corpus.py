@@ -119,6 +119,12 @@ def test_the_join_moves_and_keeps_little(spark, monkeypatch):
     assert steps[late][3] == [] and steps[verified][3] == []
 
 
+def test_a_task_of_the_join_runs_one_python_function(spark, monkeypatch):
+    for name, _, plan, _ in steps_of_the_join(spark, monkeypatch):
+        kinds = re.findall(r"MapInPandas|MapInArrow|Exchange (?:hash|range|Round)", plan)
+        assert not any(a.startswith("Map") and b.startswith("Map") for a, b in zip(kinds, kinds[1:])), name
+
+
 def test_the_stage_keeps_one_of_each_group(spark, small):
     """The pipeline's stage, by five words and 80 %, against brute force: no near copy is missed, nothing else goes."""
     docs = table(spark, small, "documents")
