@@ -17,9 +17,9 @@ row of a Parquet file, so it is written and committed by Spark:
 All numbers are little-endian. A reader finds a document by summing ``doc_symbols`` and expands only its own symbols.
 
 Encoding goes by distinct words. The tokenizer first cuts a text into runs of letters, single digits and runs of other
-characters, each encoded on its own, so every distinct run is encoded once per task and the rest is lookup. Texts where
-a run depends on its surroundings (apostrophes, special tokens, letters that normalisation joins or whose lower case
-depends on their place) are encoded whole.
+characters, each encoded on its own, so every distinct run is encoded once and the rest is lookup. A Python worker keeps
+the runs it has learned, up to a bound, for its next task. Texts where a run depends on its surroundings (apostrophes,
+special tokens, letters that normalisation joins or whose lower case depends on their place) are encoded whole.
 
 Defined results: a null or empty text is the end id alone; equal documents follow each other in unspecified order;
 documents without an id come first; an empty table gives no shard and an empty index; other columns are ignored.
@@ -31,6 +31,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -42,14 +43,16 @@ from .hashing import BASE, chunks, mix
 
 END = 2
 FIRST = 49408
-#: Ids of a shard, about: compressing one takes some fifty bytes an id. Characters of a task: each learns its runs anew,
-#: so smaller tasks cost more.
+#: Ids of a shard, about: compressing one takes some fifty bytes an id. Characters of a task: an executor sorts them and
+#: holds what it fetches of them.
 SHARD_TOKENS = 1_000_000
-PART_CHARS = 72_000_000
-#: Distinct runs whose ids a task remembers, some forty bytes each; then it forgets them all and learns anew.
-CACHE_RUNS = 2_000_000
+PART_CHARS = 24_000_000
+#: Distinct runs whose ids a worker remembers, some thirty bytes each, and ids of a run on average at most; then it forgets
+#: them all and learns anew. So many of them are kept apart before they are sorted into the others.
+CACHE_RUNS, RUN_IDS = 1_000_000, 8
+LATE_RUNS = 1 << 16
 #: Characters whose runs are looked up together: the more, the fewer are looked up twice.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: Parts whose starts are summed in one task at a time.
 PART_BLOCK = 1_000
 RULES_A_ROUND = 4000
@@ -63,6 +66,27 @@ SHARD = (
 )
 
 
+class Growing:
+    """An array that is appended to."""
+
+    def __init__(self, kind: type):
+        self.data, self.n = np.empty(1 << 12, dtype=kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.data):
+            data = np.empty(max(self.n + len(more), 2 * len(self.data)), dtype=self.data.dtype)
+            data[: self.n] = self.data[: self.n]
+            self.data = data
+        self.data[self.n : self.n + len(more)] = more
+        self.n += len(more)
+
+
+def added(table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A table of (sorted hashes, their slots) with further ones, sorted as well."""
+    place = np.searchsorted(table[0], hashes)
+    return np.insert(table[0], place, hashes), np.insert(table[1], place, slots)
+
+
 class Encoder:
     """Encodes many texts at once; equal to the tokenizer's own result for each text."""
 
@@ -76,17 +100,21 @@ class Encoder:
         kinds = {"L": 1, "N": 2}
         self.kind = np.array([kinds.get(unicodedata.category(chr(c))[0], 3) for c in range(0x3000)], dtype=np.uint8)
         self.kind[[b for b in BLANKS if b < len(self.kind)]] = 0
-        steps = np.full(2 * PIECE, BASE, dtype=np.uint64)
-        steps[0] = 1
-        self.powers = np.cumprod(steps)
-        steps[1:] = pow(BASE, -1, 1 << 64)
-        self.inverse = np.cumprod(steps)
+        self.powers = self.inverse = np.ones(1, dtype=np.uint64)
         self.forget()
 
     def forget(self) -> None:
         """Empties the cache of runs."""
-        self.known, self.slots = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-        self.flat, self.size, self.start, self.n_flat = [], [], [], 0
+        none = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
+        self.known, self.late = none, none
+        self.flat, self.size, self.start = Growing(np.uint16), Growing(np.int32), Growing(np.int64)
+
+    def _reach(self, n: int) -> None:
+        if len(self.powers) < n:
+            for name, base in (("powers", BASE), ("inverse", pow(BASE, -1, 1 << 64))):
+                steps = np.full(n + n // 8, base, dtype=np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.cumprod(steps, out=steps))
 
     def whole(self, texts: Sequence[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.uint16) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -94,20 +122,24 @@ class Encoder:
     def _learn(self, new: list[str]) -> None:
         """Ids of new runs; many are encoded as one text, and each ends with a token that ends a word."""
         groups = [new[i : i + 200] for i in range(0, len(new), 200)]
-        for group, ids in zip(groups, self.whole([" ".join(g) for g in groups]), strict=True):
+        for group in groups:
+            (ids,) = self.whole([" ".join(group)])
             stops = np.flatnonzero(self.ends[ids]) + 1
             parts = self.whole(group) if len(stops) != len(group) or stops[-1] != len(ids) else None
             sizes = np.diff(stops, prepend=0) if parts is None else np.array([len(p) for p in parts])
-            self.flat.append(ids if parts is None else np.concatenate(parts))
-            self.start.append(self.n_flat + np.cumsum(sizes) - sizes)
-            self.size.append(sizes)
-            self.n_flat += int(sizes.sum())
-
-    def _merged(self, name: str, kind) -> np.ndarray:
-        parts = getattr(self, name)
-        if len(parts) != 1:
-            setattr(self, name, parts := [np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)])
-        return parts[0]
+            self.start.add(self.flat.n + np.cumsum(sizes) - sizes)
+            self.size.add(sizes)
+            self.flat.add(ids if parts is None else np.concatenate(parts))
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        """Where the ids of the runs with these hashes are; -1 for unknown ones."""
+        slots = np.full(len(hashes), -1, dtype=np.int32)
+        for known, numbers in (self.known, self.late):
+            place = np.searchsorted(known, hashes)
+            seen = place < len(known)
+            seen[seen] = known[place[seen]] == hashes[seen]
+            slots[seen] = numbers[place[seen]]
+        return slots
 
     def _by_runs(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         text = "\n".join(texts) + "\n"
@@ -118,29 +150,32 @@ class Encoder:
         ends = np.concatenate(([True], (kind[1:] != kind[:-1]) | (kind[1:] == 2), [True]))
         ends = np.flatnonzero(ends[1:] & (kind > 0)) + 1
         sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        self._reach(len(data))
         np.cumsum(mix(data.astype(np.uint64) + np.uint64(BASE)) * self.powers[: len(data)], out=sums[1:])
         hashes, at, inverse = np.unique(
             mix((sums[ends] - sums[starts]) * self.inverse[starts]), return_index=True, return_inverse=True
         )
-        place = np.searchsorted(self.known, hashes)
-        seen = place < len(self.known)
-        seen[seen] = self.known[place[seen]] == hashes[seen]
-        slots = np.empty(len(hashes), dtype=np.int64)
-        slots[seen] = self.slots[place[seen]]
-        new = np.flatnonzero(~seen)
+        slots = self._slots(hashes)
+        new = np.flatnonzero(slots < 0)
         if len(new):
-            slots[new] = len(self.known) + np.arange(len(new))
+            slots[new] = self.size.n + np.arange(len(new))
             self._learn([text[a:b] for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())])
-            self.known = np.insert(self.known, place[new], hashes[new])
-            self.slots = np.insert(self.slots, place[new], slots[new])
-        flat, size, start = self._merged("flat", np.uint16), self._merged("size", np.int64), self._merged("start", np.int64)
+            self.late = added(self.late, hashes[new], slots[new])
+            if len(self.late[0]) > LATE_RUNS:
+                self.known, self.late = added(self.known, *self.late), tuple(x[:0].copy() for x in self.late)
         run = slots[inverse]
-        sizes = size[run]
-        stops = np.cumsum(sizes)
-        ids = flat[np.repeat(start[run] - stops + sizes, sizes) + np.arange(stops[-1] if len(stops) else 0)]
+        sizes = self.size.data[run]
+        stops = np.cumsum(sizes, dtype=np.int64)
+        n = int(stops[-1]) if len(stops) else 0
+        ids = self.flat.data[np.repeat(self.start.data[run] - stops + sizes, sizes) + np.arange(n)]
         offsets = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
         return ids, np.concatenate(([0], stops))[np.searchsorted(starts, offsets)]
 
+    def _looked_up(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.size.n > CACHE_RUNS or self.flat.n > CACHE_RUNS * RUN_IDS:
+            self.forget()
+        return self._by_runs(texts)
+
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         """The ids of each text."""
         out: list[np.ndarray | None] = [None] * len(texts)
@@ -148,15 +183,16 @@ class Encoder:
         for n, t in enumerate(texts):
             t = t or ""
             if t.isascii() or not (RARE.search(t) or not unicodedata.is_normalized("NFC", t)):
-                ordinary = not any(u in t for u in UNSAFE) and len(t) <= PIECE
+                ordinary = not any(u in t for u in UNSAFE)
             else:
                 ordinary = False
             (plain if ordinary else whole).append(n)
         lowered = [(texts[n] or "").lower() for n in plain]
         for a, b in chunks(lowered, PIECE):
-            if len(self.known) > CACHE_RUNS:
-                self.forget()
-            ids, bounds = self._by_runs(lowered[a:b])
+            if len(lowered[a]) > PIECE:  # a long text stands alone
+                out[plain[a]] = np.concatenate([self._looked_up([piece])[0] for piece in pieces(lowered[a])])
+                continue
+            ids, bounds = self._looked_up(lowered[a:b])
             for n, low, high in zip(plain[a:b], bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 out[n] = ids[low:high]
         for n in whole:
@@ -164,6 +200,25 @@ class Encoder:
         return out
 
 
+def pieces(text: str) -> Iterator[str]:
+    """A long text in pieces of about ``PIECE`` characters, cut behind blanks or line ends, where every run ends."""
+    at = 0
+    while at < len(text):
+        end = at + PIECE
+        cut = max(text.rfind(" ", at, end), text.rfind("\n", at, end))
+        if end < len(text) and cut < at:
+            cut = min((x for x in (text.find(" ", end), text.find("\n", end)) if x >= 0), default=len(text))
+        end = cut + 1 if end < len(text) else end
+        yield text[at:end]
+        at = end
+
+
+@lru_cache(maxsize=1)
+def worker_encoder(tokenizer_path: str) -> Encoder:
+    """One encoder for all tasks of a Python worker, with the runs it knows; ``cache_clear`` gives its memory back."""
+    return Encoder(tokenizer_path)
+
+
 def compress(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair: (rules, stream, which symbols end a document). ``last`` marks the ids that end a document.
 
@@ -180,8 +235,9 @@ def compress(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         inside = ~last[:-1]
         if fresh:  # all frequent pairs of older symbols are replaced already: only new symbols make new ones
             inside &= (symbols[:-1] >= fresh) | (symbols[1:] >= fresh)
-        places = np.flatnonzero(inside)
-        pairs = (symbols[places] << np.uint32(16)) | symbols[places + 1]
+        pairs = symbols[:-1] << np.uint32(16)
+        pairs |= symbols[1:]
+        pairs = pairs[inside]
         counted = np.sort(pairs)
         edge = np.flatnonzero(np.concatenate(([True], counted[1:] != counted[:-1]))) if len(counted) else np.zeros(0, int)
         counts = np.diff(np.append(edge, len(counted)))
@@ -197,7 +253,10 @@ def compress(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         slot = lambda p: (p * np.uint32(0x9E3779B1)) >> np.uint32(12)
         maybe[slot(chosen)] = True
         hit = maybe[slot(pairs)]
-        at, found = places[hit], pairs[hit]
+        found = pairs[hit]
+        inside[inside] = hit
+        at = np.flatnonzero(inside)
+        del pairs, hit
         rule = np.searchsorted(chosen, found)
         true = chosen[np.minimum(rule, len(chosen) - 1)] == found
         at, rule = at[true], rule[true]
@@ -273,7 +332,7 @@ def encode_shards(
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, part, seq = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, seq = worker_encoder(tokenizer), TaskContext.get().partitionId(), 0
         doc_ids, ids, held = [], [], 0
 
         def row() -> pd.DataFrame:
@@ -322,6 +381,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long, n_symbols long"
 
     def decode(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        worker_encoder.cache_clear()  # the workers that encoded are the ones that decode
         for batch in batches:
             for shard in batch.itertuples():
                 yield decoded(shard)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -343,6 +344,46 @@ def test_encoder_equals_tokenizer(monkeypatch, runs, piece):
     assert [[*x, 2] for x in encoder.encode(texts)] == reference_ids(texts)
 
 
+def peak_of(work):
+    tracemalloc.start()
+    work()
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return peak
+
+
+def test_encoder_and_compression_need_little_memory():
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.choice('abcdef')}{rng.choice('ghijkl')}" for _ in range(500)) for _ in range(1000)]
+    assert peak_of(lambda: token_output.Encoder(queries.word_bpe()).encode(texts)) < 45  # MB; 18, and 73 before
+    ids = (np.random.default_rng(7).zipf(1.3, 1_000_000) % 3000).astype(np.uint16)
+    last = np.arange(1, len(ids) + 1) % 500 == 0
+    assert peak_of(lambda: token_output.compress(ids, last)) < 44  # MB; 37, and 50 before
+
+
+def test_long_texts_are_encoded_in_pieces(monkeypatch):
+    monkeypatch.setattr(token_output, "PIECE", 300)
+    encoder, seen, whole = token_output.Encoder(queries.word_bpe()), [], token_output.Encoder.whole
+    monkeypatch.setattr(token_output.Encoder, "whole", lambda self, texts: seen.extend(map(len, texts)) or whole(self, texts))
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("ab 1.\n") for _ in range(5000)), "x" * 1000 + " " + "y" * 900, "z" * 2000, " " * 900]
+    assert [[*x, 2] for x in encoder.encode(texts)] == reference_ids(texts)
+    assert max(seen) == 2000  # a run alone; the text of 5000 characters never
+
+
+def test_runs_are_remembered_and_forgotten(monkeypatch):
+    token_output.worker_encoder.cache_clear()
+    encoder = token_output.worker_encoder(queries.word_bpe())
+    assert token_output.worker_encoder(queries.word_bpe()) is encoder
+    encoder.encode(["one two three"])
+    assert encoder.size.n == 3
+    monkeypatch.setattr(token_output, "CACHE_RUNS", 1)
+    monkeypatch.setattr(token_output, "RUN_IDS", 1)
+    encoder.encode(["four"])
+    assert encoder.size.n == 1
+    token_output.worker_encoder.cache_clear()
+
+
 def test_grammar_round_trip_and_random_access():
     rng = np.random.default_rng(6)
     ids = [rng.integers(0, 12, size=n).astype(np.uint16) for n in (1, 500, 3, 4000, 1)]
