@@ -152,9 +152,14 @@ class Encoder:
         sums = np.zeros(len(data) + 1, dtype=np.uint64)
         self._reach(len(data))
         np.cumsum(mix(data.astype(np.uint64) + np.uint64(BASE)) * self.powers[: len(data)], out=sums[1:])
-        hashes, at, inverse = np.unique(
-            mix((sums[ends] - sums[starts]) * self.inverse[starts]), return_index=True, return_inverse=True
-        )
+        found = mix((sums[ends] - sums[starts]) * self.inverse[starts])
+        order = np.argsort(found)  # any place of a run will do, so the sort need not be stable as in np.unique
+        found = found[order]
+        head = np.ones(len(found), dtype=bool)
+        head[1:] = found[1:] != found[:-1]
+        hashes, at = found[head], order[head]
+        inverse = np.empty(len(found), dtype=np.int64)
+        inverse[order] = np.cumsum(head) - 1
         slots = self._slots(hashes)
         new = np.flatnonzero(slots < 0)
         if len(new):
@@ -275,10 +280,21 @@ def compress(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return np.concatenate(rules) if rules else np.zeros((0, 2), "<u2"), symbols.astype("<u2"), last
 
 
+def rounds(rules: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rules that stand for symbols of earlier ranges and ids only."""
+    newest = rules.max(axis=1).astype(np.int64) - FIRST
+    done = 0
+    while done < len(rules):
+        later = np.flatnonzero(newest[done:] >= done)
+        stop = done + int(later[0]) if len(later) else len(rules)
+        yield done, stop
+        done = stop
+
+
 def rule_lengths(rules: np.ndarray) -> np.ndarray:
     size = np.ones(FIRST + len(rules), dtype="<u4")
-    for k, (a, b) in enumerate(rules.tolist()):
-        size[FIRST + k] = size[a] + size[b]
+    for a, b in rounds(rules):
+        size[FIRST + a : FIRST + b] = size[rules[a:b]].sum(axis=1)
     return size[FIRST:]
 
 
@@ -286,13 +302,14 @@ class Grammar:
     """Expands symbols of one shard."""
 
     def __init__(self, rules: np.ndarray, rule_tokens: np.ndarray):
-        flat = [np.arange(FIRST, dtype=np.uint16)]
-        for a, b in rules.tolist():
-            get = lambda s: flat[s - FIRST + 1] if s >= FIRST else np.array([s], dtype=np.uint16)
-            flat.append(np.concatenate([get(a), get(b)]))
-        self.flat = np.concatenate(flat)
         self.size = np.concatenate([np.ones(FIRST, dtype=np.int64), rule_tokens.astype(np.int64)])
         self.start = np.cumsum(self.size) - self.size
+        self.flat = np.empty(int(self.size.sum()), dtype=np.uint16)
+        self.flat[:FIRST] = np.arange(FIRST)
+        for a, b in rounds(rules):
+            ids = self.expand(rules[a:b].ravel())
+            low = self.start[FIRST + a]
+            self.flat[low : low + len(ids)] = ids
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         sizes = self.size[symbols]

@@ -397,6 +397,19 @@ def test_grammar_round_trip_and_random_access():
     assert [len(grammar.expand(np.array([token_output.FIRST + k]))) for k in range(len(lengths))] == lengths.tolist()
 
 
+def test_rules_expand_in_a_few_rounds():
+    rng = np.random.default_rng(9)
+    rules = np.array([[rng.integers(0, 50), token_output.FIRST + k - 1 - k % 5] if k > 5 else [k, k + 1] for k in range(60)], dtype="<u2")
+    plain = {}
+    for k, (a, b) in enumerate(rules.tolist()):
+        plain[token_output.FIRST + k] = [*plain.get(a, [a]), *plain.get(b, [b])]
+    lengths = token_output.rule_lengths(rules)
+    assert lengths.tolist() == [len(x) for x in plain.values()]
+    grammar = token_output.Grammar(rules, lengths)
+    assert [grammar.expand(np.array([s])).tolist() for s in plain] == list(plain.values())
+    assert 2 < len(list(token_output.rounds(rules))) < len(rules)
+
+
 def test_re_pair_goes_on_while_pairs_are_frequent():
     ids = np.tile(np.arange(100, 1100, dtype=np.uint32), 200)
     last = np.zeros(len(ids), dtype=bool)
