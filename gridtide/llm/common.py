@@ -32,15 +32,26 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Parquet is read in batches of so many rows and in pieces of a few megabytes. Its vectored reader takes the texts of a
+#: row group as one array, twice, on the heap and in a buffer outside it that the reading thread keeps.
+IN_PIECES = {
+    "spark.sql.parquet.columnarReaderBatchSize": "500",
+    "parquet.hadoop.vectored.io.enabled": "false",
+}
 #: While a table is written, its shuffle files go as soon as nobody needs them, and Python workers get texts in batches of
 #: so many rows: a batch of Spark's usual size can hold hundreds of megabytes of long texts. Parquet is read by as many.
-WHILE_WRITING = {
+WHILE_WRITING = IN_PIECES | {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
-    "spark.sql.parquet.columnarReaderBatchSize": "500",
 }
 
 
+def read_in_pieces(spark: SparkSession) -> None:
+    """Sets for the session how Parquet is read, for a job whose tables of texts are written by its caller."""
+    for key, value in IN_PIECES.items():
+        spark.conf.set(key, value)
+
+
 @contextmanager
 def writing(spark: SparkSession) -> Iterator[None]:
     """The settings above while a table is written; the session's own ones after it."""

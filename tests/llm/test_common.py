@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from gridtide.llm import common
 
 
@@ -22,6 +23,29 @@ def test_long_texts_are_read_in_small_batches_while_tables_are_written(spark):
     assert [spark.conf.get(k) for k in keys] == before
 
 
+def test_texts_are_not_read_a_whole_row_group_at_once(spark):
+    vectored = lambda: spark._jsparkSession.sessionState().newHadoopConf().get("parquet.hadoop.vectored.io.enabled")
+    before = vectored()
+    with common.writing(spark):
+        assert vectored() == "false"
+    assert vectored() == before
+
+
+def test_a_stage_of_the_pipeline_has_its_texts_read_in_pieces(spark):
+    before = {k: spark.conf.get(k, None) for k in common.IN_PIECES}
+    for k in common.IN_PIECES:
+        spark.conf.unset(k)
+    try:
+        seen = corpus_pipeline.in_pieces(lambda s, docs, sf_dir: (docs, sf_dir, [s.conf.get(k, None) for k in common.IN_PIECES]))
+        assert seen(spark, "docs", "dir") == ("docs", "dir", list(common.IN_PIECES.values()))
+        # the caller writes what a stage returns after it, so the setting stays
+        assert [spark.conf.get(k, None) for k in common.IN_PIECES] == list(common.IN_PIECES.values())
+        assert all(hasattr(stage, "__wrapped__") for _, stage in corpus_pipeline.STAGES)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_words_and_folds(spark):
     row = spark.createDataFrame([(" a\tb\x0bc d ", None)], "t string, n string").select(common.words(F.col("t")), common.words(F.col("n"))).first()
     assert row[0] == ["a", "b", "c d"] and row[1] == []
