@@ -22,8 +22,10 @@ made of common shingles nearly throughout: true families of near copies.
 to those within EPS, and belongs to the nearest one. It is copied to another pivot's region only where the triangle
 inequality lets a member of that region be within EPS of it: at most 2 EPS further away than its nearest pivot. In a
 region members of the pivot's component that are too near the pivot to reach a member of another component are dropped,
-and regions of one component are done. A region that is still large is joined by pivots of its own; in the others,
-members outside the largest component meet the others, where distances to the pivot and certain differences allow a link.
+and regions of one component are done. A region that is still large is joined by pivots of its own, unless it holds most of
+what it was cut from: such a family lies within reach of all its pivots, and further ones would only copy it. In the others,
+members outside the largest component meet the others, where distances to the pivot and certain differences allow a link
+and one of the two is in the region of its nearest pivot.
 
 Every pair that passes is compared by its whole sets: members travel to their pivot, which is copied to as many tasks as
 its members need.
@@ -313,19 +315,26 @@ class Joiner:
         ``early`` (p, early): how many anchors of a point are no late shingles.
         """
         # anchors in small regions or alone in theirs: no partner has them that is met in crowded regions only
-        common = crowded.groupBy("p").agg(F.count_if(F.col("region") < LATE).alias("known"), F.sort_array(F.collect_list("region")).alias("crowds"))
-        facts = early.join(common, "p").select("p", (F.col("early") - F.col("known")).alias("alone"), "crowds")
-        rows = crowded.join(facts, "p").withColumn("cell", F.col("region"))
-        rows = written(rows.withColumns({"pivot": F.lit(None).cast("long"), "dist": F.lit(None).cast("double")}), "cells")
-        for split in range(SPLITS):
-            last, rows = rows, self.split(rows, split)
-            forget(last)
-            sizes = rows.groupBy("cell").agg(F.count("*").alias("size"))
-            if not sizes.where(F.col("size") > CELL_ROWS).limit(1).count():
+        known = crowded.groupBy("p").agg(F.count_if(F.col("region") < LATE).alias("known"))
+        facts = early.join(known, "p").select("p", (F.col("early") - F.col("known")).alias("alone"))
+        rows = written(crowded.join(facts, "p").withColumn("cell", F.col("region")), "cells")
+        ready = []
+        for turn in range(SPLITS):
+            last, cells = rows, self.split(rows, turn)
+            sizes = cells.groupBy("cell").agg(F.count("*").alias("size"), F.first("whole").alias("whole"))
+            # a cell that keeps most of what it was cut from lies within reach of every pivot: pivots of its own only copy it
+            large = written(sizes.where((F.col("size") > CELL_ROWS) & (F.col("size") * 2 <= F.col("whole"))).select("cell"), "large")
+            if turn == SPLITS - 1 or not large.limit(1).count():
+                ready.append(cells)
+                forget(last, large)
                 break
-        rows = self.contested(rows)
-        self.last_pairs(rows)
-        forget(rows)
+            ready.append(written(cells.join(sent(large), "cell", "left_anti"), "ready"))
+            rows = written(cells.join(sent(large), "cell", "left_semi"), "cells")
+            forget(last, cells, large)
+        for cells in ready:
+            rows = self.contested(cells)
+            self.last_pairs(rows)
+            forget(cells, rows)
 
     def contested(self, rows: DataFrame) -> DataFrame:
         """Rows of cells with several components, with their label and the cell's largest component."""
@@ -336,14 +345,20 @@ class Joiner:
         return written(held.join(sent(state), "cell"), "contested")
 
     def split(self, rows: DataFrame, turn: int) -> DataFrame:
-        """One step of the recursion: rows (cell, pivot, dist, ...) of the Voronoi regions of all cells' pivots."""
-        held = self.contested(rows)
+        """One step of the recursion: rows (cell, whole, pivot, dist, home, ...) of the Voronoi regions of all cells' pivots.
+
+        ``whole`` is the size of the cell that was split, ``home`` tells the region of a member's nearest pivot from those
+        that it is copied to. Members that link meet in the home of the one that is nearer to its pivot.
+        """
+        held = self.contested(rows.select("cell", "region", "p", "n", "alone"))
         # the members with the fewest shingles of their own stand in the middle, where most others are within reach
         central = Window.partitionBy("cell").orderBy("alone", F.xxhash64("p", F.lit(turn)), "p")
         pivots = held.select("cell", "p", "n", "alone").withColumn("place", F.row_number().over(central)).where(F.col("place") <= PIVOTS)
         pivots = written(pivots.select("cell", F.col("p").alias("a"), F.col("n").alias("na")), "pivots")
-        members = held.drop("label", "major", "pivot", "dist").withColumnsRenamed({"p": "b", "n": "nb"})
-        met = written(members.join(sent(pivots), "cell").where("a <> b"), "met")
+        whole = held.groupBy("cell").agg(F.count("*").alias("whole"))
+        pivots_of = written(pivots.join(whole, "cell"), "pivots-of")
+        members = held.drop("label", "major").withColumnsRenamed({"p": "b", "n": "nb"})
+        met = written(members.join(sent(pivots_of), "cell").where("a <> b"), "met")
         asked = written(met.where(self.near_sizes()).select("a", "b").distinct(), "asked")
         distances = self.compared(asked)
         self.link(distances.where("linked").select("a", "b"))
@@ -351,41 +366,48 @@ class Joiner:
         by_size = 1 - F.least("na", "nb") / F.greatest("na", "nb")
         known = met.join(distances.drop("linked"), ["a", "b"], "left")
         known = known.withColumn("least", F.coalesce("dist", by_size))
-        nearest = F.min(F.coalesce("dist", F.lit(1.0))).over(Window.partitionBy("cell", "b"))
-        inside = known.withColumn("nearest", nearest).where(F.col("least") <= F.col("nearest") + 2 * self.eps + 1e-9)
+        nearest = F.min(F.struct(F.coalesce("dist", F.lit(1.0)).alias("dist"), "a")).over(Window.partitionBy("cell", "b"))
+        inside = known.withColumn("nearest", nearest).where(F.col("least") <= F.col("nearest.dist") + 2 * self.eps + 1e-9)
         # pivots have met all of their cell
         inside = inside.join(sent(pivots.select("cell", F.col("a").alias("b"))), ["cell", "b"], "left_anti")
         inside = inside.select(
-            F.xxhash64("cell", "a").alias("cell"), "region", F.col("b").alias("p"), F.col("nb").alias("n"), "alone", "crowds",
-            F.col("a").alias("pivot"), "dist", "least",
+            F.xxhash64("cell", "a").alias("cell"), "whole", "region", F.col("b").alias("p"), F.col("nb").alias("n"), "alone",
+            F.col("a").alias("pivot"), "dist", "least", (F.col("a") == F.col("nearest.a")).alias("home"),
         )
         state = written(self.labelled(self.labelled(inside), "pivot", "pivot_label"), "state")
         window = state.where("label <> pivot_label").groupBy("cell").agg(F.min("least").alias("edge"))
         stays = (F.col("label") != F.col("pivot_label")) | F.col("dist").isNull() | (F.col("dist") >= F.col("edge") - self.eps - 1e-9)
         kept = state.join(sent(written(window, "edges")), "cell").where(stays)
         result = written(kept.drop("label", "pivot_label", "least", "edge"), "cells")
-        forget(held, pivots, met, asked, distances, state)
+        forget(held, pivots, pivots_of, met, asked, distances, state)
         return result
 
     def last_pairs(self, rows: DataFrame) -> None:
-        """Compares members outside the largest component of their cell with all members of other components.
+        """Compares members outside the largest component of their cell with all members of other components, where
+        one of the two is at home.
 
-        A pair is looked at in the first crowded region it shares. Where that is one of a late shingle, it shares no
-        small region unless it was a candidate there, so anchors that are no crowded ones differ for certain.
+        Where the crowded regions that a pair shares are all of late shingles, it shares no small region unless it was a
+        candidate there, so anchors that are no crowded ones differ for certain. The others travel to as many tasks as
+        the members of their cell need.
         """
-        side = lambda s, *more: rows.select(
-            "cell", "region", F.col("p").alias(s), *[F.col(c).alias(f"{n}{s}") for c, n in (("n", "n"), ("label", "label_"), ("alone", "alone_"), ("dist", "dist_"), ("crowds", "crowds_"))], *more,
+        sizes = written(rows.groupBy("cell").agg(F.ceil(F.count("*") / CELL_ROWS).alias("salts")), "salts")
+        dealt = rows.join(sent(sizes), "cell")
+        side = lambda held, s, *more: held.select(
+            "cell", F.col("p").alias(s), *[F.col(c).alias(f"{n}{s}") for c, n in (("n", "n"), ("label", "label_"), ("alone", "alone_"), ("dist", "dist_"), ("home", "home_"))], *more,
         )
-        few = side("a").join(rows.select("cell", "p").where("label <> major").withColumnRenamed("p", "a"), ["cell", "a"], "left_semi")
-        met = few.join(side("b", "major").drop("region"), "cell").where("label_a <> label_b AND (label_b = major OR a < b)")
+        copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
+        few = side(dealt.where("label <> major"), "a", copies)
+        every = side(dealt, "b", "region", "major", F.pmod(F.xxhash64("p"), F.col("salts")).alias("salt"))
+        # two joins, so that pairs of which neither is at home are not made
+        met = every.join(few.where("home_a"), ["cell", "salt"]).union(every.where("home_b").join(few.where("NOT home_a"), ["cell", "salt"]))
+        met = met.where("label_a <> label_b AND (label_b = major OR a < b)")
         differ = (F.col("alone_a") <= F.col("na") - self.needed()) & (F.col("alone_b") <= F.col("nb") - self.needed())
         apart = F.coalesce(F.abs(F.col("dist_a") - F.col("dist_b")) <= self.eps + 1e-9, F.lit(True))
-        first = F.get(F.array_intersect("crowds_a", "crowds_b"), F.lit(0)) == F.col("region")
-        met = met.where(self.near_sizes() & ((F.col("region") < LATE) | differ) & apart & first)
+        met = met.where(self.near_sizes() & ((F.col("region") < LATE) | differ) & apart)
         pairs = written(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "last-pairs")
         found = self.compared(pairs)
         self.link(found.where("linked").select("a", "b"))
-        forget(pairs, found)
+        forget(sizes, pairs, found)
 
 
 def joined(docs: DataFrame, doc: str = "doc_id", text: str = "text", k: int = WORDS, share: int = SHARE) -> DataFrame:

@@ -88,6 +88,32 @@ def test_families_are_joined_exactly(spark, monkeypatch):
     assert found == expected and 3 < len({c for _, c in expected.values()}) < 80
 
 
+def test_a_family_within_reach_of_every_pivot_is_copied_once(spark, monkeypatch):
+    """Pivots of its own do not part a large family: it is dealt out to the regions of one set of pivots and not again."""
+    made = []
+
+    def spied(df, name="step", write=jaccard_join.written):
+        out = write(df, name)
+        if name in ("crowded", "cells", "met"):
+            made.append((name, out.count()))
+        return out
+
+    for name, value in (("REGION", 3), ("PIVOTS", 3), ("CELL_ROWS", 6), ("written", spied)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rng = random.Random(4)
+    base = [f"v{i}" for i in range(60)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for at in rng.sample(range(60), 1 + i % 4):
+            words[at] = f"w{i}x{at}"
+        rows.append((i, " ".join(words)))
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.joined(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == brute_components(rows) and len({c for _, c in found.values()}) > 3
+    most = max(n for name, n in made if name == "crowded")
+    assert [name for name, _ in made].count("met") == 1 and all(n <= 3 * most for _, n in made)
+
+
 def steps_of_the_join(spark, monkeypatch):
     """What the join of crowded rows writes: name, columns, plan, and which tables of points are there at that time."""
     steps, points = [], []
